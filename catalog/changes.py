@@ -171,17 +171,8 @@ def _(t):
             WHERE NOT EXISTS (SELECT 1 FROM active a WHERE a.booking_id = s.booking_id)) AS ghosts""",
        "stg_bookings state active")
 def _(t):
-    """Both feeds side by side; every row is tagged and counted once."""
-    ghosts = C.ghost_rows(t.stg_bookings, t.active)
-    rows = (
-        t.stg_bookings.select(F.lit("batch").alias("kind"))
-        .unionByName(t.state.select(
-            F.when(F.col("is_deleted"), "delete").otherwise("cdc").alias("kind")))
-        .unionByName(ghosts.select(F.lit("ghost").alias("kind"))))
-    count = lambda kind: F.count_if(F.col("kind") == kind)
-    return rows.agg(
-        count("batch").alias("batch_rows"), count("cdc").alias("cdc_rows"),
-        count("delete").alias("deletes"), count("ghost").alias("ghosts"))
+    """G11."""
+    return C.feeds_side_by_side(t.stg_bookings, t.state)
 
 
 @query("cdc_lag", """

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalog.frames import CALENDAR
 from catalog.registry import query
 from palimpsest import schemas as S
 from palimpsest.operators import quality as Q
@@ -21,6 +22,7 @@ from palimpsest.operators.compare import (
 from palimpsest.operators.history import history_defects
 from palimpsest.plans import checks as K
 from palimpsest.plans import reconcile as R
+from palimpsest.plans.build import Warehouse, build_models
 
 
 @query("chk_unique", """
@@ -351,12 +353,11 @@ def _report_sql() -> str:
        "rates rpt state calendar facts orphans stg_hotels stg_bookings dim_hotels stg_payments")
 def _(t):
     """Build the models as tables, then run every check on them."""
-    root = t.fresh_folder("marts")
-    stored = {}
-    for name, df in t.tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        stored[name] = t.spark.read.schema(df.schema).parquet(f"{root}/{name}")
-    return K.check_report(stored, volume_floor=100)
+    raw = {"hotels": t.raw_hotels, "customers": t.raw_customers,
+           "bookings": t.raw_bookings, "payments": t.raw_payments}
+    warehouse = Warehouse(t.spark, t.fresh_folder("marts"))
+    tables = build_models(warehouse, raw, t.booking_log, CALENDAR)
+    return K.check_report(tables, volume_floor=100)
 
 
 COUNTS = """

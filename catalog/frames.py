@@ -64,19 +64,7 @@ class Frames:
 
     @cached_property
     def tiered(self) -> DataFrame:
-        return M.with_tiers(self.versioned_facts, self.dim_customers)
-
-    @cached_property
-    def tables(self) -> dict[str, DataFrame]:
-        return {
-            "stg_hotels": self.stg_hotels, "stg_customers": self.stg_customers,
-            "stg_customers_versions": self.versions, "stg_bookings": self.stg_bookings,
-            "stg_payments": self.stg_payments, "stg_bookings_cdc": self.state,
-            "int_bookings_actives": self.active, "dim_hotels": self.dim_hotels,
-            "dim_customers": self.dim_customers, "dim_dates": self.dim_dates,
-            "fct_bookings": self.facts, "orphan_payments": self.orphans,
-            "rpt_bookings_dashboard": self.rpt,
-        }
+        return M.tiered_facts(self.base_facts, self.dim_customers)
 
     def event_lines(self) -> DataFrame:
         """The event log as JSON text lines; one in 500 is cut short, and every

@@ -12,7 +12,7 @@ HOTEL = 3
 def _copies(t, *names: str):
     """Layout copies of the fact, written once per query and read back."""
     facts = t.base_facts
-    paths = Y.write_layouts(facts, t.fresh_folder("layout"), names or Y.LAYOUTS)
+    paths = Y.write_layouts(facts, t.fresh_folder("layout"), names or Y.LAYOUTS, unit="month")
     return {n: Y.read_layout(t.spark, p, facts) for n, p in paths.items()}
 
 

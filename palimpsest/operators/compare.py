@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions import epoch_seconds, text_or_empty
@@ -14,10 +14,18 @@ def id_difference(
     left: DataFrame, right: DataFrame, key: str, only_left: str, only_right: str,
     label: str = "ecart",
 ) -> DataFrame:
-    """Ids present on one side only, labelled by side."""
-    a, b = left.select(key).distinct(), right.select(key).distinct()
-    return a.join(b, key, "left_anti").select(F.lit(only_left).alias(label), key).unionByName(
-        b.join(a, key, "left_anti").select(F.lit(only_right).alias(label), key))
+    """Ids present on one side only, labelled by side.
+
+    Both sides are tagged and grouped once, so each is read and exchanged once
+    and repeated ids collapse before the exchange; two anti joins would read
+    both sides twice.
+    """
+    sides = left.select(key, F.lit(True).alias("_left")).unionByName(
+        right.select(key, F.lit(False).alias("_left")))
+    found = sides.groupBy(key).agg(
+        F.bool_or("_left").alias("_l"), F.bool_or(~F.col("_left")).alias("_r"))
+    return found.where(F.col("_l") != F.col("_r")).select(
+        F.when(F.col("_l"), only_left).otherwise(only_right).alias(label), key)
 
 
 def first_ids(difference: DataFrame, key: str, label: str, n: int = 10) -> DataFrame:
@@ -27,8 +35,6 @@ def first_ids(difference: DataFrame, key: str, label: str, n: int = 10) -> DataF
     The ids are ranked per side with a group limit, so only ``n`` rows per
     mapper and side are exchanged; the counts are a partial aggregate.
     """
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy(label).orderBy(key))
     smallest = (
         difference.withColumn("_rank", rank).where(F.col("_rank") <= n)
@@ -38,10 +44,12 @@ def first_ids(difference: DataFrame, key: str, label: str, n: int = 10) -> DataF
 
 
 def count_difference(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer compare of row counts per key; a missing side counts 0."""
-    a = source.groupBy(*keys).agg(F.count("*").alias("source"))
-    b = target.groupBy(*keys).agg(F.count("*").alias("cible"))
-    return a.join(b, list(keys), "full_outer").na.fill(0, ["source", "cible"])
+    """Row counts per key on both sides, 0 where a side has none (J11): the
+    full outer compare as one grouped pass over the tagged union."""
+    sides = source.select(*keys, F.lit(1).alias("_s")).unionByName(
+        target.select(*keys, F.lit(0).alias("_s")))
+    return sides.groupBy(*keys).agg(
+        F.count_if(F.col("_s") == 1).alias("source"), F.count_if(F.col("_s") == 0).alias("cible"))
 
 
 def interval_verdict(counts: DataFrame) -> DataFrame:

@@ -41,12 +41,16 @@ def entity_of(topic: Column, prefix: str) -> Column:
         .otherwise(topic)
 
 
-def drop_redelivered(log: DataFrame) -> DataFrame:
-    """One row per message position (X7); all copies carry the same content.
+def drop_redelivered(log: DataFrame, *values: str | Column) -> DataFrame:
+    """One row per message position (X7), reduced to ``values`` when given.
 
-    A partial aggregate, so copies collapse before the exchange.
+    All copies of a position carry the same content, so a distinct over the
+    position and the few values a plan needs is enough: it hashes narrow rows
+    and collapses copies before the exchange, and no image text is moved.
     """
-    return log.dropDuplicates(DELIVERY)
+    if not values:
+        return log.dropDuplicates(DELIVERY)
+    return log.select(*DELIVERY, *values).distinct().drop(*DELIVERY)
 
 
 def _image(log: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
@@ -93,17 +97,18 @@ def customer_versions(log: DataFrame) -> DataFrame:
         F.col("source_ts").alias("updated_at"))
 
 
+def _status(image: str) -> Column:
+    return F.from_json(image, T.StructType([T.StructField("status", T.StringType())]))["status"]
+
+
 def status_transitions(log: DataFrame) -> DataFrame:
     """Every status change with both sides, from the two images of the event."""
-    status = T.StructType([T.StructField("status", T.StringType())])
-    return (
-        drop_redelivered(log).where(F.col("op").isin("u", "d"))
-        .select(
-            "_key", "lsn", "source_ts", "op",
-            F.from_json("before", status)["status"].alias("status_before"),
-            F.from_json("after", status)["status"].alias("status_after"))
-        .where(F.coalesce(F.col("status_before"), F.lit(""))
-               != F.coalesce(F.col("status_after"), F.lit(""))))
+    before, after = _status("before"), _status("after")
+    changed = log.where(F.col("op").isin("u", "d"))
+    return drop_redelivered(
+        changed, "_key", "lsn", "source_ts", "op",
+        before.alias("status_before"), after.alias("status_after"),
+    ).where(~F.col("status_before").eqNullSafe(F.col("status_after")))
 
 
 def time_in_state(log: DataFrame, lsn_span: int = 1 << 20) -> DataFrame:
@@ -111,10 +116,8 @@ def time_in_state(log: DataFrame, lsn_span: int = 1 << 20) -> DataFrame:
 
     Log positions are cut in spans, so one busy key does not stay in one task.
     """
-    status = T.StructType([T.StructField("status", T.StringType())])
-    events = drop_redelivered(log).select(
-        "_key", "lsn", "source_ts", "op",
-        F.from_json("after", status)["status"].alias("status"))
+    events = drop_redelivered(
+        log, "_key", "lsn", "source_ts", "op", _status("after").alias("status"))
     chained = with_neighbours(
         events, ["_key"], "lsn", ["source_ts", "op", "status"],
         F.floor(F.col("lsn") / lsn_span))
@@ -124,13 +127,16 @@ def time_in_state(log: DataFrame, lsn_span: int = 1 << 20) -> DataFrame:
         (F.unix_micros("_next.source_ts") - F.unix_micros("source_ts")).alias("micros_in_state"))
 
 
+def _updates_per_key(log: DataFrame) -> DataFrame:
+    updates = drop_redelivered(log.where("op = 'u'"), "_key")
+    return updates.groupBy("_key").agg(F.count("*").alias("changes"))
+
+
 def changes_per_key(log: DataFrame) -> DataFrame:
     """Updates, keys touched and transitions that one read per window loses
     (A21, A23): all but the last change of a key."""
-    per_key = drop_redelivered(log).where("op = 'u'").groupBy("_key").agg(
-        F.count("*").alias("changes"))
-    total = per_key.agg(
-        F.sum("changes").alias("updates"), F.count("*").alias("keys"))
+    total = _updates_per_key(log).agg(
+        F.coalesce(F.sum("changes"), F.lit(0)).alias("updates"), F.count("*").alias("keys"))
     return total.select(
         "updates", "keys", (F.col("updates") - F.col("keys")).alias("lost"),
         F.round(100 * F.try_divide(F.col("updates") - F.col("keys"), F.col("updates")), 1)
@@ -140,18 +146,16 @@ def changes_per_key(log: DataFrame) -> DataFrame:
 
 def change_distribution(log: DataFrame) -> DataFrame:
     """How many keys changed once, twice, ...."""
-    per_key = drop_redelivered(log).where("op = 'u'").groupBy("_key").agg(
-        F.count("*").alias("changes"))
-    return per_key.groupBy("changes").agg(F.count("*").alias("keys"))
+    return _updates_per_key(log).groupBy("changes").agg(F.count("*").alias("keys"))
 
 
 def capture_latency(log: DataFrame) -> DataFrame:
     """Commit to capture, in milliseconds, per operation."""
     micros = F.unix_micros("captured_at") - F.unix_micros("source_ts")
-    ms = F.floor(micros / F.lit(1000))
-    return drop_redelivered(log).groupBy("op").agg(
-        F.count("*").alias("n"), F.min(ms).alias("min_ms"), F.max(ms).alias("max_ms"),
-        F.percentile_approx(ms, 0.5, 100000).alias("median_ms"))
+    events = drop_redelivered(log, "op", F.floor(micros / F.lit(1000)).alias("ms"))
+    return events.groupBy("op").agg(
+        F.count("*").alias("n"), F.min("ms").alias("min_ms"), F.max("ms").alias("max_ms"),
+        F.percentile_approx("ms", 0.5, 100000).alias("median_ms"))
 
 
 def offset_gaps(log: DataFrame) -> DataFrame:
@@ -170,6 +174,23 @@ def ghost_rows(batch_state: DataFrame, active: DataFrame) -> DataFrame:
     return batch_state.join(active.select("booking_id"), "booking_id", "left_anti")
 
 
+def feeds_side_by_side(batch_state: DataFrame, log_state: DataFrame) -> DataFrame:
+    """What the batch feed and the change log hold (G11), in one grouped pass
+    over the ids of both."""
+    yes, no = F.lit(True), F.lit(False)
+    ids = batch_state.select(
+        "booking_id", yes.alias("batch"), no.alias("active"), no.alias("deleted")
+    ).unionByName(log_state.select(
+        "booking_id", no.alias("batch"), (~F.col("is_deleted")).alias("active"),
+        F.col("is_deleted").alias("deleted")))
+    per_id = ids.groupBy("booking_id").agg(
+        *[F.bool_or(c).alias(c) for c in ("batch", "active", "deleted")])
+    return per_id.agg(
+        F.count_if("batch").alias("batch_rows"), F.count_if("active").alias("cdc_rows"),
+        F.count_if("deleted").alias("deletes"),
+        F.count_if(F.col("batch") & ~F.col("active")).alias("ghosts"))
+
+
 def consumer_lag(end_offsets: DataFrame, committed: DataFrame) -> DataFrame:
     """Messages produced but not committed, for every partition of the topics
     (X8): a partition nobody has committed yet counts from its first offset.

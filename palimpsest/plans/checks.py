@@ -51,23 +51,20 @@ def fact_vs_staging(active: DataFrame, facts: DataFrame) -> DataFrame:
 def amount_balance(payments: DataFrame, facts: DataFrame, active: DataFrame) -> DataFrame:
     """Where the captured money went (A9): one row with every part.
 
-    Payments and facts are tagged and reduced in a single aggregate. Whether a
-    payment is an orphan is decided once per booking, after summing.
+    Payments are summed per booking before they meet the bookings, and the
+    parts are tagged and reduced in a single aggregate.
     """
     repeat = F.col("is_duplicate_submission")
     per_booking = (
         payments.where("status = 'captured'").groupBy("booking_id").agg(
             F.sum("amount").alias("captured"),
             F.sum(F.when(repeat, F.col("amount"))).alias("repeated"),
-            F.sum(F.when(~repeat, F.col("amount"))).alias("counted")))
-    lost = (
-        per_booking.join(active.select("booking_id"), "booking_id", "left_anti")
-        .select(F.col("counted").alias("orphaned")))
+            F.sum(F.when(~repeat, F.col("amount"))).alias("counted"))
+        .join(active.select("booking_id", F.lit(True).alias("known")), "booking_id", "left"))
+    parts = per_booking.select(
+        "captured", "repeated", F.when(F.col("known").isNull(), F.col("counted")).alias("orphaned"))
+    rows = parts.unionByName(facts.select("amount_paid"), allowMissingColumns=True)
     total = S.MONEY_SUM
-    rows = (
-        per_booking.select("captured", "repeated")
-        .unionByName(lost, allowMissingColumns=True)
-        .unionByName(facts.select("amount_paid"), allowMissingColumns=True))
     zero = F.lit(0).cast(total)
     return rows.agg(
         F.sum("captured").cast(total).alias("encaisse_staging"),

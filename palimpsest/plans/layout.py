@@ -4,20 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from palimpsest import schemas as S
 from palimpsest.functions import sunday_week_start
 
 LAYOUTS = ("plain", "clustered", "partitioned")
+PERIOD = "booking_period"
 
 
 def write_layouts(
-    facts: DataFrame, root: str, names: Sequence[str] = LAYOUTS,
+    facts: DataFrame, root: str, names: Sequence[str] = LAYOUTS, unit: str = "day",
 ) -> dict[str, str]:
     """Copies of the fact: as it comes, range-clustered by day and hotel, and
-    partitioned by day.
+    also partitioned by period.
+
+    The period is the booking day, or the first day of a coarser ``unit``
+    where a day has too few rows to fill a file.
 
     Both ordered copies are range-partitioned on (day, hotel, booking): a day
     or hotel with a third of the rows spans several tasks, and a task holds few
@@ -27,7 +32,8 @@ def write_layouts(
     ranged = facts.repartitionByRange(*order).sortWithinPartitions(*order)
     writers = {
         "plain": facts.write, "clustered": ranged.write,
-        "partitioned": ranged.write.partitionBy("booking_date")}
+        "partitioned": ranged.withColumn(
+            PERIOD, F.to_date(F.date_trunc(unit, "booking_date"))).write.partitionBy(PERIOD)}
     paths = {name: f"{root}/{name}" for name in names}
     for name, path in paths.items():
         writers[name].mode("overwrite").parquet(path)
@@ -35,7 +41,26 @@ def write_layouts(
 
 
 def read_layout(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+    """A copy with its known schema; the period of a partitioned copy is found
+    from its folders."""
+    fields = list(like.schema.fields)
+    if path.endswith("/partitioned"):
+        fields.append(T.StructField(PERIOD, T.DateType()))
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def _within(facts: DataFrame, start: str, end: str | None = None, unit: str = "month") -> DataFrame:
+    """Rows booked in [start, end]. On a partitioned copy the same bounds, cut
+    to the coarsest unit in use, also select the folders to open."""
+    def clip(df: DataFrame, column: str, lower: Column, upper: Column | None) -> DataFrame:
+        df = df.where(F.col(column) >= lower)
+        return df if upper is None else df.where(F.col(column) <= upper)
+
+    a, b = F.lit(start).cast("date"), F.lit(end).cast("date") if end else None
+    rows = clip(facts, "booking_date", a, b)
+    if PERIOD in facts.columns:
+        rows = clip(rows, PERIOD, F.to_date(F.date_trunc(unit, a)), b)
+    return rows
 
 
 def row_counts(copies: dict[str, DataFrame]) -> DataFrame:
@@ -51,7 +76,7 @@ def row_counts(copies: dict[str, DataFrame]) -> DataFrame:
 
 def amount_by_hotel_since(facts: DataFrame, day: str) -> DataFrame:
     """A date window."""
-    return facts.where(F.col("booking_date") >= F.lit(day).cast("date")).groupBy("hotel_id").agg(
+    return _within(facts, day).groupBy("hotel_id").agg(
         F.sum("total_amount").cast(S.MONEY_SUM).alias("amount"))
 
 
@@ -69,8 +94,7 @@ def amount_by_week(facts: DataFrame) -> DataFrame:
 
 def bookings_between(facts: DataFrame, start: str, end: str) -> DataFrame:
     """Q1."""
-    inside = F.col("booking_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    return facts.where(inside).agg(F.countDistinct("booking_id").alias("bookings"))
+    return _within(facts, start, end).agg(F.countDistinct("booking_id").alias("bookings"))
 
 
 def bookings_of_hotel(facts: DataFrame, hotel_id: int) -> DataFrame:
@@ -81,7 +105,7 @@ def bookings_of_hotel(facts: DataFrame, hotel_id: int) -> DataFrame:
 
 def customers_by_hotel_since(facts: DataFrame, day: str) -> DataFrame:
     """Q3."""
-    return facts.where(F.col("booking_date") >= F.lit(day).cast("date")).groupBy("hotel_id").agg(
+    return _within(facts, day).groupBy("hotel_id").agg(
         F.countDistinct("customer_id").alias("customers"))
 
 

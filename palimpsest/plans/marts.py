@@ -107,16 +107,31 @@ def orphan_payments(payments: DataFrame, bookings: DataFrame) -> DataFrame:
     return payments.join(bookings.select("booking_id"), "booking_id", "left_anti")
 
 
-def with_tiers(facts: DataFrame, dim: DataFrame) -> DataFrame:
-    """Tier at booking time and tier today.
+def with_current_tier(facts: DataFrame, dim: DataFrame) -> DataFrame:
+    """Tier today beside the tier at booking.
 
     A booking with no version yields NULL, and a NULL tier is not a change.
     """
-    then = dim.select("customer_sk", F.col("loyalty_tier").alias("tier_at_booking"))
     now = dim.where("is_current").select("customer_id", F.col("loyalty_tier").alias("tier_current"))
-    return (
-        facts.join(then, "customer_sk", "left").join(now, "customer_id", "left")
-        .withColumn("tier_changed", F.col("tier_at_booking") != F.col("tier_current")))
+    return facts.join(now, "customer_id", "left").withColumn(
+        "tier_changed", F.col("tier_at_booking") != F.col("tier_current"))
+
+
+def with_tiers(facts: DataFrame, dim: DataFrame) -> DataFrame:
+    """Both tiers of a stored fact, looked up by its version key."""
+    then = dim.select("customer_sk", F.col("loyalty_tier").alias("tier_at_booking"))
+    return with_current_tier(facts.join(then, "customer_sk", "left"), dim)
+
+
+def tiered_facts(facts: DataFrame, dim: DataFrame) -> DataFrame:
+    """Both tiers straight from the point-in-time join, for reports that build
+    on facts without a version key: the lookup by key is not needed, and the
+    second join keeps the partitioning by customer of the first."""
+    versions = dim.withColumnRenamed("loyalty_tier", "tier_at_booking")
+    joined = with_customer_version(
+        facts, versions, payload=("customer_sk", "customer_since", "tier_at_booking"))
+    return with_current_tier(joined, dim).withColumn(
+        "is_late_arriving_customer", F.col("created_at") < F.col("customer_since"))
 
 
 def rpt_bookings_dashboard(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,19 +39,26 @@ def stg_customers(versions: DataFrame) -> DataFrame:
     return latest_by(versions, ["customer_id"], F.desc("updated_at"))
 
 
-def stg_payments(raw: DataFrame, tie_break: Sequence[str] = ("amount",)) -> DataFrame:
+def stg_payments(
+    raw: DataFrame, tie_break: Sequence[str] = ("amount",),
+    stage: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Latest version per payment; repeated submissions are flagged, not removed.
 
     A repeated submission has a new id but the same booking, method and
     instant. The flag is computed over all statuses; the amount is left out of
     the key on purpose, and an unpaid payment never repeats another.
+
+    The latest versions are read twice, for the rows and for the firsts of the
+    groups; ``stage`` may store them in between, so that the raw rows are
+    deduplicated once.
     """
     latest = _newest(raw, "payment_id", tie_break).select(
         "payment_id", "booking_id", "amount",
         clean_currency(F.col("currency")).alias("currency"),
         "payment_method", "status", "paid_at", "created_at", "updated_at")
     return flag_repeats(
-        latest, "payment_id", ["booking_id", "payment_method", "paid_at"], "paid_at",
+        stage(latest) if stage else latest, "payment_id", ["booking_id", "payment_method", "paid_at"], "paid_at",
         ["created_at", "payment_id"], "is_duplicate_submission")
 
 
