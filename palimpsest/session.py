@@ -24,7 +24,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = 8, app: str = "palimpsest") -> SparkSession:
+def local_session(
+    cores: int | str = 8, app: str = "palimpsest", extra: dict[str, str] | None = None,
+) -> SparkSession:
     """Single-JVM session for tests and the bench; clusters bring their own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -34,7 +36,7 @@ def local_session(cores: int | str = 8, app: str = "palimpsest") -> SparkSession
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     )
-    for name, value in SQL_SETTINGS.items():
+    for name, value in {**SQL_SETTINGS, **(extra or {})}.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
