@@ -113,15 +113,15 @@ def _(t):
 
 
 @query("extract_complete", """
-    SELECT 'bookings' AS t, count(*) AS source, count(*) AS landed FROM stg_bookings
+    SELECT 'bookings' AS t, count(*) AS source, count(*) AS landed FROM raw_bookings
     WHERE updated_at >= TIMESTAMP '1998-01-01' AND updated_at < TIMESTAMP '1998-02-01'
-    UNION ALL SELECT 'payments', count(*), count(*) FROM stg_payments
+    UNION ALL SELECT 'payments', count(*), count(*) FROM raw_payments
     WHERE updated_at >= TIMESTAMP '1998-01-01' AND updated_at < TIMESTAMP '1998-02-01'""",
-       "stg_bookings stg_payments")
+       "raw_bookings raw_payments")
 def _(t):
     """A window landed twice holds exactly the rows of the source."""
     root, out = t.fresh_folder("landing"), []
-    for name, source in [("bookings", t.stg_bookings), ("payments", t.stg_payments)]:
+    for name, source in [("bookings", t.raw_bookings), ("payments", t.raw_payments)]:
         window = I.scan_window(source, "1998-01-01", "1998-02-01")
         path = I.landing_path(root, name, "1998-01-01")
         I.land(window, path)
@@ -154,7 +154,8 @@ def _(t):
 def _(t):
     """A quarter loaded in one job, then one day replaced."""
     table, root = _table(t, "bookings", "overwrite")
-    I.backfill(t.stg_bookings, "bookings", table, FIRST, LAST, AS_OF, ingested_at=LOADED_AT)
+    I.backfill(t.stg_bookings, "bookings", table, f"{root}/landing", FIRST, LAST, AS_OF,
+               ingested_at=LOADED_AT)
     changed = t.stg_bookings.withColumn("status", F.lit("cancelled"))
     I.ingest_window(changed, "bookings", table, f"{root}/landing", "1998-02-10", AS_OF)
     return _per_day(table.read())
@@ -163,10 +164,11 @@ def _(t):
 @query("replay_twice", PER_DAY.format("stg_bookings", ""), "stg_bookings")
 def _(t):
     """Loaded without its late rows, then replayed with them, twice."""
-    table, _ = _table(t, "bookings", "replay")
+    table, root = _table(t, "bookings", "replay")
     early = t.stg_bookings.where("booking_id % 5 <> 0")
     for source in (early, t.stg_bookings, t.stg_bookings):
-        I.backfill(source, "bookings", table, FIRST, LAST, AS_OF, ingested_at=LOADED_AT)
+        I.backfill(source, "bookings", table, f"{root}/landing", FIRST, LAST, AS_OF,
+                   ingested_at=LOADED_AT)
     return _per_day(table.read())
 
 
@@ -178,7 +180,7 @@ def _(t):
     kept where the policy says so."""
     table, root = _table(t, "bookings", "clear")
     load = lambda df: I.backfill(
-        df, "bookings", table, FIRST, LAST, AS_OF, ingested_at=LOADED_AT)
+        df, "bookings", table, f"{root}/landing", FIRST, LAST, AS_OF, ingested_at=LOADED_AT)
     load(t.stg_bookings)
     load(t.stg_bookings.where(F.to_date("updated_at") != F.lit("1998-01-20").cast("date")))
     nothing = t.stg_bookings.limit(0)
@@ -225,10 +227,11 @@ def _(t):
     FROM stg_bookings WHERE updated_at < TIMESTAMP '1998-04-01' GROUP BY 1""", "stg_bookings")
 def _(t):
     """The snapshot once (the second call refuses), then the windows."""
-    table, _ = _table(t, "bookings", "bootstrap")
+    table, root = _table(t, "bookings", "bootstrap")
     for _ in range(2):
         I.snapshot(t.stg_bookings, "bookings", table, FIRST, ingested_at=LOADED_AT)
-    I.backfill(t.stg_bookings, "bookings", table, FIRST, LAST, AS_OF, ingested_at=LOADED_AT)
+    I.backfill(t.stg_bookings, "bookings", table, f"{root}/landing", FIRST, LAST, AS_OF,
+               ingested_at=LOADED_AT)
     return _per_day(table.read())
 
 

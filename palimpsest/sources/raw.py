@@ -278,11 +278,14 @@ def ingest_window(
 
 
 def backfill(
-    source: DataFrame, entity: str, table: DayTable, first: str, last: str, as_of: str,
-    *, keeps_history: bool = False, ingested_at: str | None = None,
+    source: DataFrame, entity: str, table: DayTable, landing: str, first: str, last: str,
+    as_of: str, *, keeps_history: bool = False, ingested_at: str | None = None,
 ) -> None:
     """Reload a range of closed days in one job (G2), late rows included.
 
+    The source is read once, into the landing folder of the range; checks and
+    load read the landed files.
+
     ``keeps_history`` marks tables whose old versions only exist in the raw
     layer: a mutable source no longer has them, so reloading erases them.
     """
@@ -292,8 +295,10 @@ def backfill(
             f"{entity}: reloading {first}..{last} from the source erases row versions "
             "that only the raw table still holds", stacklevel=2)
     end = (date.fromisoformat(last) + timedelta(days=1)).isoformat()
-    rows = scan_window(source, first, end)
-    dated = add_lineage(rows, first, ingested_at).withColumn(DAY, F.to_date("updated_at"))
+    path = landing_path(landing, entity, f"{first}_{last}")
+    land(scan_window(source, first, end), path)
+    landed = read_landed(table.spark, [path], source.schema)
+    dated = add_lineage(landed, first, ingested_at).withColumn(DAY, F.to_date("updated_at"))
     table.replace_days(dated, first, last)
 
 

@@ -20,6 +20,7 @@ from palimpsest.plans.changes import DELIVERY, decode_messages, entity_of
 
 # Fixed defaults of a micro-batch: so many messages, or so long after the first.
 BATCH_MESSAGES, BATCH_SECONDS = 1000, 300
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def kafka_options(
@@ -122,8 +123,15 @@ def latest_state_stream(changes: DataFrame) -> DataFrame:
 def run_latest_state(
     messages: DataFrame, root: str, checkpoint: str,
 ) -> StreamingQuery:
-    """Keep the state as upserts: each batch appends the keys it changed, and
-    ``read_latest_state`` takes the newest row of each key."""
+    """Keep the state as upserts: each batch stores the keys it changed, and
+    ``read_latest_state`` takes the newest row of each key. A batch replayed
+    after a crash replaces its own folder.
+
+    One row per key is kept as state, on the executors' disks (RocksDB) so that
+    the number of keys is not bound by memory.
+    """
+    messages.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 

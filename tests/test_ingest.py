@@ -99,17 +99,18 @@ def test_backfill_equals_single_days_in_any_order(spark, bookings, table):
     for day in ("1998-01-07", "1998-01-05", "1998-01-06"):
         load(bookings, table, day)
     other = I.raw_table(spark, "bookings", f"t_{uuid.uuid4().hex}", work_dir(spark, "other"))
-    I.backfill(bookings, "bookings", other, "1998-01-05", "1998-01-07", AS_OF)
+    I.backfill(bookings, "bookings", other, landing, "1998-01-05", "1998-01-07", AS_OF)
     drop = ["_ingested_at", "_source_file"]
     assert fingerprint(t.read().drop(*drop)).first() == fingerprint(
         other.read().drop(*drop)).first()
 
 
 def test_backfill_leaves_other_days_alone(bookings, table):
-    t, _ = table
-    I.backfill(bookings, "bookings", t, "1998-01-01", "1998-01-31", AS_OF)
+    t, landing = table
+    I.backfill(bookings, "bookings", t, landing, "1998-01-01", "1998-01-31", AS_OF)
     before = days(t)
-    I.backfill(bookings.where("booking_id % 2 = 0"), "bookings", t, "1998-01-10", "1998-01-12", AS_OF)
+    half = bookings.where("booking_id % 2 = 0")
+    I.backfill(half, "bookings", t, landing, "1998-01-10", "1998-01-12", AS_OF)
     after = days(t)
     inside = {"1998-01-10", "1998-01-11", "1998-01-12"}
     assert {d: n for d, n in after.items() if d not in inside} == {
@@ -119,7 +120,7 @@ def test_backfill_leaves_other_days_alone(bookings, table):
 
 def test_backfill_warns_where_history_would_be_lost(bookings, table):
     with pytest.warns(UserWarning, match="erases row versions"):
-        I.backfill(bookings, "bookings", table[0], DAY, DAY, AS_OF, keeps_history=True)
+        I.backfill(bookings, "bookings", *table, DAY, DAY, AS_OF, keeps_history=True)
 
 
 def test_snapshot_runs_once_unless_forced(bookings, table):
