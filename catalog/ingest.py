@@ -87,14 +87,14 @@ def _(t):
 
 
 @query("lineage_columns", """
-    SELECT booking_id, updated_at, TIMESTAMP '2002-01-01' AS _ingested_at,
-           'orders.parquet' AS _source_file, DATE '1998-01-05' AS _interval_start
-    FROM raw_bookings WHERE CAST(updated_at AS DATE) = DATE '1998-01-05'""", "raw_bookings")
+    SELECT customer_id, updated_at, TIMESTAMP '2002-01-01' AS _ingested_at,
+           'customer.parquet' AS _source_file, DATE '1994-06-04' AS _interval_start
+    FROM raw_customers WHERE CAST(updated_at AS DATE) = DATE '1994-06-04'""", "raw_customers")
 def _(t):
     """P1."""
-    day = I.scan_window(t.raw_bookings, "1998-01-05", "1998-01-06").select(
-        "booking_id", "updated_at")
-    return I.add_lineage(day, "1998-01-05", LOADED_AT).withColumn(
+    day = I.scan_window(t.raw_customers, "1994-06-04", "1994-06-05").select(
+        "customer_id", "updated_at")
+    return I.add_lineage(day, "1994-06-04", LOADED_AT).withColumn(
         "_source_file", F.regexp_extract("_source_file", "([^/]+)$", 1))
 
 
