@@ -22,7 +22,7 @@ from palimpsest.operators.compare import (
 from palimpsest.operators.history import history_defects
 from palimpsest.plans import checks as K
 from palimpsest.plans import reconcile as R
-from palimpsest.plans.build import Warehouse, build_models
+from palimpsest.plans.build import build_models
 
 
 @query("chk_unique", """
@@ -141,7 +141,7 @@ BALANCE = """
 @query("amount_balance", BALANCE.format(facts="facts"), "stg_payments facts orphans")
 def _(t):
     """A9, J8, J17."""
-    return K.amount_balance(t.stg_payments, t.paid_facts, t.active)
+    return K.amount_balance(t.kept_payments, t.kept_paid_facts, t.kept_active)
 
 
 @query("chk_amounts_conserved", f"""
@@ -151,13 +151,13 @@ def _(t):
 def _(t):
     """C10, with bookings lost from the fact."""
     return K.amounts_not_conserved(
-        t.stg_payments, t.paid_facts.where("booking_id % 100 <> 3"), t.active)
+        t.kept_payments, t.kept_paid_facts.where("booking_id % 100 <> 3"), t.kept_active)
 
 
 @query("defect_rates", "SELECT defaut, n, total FROM rates", "rates")
 def _(t):
     """A8."""
-    return K.defect_rates(t.facts, t.stg_payments, t.orphans, t.stg_customers)
+    return t.defect_rates()
 
 
 @query("chk_defect_rates", """
@@ -165,7 +165,7 @@ def _(t):
     FROM rates WHERE total > 0 AND n / total > seuil""", "rates")
 def _(t):
     """C11, F19."""
-    return K.defect_drift(K.defect_rates(t.facts, t.stg_payments, t.orphans, t.stg_customers))
+    return K.defect_drift(t.defect_rates())
 
 
 @query("chk_volume_floor", """
@@ -355,8 +355,7 @@ def _(t):
     """Build the models as tables, then run every check on them."""
     raw = {"hotels": t.raw_hotels, "customers": t.raw_customers,
            "bookings": t.raw_bookings, "payments": t.raw_payments}
-    warehouse = Warehouse(t.spark, t.fresh_folder("marts"))
-    tables = build_models(warehouse, raw, t.booking_log, CALENDAR)
+    tables = build_models(t.warehouse, raw, t.booking_log, CALENDAR)
     return K.check_report(tables, volume_floor=100)
 
 

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from palimpsest import schemas as S
 from palimpsest.plans import changes as C
+from palimpsest.plans import checks as K
 from palimpsest.plans import health as H
 from palimpsest.plans import marts as M
 from palimpsest.plans import staging as G
+from palimpsest.plans.build import Warehouse
 from palimpsest.session import configure, work_dir
 from palimpsest.sources import testdata as D
 
@@ -66,6 +68,36 @@ class Frames:
     def tiered(self) -> DataFrame:
         return M.tiered_facts(self.base_facts, self.dim_customers)
 
+    @cached_property
+    def warehouse(self) -> Warehouse:
+        return Warehouse(self.spark, self.fresh_folder("tables"))
+
+    @cached_property
+    def kept_payments(self) -> DataFrame:
+        """Staging payments as a table, for plans that read them several times."""
+        store = self.warehouse.store
+        return store("stg_payments", G.stg_payments(
+            self.raw_payments, stage=lambda df: store("latest_payments", df)))
+
+    @cached_property
+    def kept_active(self) -> DataFrame:
+        """Active bookings over the stored state, for the same plans."""
+        return G.active_bookings(self.warehouse.store("stg_bookings_cdc", self.state))
+
+    @cached_property
+    def kept_paid_facts(self) -> DataFrame:
+        return M.with_payments(
+            M.booking_facts(self.kept_active), G.payments_by_booking(self.kept_payments))
+
+    @cached_property
+    def kept_orphans(self) -> DataFrame:
+        return M.orphan_payments(self.kept_payments, self.kept_active)
+
+    def defect_rates(self) -> DataFrame:
+        facts = M.fct_bookings(
+            self.kept_active, G.payments_by_booking(self.kept_payments), self.dim_customers)
+        return K.defect_rates(facts, self.kept_payments, self.kept_orphans, self.stg_customers)
+
     def event_lines(self) -> DataFrame:
         """The event log as JSON text lines; one in 500 is cut short, and every
         line has a field that the schema does not know."""

@@ -59,7 +59,7 @@ def _(t):
     FROM facts""", "facts orphans")
 def _(t):
     """D5."""
-    return D.booked_vs_paid(t.paid_facts, t.orphans)
+    return D.booked_vs_paid(t.kept_paid_facts, t.kept_orphans)
 
 
 @query("monthly_star", """
