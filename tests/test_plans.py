@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from catalog.registry import QUERIES
 from palimpsest.operators.history import interval_join
 from palimpsest.plans import layout as Y
 from palimpsest.plans.dashboard import lead_time_distribution
@@ -18,7 +18,7 @@ WRITERS = {
     "check_report", "extract_complete", "ingest_window", "partition_overwrite", "replay_twice",
     "empty_window_clear", "schema_union", "schema_evolution", "bootstrap", "events_scan",
     "metrics_load", "cdc_stream_state", "cdc_stream_counts", "cdc_stream_upserts",
-} | {n for n in entry.queries() if n.startswith("layout_")}
+} | {n for n in QUERIES if n.startswith("layout_")}
 
 
 def plan_of(df) -> str:
@@ -26,9 +26,9 @@ def plan_of(df) -> str:
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITERS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITERS))
 def test_no_cross_join_and_no_python(name, spark, sf):
-    plan = plan_of(entry.queries()[name](spark, sf))
+    plan = plan_of(QUERIES[name](spark, sf))
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas"):
         assert banned not in plan, plan
 
