@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from palimpsest.llm import query_html, query_mixing, query_sharding, query_warc  # noqa: F401
+from palimpsest.llm import query_html, query_mixing, query_quality, query_sharding, query_warc  # noqa: F401
 from palimpsest.llm.registry import ORACLE, QUERIES  # noqa: F401
