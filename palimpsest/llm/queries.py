@@ -2,5 +2,6 @@
 
 from __future__ import annotations
 
-from palimpsest.llm import query_html, query_mixing, query_quality, query_sharding, query_warc  # noqa: F401
+from palimpsest.llm import (  # noqa: F401
+    query_decontaminate, query_html, query_mixing, query_quality, query_sharding, query_warc)
 from palimpsest.llm.registry import ORACLE, QUERIES  # noqa: F401

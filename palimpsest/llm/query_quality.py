@@ -20,10 +20,12 @@ WITH t AS (
     regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS ls
   FROM documents),
-g AS (SELECT rid, unnest(range(len(w) - 2)) + 1 AS i, w FROM t WHERE len(w) >= 3),
+x AS (
+  SELECT rid, list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) AS x
+  FROM t WHERE len(w) >= 3),
 c AS (
-  SELECT rid, i, count(*) OVER (PARTITION BY rid, w[i], w[i + 1], w[i + 2]) AS n
-  FROM (SELECT rid, i, [w[i], w[i + 1], w[i + 2]] AS x, w FROM g)),
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, x) AS n
+  FROM (SELECT rid, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM x)),
 r AS (
   SELECT rid, count(DISTINCT i + k) AS n_repeat_words
   FROM c, (SELECT unnest([0, 1, 2]) AS k) WHERE n >= 2 GROUP BY rid),
