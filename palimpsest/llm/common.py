@@ -45,7 +45,7 @@ def in_fold(doc_id: Column, folds: int, fold: int) -> Column:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_000,
-           ) -> Iterator[pa.RecordBatch]:
+           rows: int = 5_000) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in pieces of about ``limit`` bytes of ``column``.
 
     A longer text makes a piece of its own, so memory follows the longest text
@@ -58,7 +58,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_00
         at = 0
         while at < batch.num_rows:
             upto = int(np.searchsorted(ends, ends[at] + limit, "right")) - 1
-            upto = min(max(upto, at + 1), batch.num_rows)
+            upto = min(max(upto, at + 1), at + rows, batch.num_rows)
             yield batch.slice(at, upto - at)
             at = upto
 
