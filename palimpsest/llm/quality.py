@@ -85,7 +85,10 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
         100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")))
     clean = F.when(F.size("__kept") == F.size("__lines"), F.col(text)).otherwise(
         F.array_join("__kept", "\n"))
+    # __row keeps a later filter on the verdict from being copied below the projections,
+    # which would evaluate all of the above once more for every use of a column
     return rows.withColumns({
+        "__row": F.monotonically_increasing_id(),
         "kept": ~F.col("base_failed") & (100 * F.col("kept_chars") >= KEPT * F.col("line_chars")),
         "clean_text": clean}).drop("__words", "__lines", "__windows", "__kept", "__ranked")
 
@@ -95,7 +98,7 @@ def cleaned(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> Da
     seen = judged(docs.select(*(
         F.col(c).alias(f"__in_{c}") if c != text else F.col(c) for c in docs.columns)), text)
     changed = F.coalesce(F.col("clean_text") != F.col(text), F.lit(False))
-    return seen.filter("kept").select(*(
+    return seen.filter(F.col("kept") & (F.col("__row") >= 0)).select(*(
         F.col("clean_text").alias(c) if c == text else
         F.when(changed, F.char_length("clean_text")).otherwise(F.col(f"__in_{c}")).cast(
             docs.schema[c].dataType).alias(c) if c == n_chars else F.col(f"__in_{c}").alias(c)
