@@ -6,7 +6,8 @@ signature; an empty bin borrows from a bin that its own probe sequence finds
 emits a star, not all pairs: its members against one hub. Links are confirmed on
 the full sets. Buckets whose members do not all end up in one component go on
 with further hubs, those with most links first, until no two members of
-different components are untested, so nothing that shares a bucket is lost.
+different components are untested, so nothing that shares a bucket is lost; an
+exact bound from odd sketches drops most pairs of them before their texts meet.
 Exact copies are one class from the start and never meet in pairs.
 
 At a similarity of 0.85 the chance to share no bucket is about 2e-7.
@@ -29,6 +30,7 @@ BANDS, ROWS = 40, 7
 BINS = BANDS * ROWS
 PERCENT = 85  # of the union
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+ODD = 16  # longs of a set's odd sketch
 
 
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -64,18 +66,31 @@ def band_keys(table: np.ndarray) -> np.ndarray:
     return mix(parts.sum(axis=2, dtype=np.uint64) + numbers(BANDS, 43)).view(np.int64)
 
 
+def odd_sketches(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """(texts x ODD) parities of how many shingles fall on each bit.
+
+    Where two sketches differ in d bits, the sets differ in at least d shingles, since
+    what they share cancels: an exact bound, sharp while d is small against the bits.
+    """
+    rows = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    slot = (values % np.uint64(64 * ODD)).astype(np.int64)
+    odd = np.bincount(rows * 64 * ODD + slot, minlength=(len(ends) - 1) * 64 * ODD) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(-1, 64), axis=1).view(np.int64).reshape(-1, ODD)
+
+
 def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, n, digest, bands) of (id, text) rows."""
+    """(id, n, digest, bands, odd) of (id, text) rows."""
     for piece in slices(batches, "text", rows=2_000):
         values, ends = shingle_sets(piece.column("text"))
         keys = band_keys(signatures(values, ends))
         digests = [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest()
                    for a, b in zip(ends[:-1], ends[1:])]
-        bands = pa.ListArray.from_arrays(
-            pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel()))
+        lists = lambda table, n: pa.ListArray.from_arrays(
+            pa.array(np.arange(len(table) + 1, dtype=np.int32) * n), pa.array(table.ravel()))
         yield pa.RecordBatch.from_arrays(
             [piece.column("id"), pa.array(np.diff(ends), pa.int64()),
-             pa.array(digests, pa.binary()), bands], names=["id", "n", "digest", "bands"])
+             pa.array(digests, pa.binary()), lists(keys, BANDS),
+             lists(odd_sketches(values, ends), ODD)], names=["id", "n", "digest", "bands", "odd"])
 
 
 def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,6 +110,14 @@ def sizes_fit(x: str, y: str) -> Column:
     return F.least(x, y) * 100 >= F.greatest(x, y) * PERCENT
 
 
+def can_link(x: str, n_x: str, y: str, n_y: str) -> Column:
+    """Whether the odd sketches allow the similarity: of S shingles in both sets together,
+    at most (1 - j) / (1 + j) may differ."""
+    differ = sum(
+        (F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(ODD)), F.lit(0))
+    return differ * (100 + PERCENT) <= (F.col(n_x) + F.col(n_y)) * (100 - PERCENT)
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """``pairs`` (a, b), each tested on the full sets of its texts: (a, b, linked)."""
     side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
@@ -102,14 +125,15 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         "a", "b", "text_a", "text_b").mapInArrow(overlap, "a long, b long, linked boolean")
 
 
-def star_labels(members: DataFrame, texts: DataFrame, given: DataFrame) -> DataFrame:
+def star_labels(
+    members: DataFrame, texts: DataFrame, odd: DataFrame, given: DataFrame) -> DataFrame:
     """Components of the documents of buckets; ``members`` is (key, id, n, hub, hub_n)
     and ``given`` links (a, b) that hold anyway.
 
     First every document meets the hub it shares most buckets with. Then, in every
     bucket that still spans several components, members in order of links become
-    hubs for the members of other components after them: one, one, two, four, ...
-    a round.
+    hubs for the members of other components after them, in rounds of more and more
+    hubs. Pairs that differ too much by their odd sketches (id, n, odd) are no candidates.
     """
     first = members.filter(F.col("id") != F.col("hub")).filter(sizes_fit("n", "hub_n")).groupBy(
         "id", "n", "hub", "hub_n").count().groupBy("id", "n").agg(
@@ -134,18 +158,19 @@ def star_labels(members: DataFrame, texts: DataFrame, given: DataFrame) -> DataF
     order = Window.partitionBy("key").orderBy(F.desc_nulls_last("degree"), "id")
     left = stored(open_ones(members.select("key", "id", "n"), labels).join(
         degree, "id", "left").withColumn("rank", F.row_number().over(order)).drop(
-        "comp", "degree"), "near-open")
+        "comp", "degree").join(odd, ["id", "n"]), "near-open")
     low, high = 0, 1
     while True:
         now = stored(open_ones(left, labels), "near-open")
         hubs = now.filter((F.col("rank") > low) & (F.col("rank") <= high)).select(
             "key", F.col("id").alias("hub"), F.col("n").alias("hub_n"),
-            F.col("comp").alias("hub_comp"), F.col("rank").alias("hub_rank"))
+            F.col("comp").alias("hub_comp"), F.col("rank").alias("hub_rank"),
+            F.col("odd").alias("hub_odd"))
         if now.filter(F.col("rank") > low + 1).isEmpty():
             return labels
         pairs = now.join(hubs, "key").filter(
             (F.col("rank") > F.col("hub_rank")) & (F.col("comp") != F.col("hub_comp"))
-            & sizes_fit("n", "hub_n")).select(
+            & sizes_fit("n", "hub_n") & can_link("odd", "n", "hub_odd", "hub_n")).select(
             F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"),
         ).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
         more = stored(confirmed(pairs, texts), "near-tested")
@@ -153,7 +178,7 @@ def star_labels(members: DataFrame, texts: DataFrame, given: DataFrame) -> DataF
         if not more.filter("linked").isEmpty():
             links = links.unionByName(more.filter("linked").select("a", "b"))
             labels = components(links)
-        low, high = high, high * 2 if high > 1 else 2
+        low, high = high, 2 if high == 1 else 8 * high
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -168,7 +193,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     given = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     rows = stored(given.mapInArrow(
-        sketch, "id long, n long, digest binary, bands array<long>"), "near-sketches")
+        sketch, "id long, n long, digest binary, bands array<long>, odd array<long>"), "near-sketches")
     linked = rows.filter("n > 0 and id is not null")
     classes = stored(linked.groupBy("digest").agg(
         F.min("id").alias("rep"), F.count("*").alias("rows")), "near-classes")
@@ -185,7 +210,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     repeated = linked.groupBy("id").count().filter("count > 1").select("id")
     again = linked.join(repeated, "id").join(classes, "digest").select(
         F.col("id").alias("a"), F.col("rep").alias("b")).filter("a != b").distinct()
-    labels = star_labels(members, texts, again)
+    labels = star_labels(members, texts, reps.select("id", "n", "odd"), again)
     several = classes.filter("rows > 1").select("digest", "rep")
     named = rows.select("id", "n", "digest").join(several, "digest", "left").withColumn(
         "rep", F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("rep", "id")))
