@@ -3,7 +3,7 @@
 Five predictors see the last one to four bytes and the word begun so far. Each
 keeps, per hashed context and node of the byte's binary tree, how often the next
 bit was 0 and 1. A mixer adds their stretched probabilities with weights chosen
-by a gate (how much the longest contexts have seen), and an adaptive probability
+by a gate (the bit's place and how much the longest contexts have seen), and an adaptive probability
 map refines the result. Counting is one distributed pass: every task counts its
 text, learns mixer and map online (a piece is predicted before it is counted),
 and sends sparse blocks that are added up. The model has a fixed number of slots,
@@ -34,9 +34,11 @@ BASES = np.concatenate([[0], np.cumsum([1 << b for b in BITS])])
 SLOTS = int(BASES[-1])
 BLOCK = 1 << 14  # slots that travel together
 SPREAD = 64  # partial sums of a block, before their sum
-GATES, MAP_BINS, STRETCH = 16, 33, 8.0
+LEVELS = [1, 2, 4, 16, 64, 256, 1024]  # counts from which a context is more trusted
+COARSE = np.array([0, 1, 1, 1, 2, 2, 2, 2])
+GATES, MAP_BINS, STRETCH = 8 * 3 * 8, 33, 8.0
 END = 255
-RATE, MINI = 0.02, 8192
+RATE, PRIOR, MINI = 0.2, 50, 2048
 HEAVY = 1 << 17  # words over one HEAVYth of all tokens, at most HEAVY, go to all tasks
 MERGE = 1 << 20
 INVERSE = np.uint64(pow(int(RADIX), -1, 1 << 64))
@@ -88,6 +90,8 @@ def events(column: pa.Array) -> Events:
     word = mix((total - total[begin]) * inverse[begin])
     codes, _ = pd.factorize(mix(word + mix(history[3] << np.uint64(8) | data.astype(np.uint64))))
     size = int(codes.max()) + 1
+    # Rare events come late in a piece: a fixed shuffle keeps the mixer's batches alike.
+    codes = np.random.default_rng(5).permutation(size)[codes]
     at = np.empty(size, np.int64)
     at[codes] = np.arange(n)
     return Events(
@@ -109,10 +113,10 @@ def slots_of(contexts: list[np.ndarray], node: np.ndarray) -> list[np.ndarray]:
 
 
 def stretch_of(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Stretched probability of a 1 and confidence level (0 to 3) of counts."""
+    """Stretched probability of a 1 and confidence level of counts."""
     n = zeros + ones
     value = np.clip(np.log((ones + 0.4) / (zeros + 0.4)), -STRETCH, STRETCH)
-    return value.astype(np.float32), np.digitize(n, [1, 3, 16]).astype(np.int64)
+    return value.astype(np.float32), np.digitize(n, LEVELS).astype(np.int64)
 
 
 def squash(x: np.ndarray) -> np.ndarray:
@@ -146,7 +150,7 @@ class Mixer:
         return np.clip(p, 2.0 ** -16, 1 - 2.0 ** -16)
 
     def learn(self, inputs, gate, node, bit, count) -> None:
-        """Online: small batches in order, each predicted before it moves the weights."""
+        """Online: small batches, each predicted before it moves the weights."""
         for a in range(0, len(bit), MINI):
             s = slice(a, a + MINI)
             x = self.mixed(inputs[:, s], gate[s])
@@ -154,28 +158,24 @@ class Mixer:
             total = np.bincount(gate[s], count[s], GATES)
             for k in range(K + 1):
                 push = np.bincount(gate[s], gap * inputs[k, s], GATES)
-                self.weights[:, k] += RATE * push / np.maximum(np.sqrt(total * MINI), 1)
+                self.weights[:, k] += RATE * push / (total + PRIOR)
             place = np.rint((np.clip(x, -STRETCH, STRETCH) + STRETCH) * (
                 (MAP_BINS - 1) / (2 * STRETCH))).astype(np.int64)
             np.add.at(self.hits, (place, node[s], bit[s]), count[s])
 
 
-def steps(found: Events) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """(node, bit, slots) of the eight binary decisions of every event."""
+def steps(found: Events) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """(place, node, bit, slots) of the eight binary decisions of every event."""
     node = np.ones(len(found.symbol), np.int64)
     for k in range(7, -1, -1):
         bit = (found.symbol >> k & 1).astype(np.int64)
-        yield node, bit, slots_of(found.contexts, node)
+        yield k, node, bit, slots_of(found.contexts, node)
         node = node * 2 + bit
 
 
-def inputs_at(slots: list[np.ndarray], value: np.ndarray, level: np.ndarray,
-              ) -> tuple[np.ndarray, np.ndarray]:
-    """Mixer inputs and gates from the model's tables."""
-    inputs = np.ones((K + 1, len(slots[0])), np.float32)
-    for k in range(K):
-        inputs[k] = value[slots[k]]
-    return inputs, level[slots[3]].astype(np.int64) * 4 + level[slots[4]]
+def gate_of(place: int, last_four: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Weight set of a bit: its place, and the levels of the two longest contexts."""
+    return place * 24 + COARSE[last_four] * 8 + word
 
 
 PART = pa.schema([("kind", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
@@ -213,18 +213,18 @@ def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield _part(WORD_KIND, seen[0][0].view(np.int64), seen[0][1], [None] * held)
                     seen, held = [], 0
         found = events(texts)
-        if number and number & (number + 1) == 0:  # pieces 1, 3, 7, ... also teach the mixer
+        if number & (number - 1) == 0 and number.bit_length() % 2:  # 1, 4, 16, ... teach the mixer
             mixed_bytes += len(found.codes)
-            for node, bit, slots in steps(found):
+            for place, node, bit, slots in steps(found):
                 inputs = np.ones((K + 1, len(bit)), np.float32)
                 level = []
                 for k in range(K):
                     inputs[k], sure = stretch_of(
                         counts[2 * slots[k]].astype(np.float64), counts[2 * slots[k] + 1].astype(np.float64))
                     level.append(sure)
-                mixer.learn(inputs, level[3] * 4 + level[4], node, bit, found.count)
+                mixer.learn(inputs, gate_of(place, level[3], level[4]), node, bit, found.count)
         amount = found.count.astype(np.uint32)
-        for _, bit, slots in steps(found):
+        for _, _, bit, slots in steps(found):
             for k in range(K):
                 np.add.at(counts, 2 * slots[k] + bit, amount)
         number += 1
@@ -282,8 +282,11 @@ class Model:
     def log10(self, found: Events) -> np.ndarray:
         """log10 probability of every distinct event."""
         out = np.zeros(len(found.symbol))
-        for node, bit, slots in steps(found):
-            inputs, gate = inputs_at(slots, self.value, self.level)
+        inputs = np.ones((K + 1, len(out)), np.float32)
+        for place, node, bit, slots in steps(found):
+            for k in range(K):
+                inputs[k] = self.value[slots[k]]
+            gate = gate_of(place, self.level[slots[3]], self.level[slots[4]].astype(np.int64))
             p = self.mixer.refined(self.mixer.mixed(inputs, gate), node)
             out += np.log10(np.where(bit == 1, p, 1 - p))
         return out
@@ -326,8 +329,7 @@ def learn(docs: DataFrame, text: str = "text") -> Learned:
         value[at] = np.frombuffer(row.data, "<i2", BLOCK).astype(np.float32) / 2048
         level[at] = np.frombuffer(row.data, "u1", BLOCK, 2 * BLOCK)
     mixer = Mixer()
-    # One task's mixer in each of at most SPREAD samples of tasks would do; all are averaged
-    # in Spark: a row a weight, so that the driver gets GATES x (K + 1) + map numbers.
+    # The mixers of all tasks are averaged in Spark, by weight; only one mixer comes back.
     for kind, shape in ((WEIGHTS, mixer.weights.shape), (HITS, mixer.hits.shape)):
         rows = parts.filter(F.col("kind") == kind).select("key", "n", "data").mapInArrow(
             unpack, "at long, value double, n long").groupBy("at").agg(
