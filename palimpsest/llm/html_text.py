@@ -102,6 +102,9 @@ def build_tree(html: str) -> Node:
 
     def end(tag: str) -> None:
         if not within[tag]:
+            if tag == "p":  # an end tag alone makes an empty paragraph
+                start("p", "")
+                pop_to(len(stack) - 1)
             return
         for at in range(len(stack) - 1, 0, -1):
             if stack[at].tag == tag:
@@ -249,6 +252,8 @@ def render(html: str | None) -> str:
                 flow.lines(2)
             continue
         if isinstance(node, str):
+            if parent is not None and parent.tag == "details" and "open" not in parent.attributes():
+                continue
             if parent is not None and parent.tag in ("table", "tr", "thead", "tbody", "tfoot") and not node.strip():
                 continue
             flow.kept(node) if kept else flow.text(node)

@@ -136,7 +136,8 @@ def write_archives(
             nonlocal buffer, n, size
             name = f"part-{key[0].as_py():07d}-{len(made):04d}.warc.gz"
             body = b"".join(buffer)
-            with system.open_output_stream(f"{base}/_temporary/{attempt}-{name}") as out:
+            with system.open_output_stream(
+                    f"{base}/_temporary/{attempt}-{name}", compression=None) as out:
                 out.write(body)
             made.append((f"_temporary/{attempt}-{name}", name, n, len(body),
                          hashlib.sha256(body).hexdigest()))
@@ -232,7 +233,7 @@ def read_archives(spark: SparkSession, folder: str, payload: bool = True) -> Dat
         for b in batches:
             for name, n in zip(b.column("name").to_pylist(), b.column("records").to_pylist()):
                 found, held, count = [], 0, 0
-                with system.open_input_stream(f"{base}/{name}") as stream:
+                with system.open_input_stream(f"{base}/{name}", compression=None) as stream:
                     for at, raw in members(stream):
                         row = parse(raw) | {"file": name, "offset": at}
                         if not payload:
