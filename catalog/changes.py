@@ -226,6 +226,26 @@ def _(t):
         F.count("*").alias("n"), F.countDistinct("_kafka_offset").alias("positions"))
 
 
+@query("cdc_stream_dedup", """
+    SELECT op, count(DISTINCT (_kafka_partition, _kafka_offset)) AS n FROM event_log GROUP BY 1""",
+       "event_log")
+def _(t):
+    """Positions delivered again, in files out of order by weeks, written once."""
+    root = _message_files(t)
+    stream = X.file_messages(t.spark, f"{root}/messages", files_per_batch=2)
+    X.run_distinct_changes(stream, f"{root}/once", f"{root}/once-checkpoint").awaitTermination()
+    return t.spark.read.parquet(f"{root}/once").groupBy("op").agg(F.count("*").alias("n"))
+
+
+@query("cdc_rejects", """
+    SELECT count(*) AS n FROM event_log WHERE _kafka_offset % 25 = 0""", "event_log")
+def _(t):
+    """Messages cut short in transit are counted, not decoded."""
+    cut = F.when(F.col("offset") % 50 == 0, F.substring("value", 1, 30)).otherwise(F.col("value"))
+    broken = C.rejected_messages(D.change_messages(t.event_log).withColumn("value", cut))
+    return broken.agg(F.count("*").alias("n"))
+
+
 @query("cdc_stream_upserts", """
     SELECT DISTINCT ON (key) CAST(key AS VARCHAR) AS _key, op, lsn,
            CASE WHEN op = 'd' THEN status_old ELSE status_new END AS status

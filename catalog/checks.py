@@ -359,35 +359,46 @@ def _(t):
     return K.check_report(tables, volume_floor=100)
 
 
-COUNTS = """
-    SELECT coalesce(s.d, r.d) AS _interval_start, CAST(coalesce(s.n, 0) AS BIGINT) AS source,
-           CAST(coalesce(r.n, 0) AS BIGINT) AS cible
+SOURCES = ["hotels", "customers", "bookings", "payments"]
+COUNTS = " UNION ALL ".join(f"""
+    SELECT '{name}' AS t, coalesce(s.d, r.d) AS _interval_start,
+           CAST(coalesce(s.n, 0) AS BIGINT) AS source, CAST(coalesce(r.n, 0) AS BIGINT) AS cible
     FROM (SELECT CASE WHEN updated_at < TIMESTAMP '1996-01-01' THEN DATE '1995-12-31'
                       ELSE CAST(updated_at AS DATE) END AS d, count(*) AS n
-          FROM stg_bookings WHERE updated_at < TIMESTAMP '2001-01-01' GROUP BY 1) s
-    FULL JOIN (SELECT _interval_start AS d, count(*) AS n FROM raw_bookings GROUP BY 1) r
-    ON s.d = r.d"""
+          FROM stg_{name} WHERE updated_at < TIMESTAMP '2001-01-01' GROUP BY 1) s
+    FULL JOIN (SELECT _interval_start AS d, count(*) AS n FROM raw_{name}
+               WHERE _interval_start < DATE '2001-01-01' GROUP BY 1) r
+    ON s.d = r.d""" for name in SOURCES)
+COUNTED = " ".join(f"stg_{name} raw_{name}" for name in SOURCES)
 
 
 def _counts(t):
-    return R.partition_counts(t.stg_bookings, t.raw_bookings, "1996-01-01", "2001-01-01")
+    return [
+        (name, R.partition_counts(
+            getattr(t, f"stg_{name}"), getattr(t, f"raw_{name}"), "1996-01-01", "2001-01-01"))
+        for name in SOURCES]
 
 
-@query("reconcile_partitions", f"SELECT * FROM ({COUNTS}) WHERE source <> cible",
-       "stg_bookings raw_bookings")
+def _of_all_tables(parts):
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("t"), "*") for name, df in parts])
+
+
+@query("reconcile_partitions", f"SELECT * FROM ({COUNTS}) WHERE source <> cible", COUNTED)
 def _(t):
-    """Days whose counts differ."""
-    return _counts(t).where("source <> cible")
+    """Days of all four tables whose counts differ."""
+    return _of_all_tables(_counts(t)).where("source <> cible").orderBy("t", "_interval_start")
 
 
 @query("reconcile_verdict", f"""
     SELECT *, CASE WHEN cible = 0 AND source > 0 THEN 'anomalie: partition absente'
                    WHEN cible < source THEN 'anomalie: chargement partiel'
                    WHEN cible > source THEN 'derive normale' ELSE 'sain' END AS verdict
-    FROM ({COUNTS})""", "stg_bookings raw_bookings")
+    FROM ({COUNTS})""", COUNTED)
 def _(t):
-    """J18."""
-    return interval_verdict(_counts(t))
+    """Both sides closed at the same day, in order of table and day."""
+    return _of_all_tables([(name, interval_verdict(df)) for name, df in _counts(t)]).orderBy(
+        "t", "_interval_start")
 
 
 @query("value_drift", """
@@ -444,7 +455,8 @@ def _(t):
         FROM (SELECT CASE WHEN updated_at < TIMESTAMP '1996-01-01' THEN DATE '1995-12-31'
                           ELSE CAST(updated_at AS DATE) END AS d, count(*) AS n
               FROM active WHERE updated_at < TIMESTAMP '2001-01-01' GROUP BY 1) s
-        FULL JOIN (SELECT _interval_start AS d, count(*) AS n FROM raw_bookings GROUP BY 1) r
+        FULL JOIN (SELECT _interval_start AS d, count(*) AS n FROM raw_bookings
+                   WHERE _interval_start < DATE '2001-01-01' GROUP BY 1) r
         ON s.d = r.d)"""), "active raw_bookings")
 def _(t):
     """The change-log state as source against the raw batch table."""

@@ -54,6 +54,15 @@ def _(t):
     return metrics.read()
 
 
+@query("metrics_rejects", """
+    SELECT event_id % 500 = 499 AS rejected, count(*) AS n FROM attempts GROUP BY 1""", "attempts")
+def _(t):
+    """Lines of the event log that cannot be used, beside the others."""
+    root = t.fresh_folder("lines")
+    t.event_lines().write.text(root)
+    return L.read_tolerant(t.spark, root).groupBy("rejected").agg(F.count("*").alias("n"))
+
+
 @query("incident_classes", """
     SELECT exception_type, scenario_runbook, count(*) AS n FROM attempts
     WHERE evenement <> 'succes' GROUP BY ALL""", "attempts")

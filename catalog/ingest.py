@@ -229,7 +229,8 @@ def _(t):
     """The snapshot once (the second call refuses), then the windows."""
     table, root = _table(t, "bookings", "bootstrap")
     for _ in range(2):
-        I.snapshot(t.stg_bookings, "bookings", table, FIRST, ingested_at=LOADED_AT)
+        I.snapshot(
+            t.stg_bookings, "bookings", table, f"{root}/landing", FIRST, ingested_at=LOADED_AT)
     I.backfill(t.stg_bookings, "bookings", table, f"{root}/landing", FIRST, LAST, AS_OF,
                ingested_at=LOADED_AT)
     return _per_day(table.read())

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.registry import query
@@ -85,9 +88,15 @@ def _(t):
         "payments": (t.raw_payments, t.stg_payments)})
 
 
+PAYMENT_COLUMNS = [
+    "payment_id", "booking_id", "amount", "payment_method", "status", "paid_at", "created_at",
+    "updated_at"]
+
+
 def _fingerprint_sql(name: str, columns: list[str]) -> str:
-    text = " || '|' || ".join(
-        f"coalesce(CAST({c} AS VARCHAR), '<null>')" for c in sorted(columns))
+    text = " || ".join(
+        f"coalesce('V' || length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'N')"
+        for c in sorted(columns))
     part = "CAST(sum(CAST(('0x' || substr(h, {0}, 15)) AS BIGINT)) AS DECIMAL(38,0))"
     return (
         f"SELECT '{name}' AS t, CAST(count(*) AS BIGINT) AS lignes, "
@@ -104,14 +113,16 @@ def _fingerprint_sql(name: str, columns: list[str]) -> str:
     _fingerprint_sql("stg_customers", [
         "customer_id", "first_name", "last_name", "email", "loyalty_tier", "created_at",
         "updated_at"]),
-]), "stg_hotels stg_bookings stg_customers")
+    _fingerprint_sql("stg_payments", PAYMENT_COLUMNS),
+]), "stg_hotels stg_bookings stg_customers stg_payments")
 def _(t):
     """Order-free content fingerprint per table."""
     parts = [
         fingerprint(df).select(F.lit(name).alias("t"), "lignes", "empreinte")
         for name, df in [("stg_hotels", t.stg_hotels), ("stg_bookings", t.stg_bookings),
-                         ("stg_customers", t.stg_customers)]]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+                         ("stg_customers", t.stg_customers),
+                         ("stg_payments", t.stg_payments.select(PAYMENT_COLUMNS))]]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("dim_customers", "SELECT * FROM dim_customers", "dim_customers")

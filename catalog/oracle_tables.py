@@ -36,13 +36,16 @@ SINCE = ("CASE WHEN c_custkey % 40 = 5 THEN TIMESTAMP '1996-01-01' "
 INCIDENT = (
     "CASE CAST(k % 6 AS INT) WHEN 0 THEN {0} WHEN 1 THEN {1} WHEN 2 THEN {2} "
     "WHEN 3 THEN {3} WHEN 4 THEN {4} ELSE {5} END")
-KINDS = INCIDENT.format("'OperationalError'", "'Forbidden'", "'Forbidden'", "'ConnectionTimeout'",
-                        "'AirflowFailException'", "'ValueError'")
+KINDS = INCIDENT.format(
+    "'OperationalError'", "'JobRejected'", "'JobRejected'", "'ConnectionTimeout'",
+    "'DataRefused'", "'KeyError'")
 TEXTS = INCIDENT.format(
-    "'failed to resolve host ''postgres'''",
-    "'403 Exceeded rate limits: too many table update operations'",
-    "'403 Quota exceeded: Your table exceeded quota for imports'",
-    "'connection timeout expired'", "'doublons sur booking_id'", "'unexpected value'")
+    "'the database server did not answer'",
+    "'rate limits hit while loading partition 7'",
+    "'quota exceeded for table imports today'",
+    "'no reply within 10 s'",
+    "'two rows share a key'",
+    "'a field is missing'")
 SCENARIOS = INCIDENT.format("'S1'", "'S2a'", "'S2b'", "'S1b'", "NULL", "NULL")
 STATUS4 = ("CASE CAST(({0}) % 4 AS INT) WHEN 0 THEN 'pending' WHEN 1 THEN 'confirmed' "
            "WHEN 2 THEN 'cancelled' ELSE 'completed' END")

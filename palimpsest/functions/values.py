@@ -37,6 +37,9 @@ def row_image(op: Column, before: Column, after: Column) -> Column:
     return F.when(op == "d", before).otherwise(after)
 
 
-def text_or_empty(c: Column) -> Column:
-    """Text of a value with NULL made visible, for fingerprints."""
-    return F.coalesce(c.cast("string"), F.lit("<null>"))
+def measured_text(c: Column) -> Column:
+    """Text of a value after its length, for fingerprints: no two rows of values give
+    the same text side by side, and NULL differs from every text."""
+    text = c.cast("string")
+    return F.coalesce(
+        F.concat(F.lit("V"), F.char_length(text).cast("string"), F.lit(":"), text), F.lit("N"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palimpsest.functions import epoch_seconds, text_or_empty
+from palimpsest.functions import epoch_seconds, measured_text
 
 
 def id_difference(
@@ -83,7 +83,7 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     one partial aggregate: no task ever sees the whole table as one string.
     """
     names = sorted(columns or df.columns)
-    text = F.concat_ws("|", *[text_or_empty(F.col(c)) for c in names])
+    text = F.concat(*[measured_text(F.col(c)) for c in names])
     digest = F.md5(text)
 
     def part(start: int) -> Column:

@@ -48,18 +48,19 @@ def with_neighbours(
 def customer_history(versions: DataFrame) -> DataFrame:
     """Type-2 customer dimension (W7) from one row per (customer, updated_at).
 
-    The first version is open towards the past and the last towards the
+    One shared window: a daily feed gives a customer at most one version a day,
+    which bounds its rows. The first version is open towards the past and the last towards the
     future; both real dates stay visible as customer_since and observed_from.
     """
-    rows = with_neighbours(
-        versions, ["customer_id"], "updated_at", ["updated_at"],
-        F.date_trunc("quarter", "updated_at"))
+    order = Window.partitionBy("customer_id").orderBy("updated_at")
+    rows = versions.withColumns({
+        "_number": F.row_number().over(order), "_next": F.lead("updated_at").over(order)})
     return rows.select(
         surrogate_key(F.col("customer_id"), F.col("updated_at")).alias("customer_sk"),
         "customer_id", "first_name", "last_name", "email", "loyalty_tier",
         F.col("created_at").alias("customer_since"),
-        F.when(F.col("_previous").isNotNull(), F.col("updated_at")).alias("valid_from"),
-        F.col("_next.updated_at").alias("valid_to"),
+        F.when(F.col("_number") > 1, F.col("updated_at")).alias("valid_from"),
+        F.col("_next").alias("valid_to"),
         F.col("updated_at").alias("observed_from"),
         F.col("_next").isNull().alias("is_current"),
     )

@@ -14,16 +14,30 @@ from palimpsest.operators.latest import latest_by
 DELIVERY = ["_kafka_topic", "_kafka_partition", "_kafka_offset"]
 
 
+def is_broken() -> Column:
+    """A message value that is no change event: broken JSON, or no operation or position."""
+    event = F.from_json("value", S.CHANGE_ENVELOPE)
+    return F.col("value").isNotNull() & (
+        event.isNull() | event["op"].isNull() | event["source"]["lsn"].isNull())
+
+
+def rejected_messages(messages: DataFrame) -> DataFrame:
+    """The messages that ``decode_messages`` leaves out as broken (X4), as they came."""
+    return messages.where(is_broken())
+
+
 def decode_messages(messages: DataFrame) -> DataFrame:
     """Envelope text to flat change rows (X4, F16, F11); images stay JSON text.
 
     Tombstones carry no value and are dropped here: the preceding delete event
-    already says everything. Snapshot reads take the same path (X10).
+    already says everything. Broken values never become events; see
+    ``rejected_messages``. Snapshot reads take the same path (X10).
     """
     envelope = F.from_json("value", S.CHANGE_ENVELOPE).alias("e")
     return (
         messages.where(F.col("value").isNotNull())
         .select("topic", "partition", "offset", "key", envelope)
+        .where(F.col("e.op").isNotNull() & F.col("e.source.lsn").isNotNull())
         .select(
             F.col("e.op").alias("op"), F.col("e.source.lsn").alias("lsn"),
             F.col("e.source.txId").alias("tx_id"),
@@ -37,7 +51,7 @@ def decode_messages(messages: DataFrame) -> DataFrame:
 
 def entity_of(topic: Column, prefix: str) -> Column:
     """Table name of a topic."""
-    return F.when(F.startswith(topic, F.lit(prefix)), F.substring(topic, len(prefix) + 1, 1000)) \
+    return F.when(F.startswith(topic, F.lit(prefix)), F.right(topic, F.char_length(topic) - len(prefix))) \
         .otherwise(topic)
 
 

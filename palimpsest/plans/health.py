@@ -71,7 +71,8 @@ def slow_tasks(events: DataFrame, as_of: str, days: int = 14, factor: float = 2)
     median = done.groupBy("dag_id", "task_id").agg(
         F.percentile_approx("duree_tentative_s", 0.5, 10000).alias("med_s"))
     return done.join(median, ["dag_id", "task_id"]).where(
-        F.col("duree_tentative_s") > factor * F.col("med_s"))
+        F.col("duree_tentative_s") > factor * F.col("med_s")).orderBy(
+        F.desc("duree_tentative_s"), "dag_id", "task_id", "horodatage")
 
 
 def uncovered_incidents(events: DataFrame) -> DataFrame:
@@ -80,7 +81,8 @@ def uncovered_incidents(events: DataFrame) -> DataFrame:
         events.where(F.col("evenement").isin("echec", "relance")
                      & F.col("scenario_runbook").isNull())
         .groupBy("exception_type", "exception_message")
-        .agg(F.count("*").alias("n"), F.max("horodatage").alias("dernier")))
+        .agg(F.count("*").alias("n"), F.max("horodatage").alias("dernier"))
+        .orderBy(F.desc("n"), "exception_type", "exception_message"))
 
 
 def detection_latency(events: DataFrame) -> DataFrame:
@@ -113,7 +115,8 @@ def expiring_partitions(
         inventory.where(real).withColumn("expire_le", expires)
         .where(F.col("expire_le") <= F.date_add(today, within))
         .select("table_name", "partition_id", "expire_le",
-                F.datediff("expire_le", today).alias("jours_restants"), "total_rows"))
+                F.datediff("expire_le", today).alias("jours_restants"), "total_rows")
+        .orderBy("expire_le", "table_name"))
 
 
 def first_expiry(inventory: DataFrame, retention: int = S.RETENTION_DAYS) -> DataFrame:

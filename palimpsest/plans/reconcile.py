@@ -23,7 +23,8 @@ def partition_counts(source: DataFrame, raw: DataFrame, start: str, end: str) ->
     """Rows per logical day on both sides, closed days only."""
     closed = source.where(F.col("updated_at") < F.lit(end).cast("timestamp")).select(
         window_of(F.col("updated_at"), start).alias("_interval_start"))
-    return count_difference(closed, raw.select("_interval_start"), ["_interval_start"])
+    loaded = raw.where(F.col("_interval_start") < F.lit(end).cast("date")).select("_interval_start")
+    return count_difference(closed, loaded, ["_interval_start"])
 
 
 def redundancy(raw: DataFrame, table: str, key: str) -> DataFrame:

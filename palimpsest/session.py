@@ -17,23 +17,14 @@ SQL_SETTINGS = {
 }
 
 
-INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-
-
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to a session made elsewhere.
 
-    On a cluster, exchanges start from several partitions per core unless the
-    session says otherwise; adaptive execution merges what is small, but it
-    cannot split a grouping that started too coarse.
+    The number of exchange partitions is the session's: the caller knows the
+    bytes of a run, and adaptive execution merges what is small.
     """
     for name, value in SQL_SETTINGS.items():
         spark.conf.set(name, value)
-    context = spark.sparkContext
-    if not context.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
-        wanted = max(
-            int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * context.defaultParallelism)
-        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
     return spark
 
 

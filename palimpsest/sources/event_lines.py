@@ -30,12 +30,18 @@ def read_strict(spark: SparkSession, path: str) -> DataFrame:
 def load_day(
     spark: SparkSession, path: str, metrics: DayTable, day: str, as_of: str,
     loaded_at: str, strict: bool = False,
-) -> None:
+) -> tuple[int, int]:
     """Replace one day of the metrics table (S13); an empty day is cleared, or
-    a replay would leave stale rows behind."""
+    a replay would leave stale rows behind. Returns the rows of the day and the
+    lines of the log that were rejected (S11)."""
     start, end = require_closed_day(day, as_of)
-    events = read_strict(spark, path) if strict else (
-        read_tolerant(spark, path).where("NOT rejected").drop("rejected"))
+    if strict:
+        events, rejected = read_strict(spark, path), 0
+    else:
+        lines = read_tolerant(spark, path)
+        rejected = lines.where("rejected").count()
+        events = lines.where("NOT rejected").drop("rejected")
     rows = in_window(events, start, end).withColumn(
         "_charge_le", F.lit(loaded_at).cast("timestamp"))
     metrics.replace_day(rows, day)
+    return metrics.rows_on(day).count(), rejected

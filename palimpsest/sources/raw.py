@@ -6,6 +6,7 @@ running a window again replaces exactly that day and nothing else.
 
 from __future__ import annotations
 
+import uuid
 import warnings
 from collections.abc import Sequence
 from contextlib import contextmanager
@@ -80,6 +81,21 @@ def landing_path(root: str, entity: str, day: str) -> str:
     return f"{root.rstrip('/')}/{entity}/dt={day}"
 
 
+def land_days(df: DataFrame, root: str, first: str, last: str) -> None:
+    """Write the rows of a range of days, each day to its own landing folder, and
+    clear the folders of days that have none: the same files' places as day by day."""
+    df.withColumn("dt", F.date_format("updated_at", "yyyy-MM-dd")).repartitionByRange(
+        "dt", "updated_at").sortWithinPartitions("dt", "updated_at").write.mode(
+        "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(root)
+    spark, day = df.sparkSession, date.fromisoformat(first)
+    written = {r.dt for r in df.select(
+        F.date_format("updated_at", "yyyy-MM-dd").alias("dt")).distinct().collect()}
+    while day.isoformat() <= last:
+        if day.isoformat() not in written:
+            _clear_folder(spark, f"{root}/dt={day.isoformat()}")
+        day += timedelta(days=1)
+
+
 def land(df: DataFrame, path: str) -> None:
     """Write a window's rows, replacing what an earlier run left.
 
@@ -100,24 +116,35 @@ def read_landed(
 
 
 def add_lineage(df: DataFrame, day: str, ingested_at: str | None = None) -> DataFrame:
-    """Load time, file and logical day (P1). Load time is audit data: the only
+    """Load time, file (of a landed day its folder) and logical day (P1). Load time is audit data: the only
     clock reading of the batch path."""
     now = F.current_timestamp() if ingested_at is None else _instant(ingested_at)
     return df.withColumns({
-        "_ingested_at": now, "_source_file": F.input_file_name(),
+        "_ingested_at": now,
+        "_source_file": F.regexp_replace(
+            F.input_file_name(), "(/dt=[^/]*)/[^/]*$", "$1"),
         DAY: F.lit(day).cast("date")})
 
 
 def gate(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     """Measurements that decide whether a batch may be loaded (A20): one pass,
     keys counted through a two-stage distinct."""
+    return df.agg(*_measures(key, start, end))
+
+
+def _measures(key: str, start: str, end: str) -> list:
     at = F.col("updated_at")
-    return df.agg(
+    return [
         F.count("*").alias("rows"),
         F.count_if(F.col(key).isNull()).alias("null_keys"),
         (F.count(key) - F.countDistinct(key)).alias("repeated_keys"),
         F.count_if((at < _instant(start)) | (at >= _instant(end))).alias("outside_window"),
-        F.min(at).alias("first_update"), F.max(at).alias("last_update"))
+        F.min(at).alias("first_update"), F.max(at).alias("last_update")]
+
+
+def gate_days(df: DataFrame, key: str, start: str, end: str, day: str = "dt") -> DataFrame:
+    """The same measurements, one row a day of a range, in one pass."""
+    return df.groupBy(day).agg(*_measures(key, start, end))
 
 
 def gate_problems(df: DataFrame, key: str, start: str, end: str) -> tuple[int, list[str]]:
@@ -126,10 +153,14 @@ def gate_problems(df: DataFrame, key: str, start: str, end: str) -> tuple[int, l
     if missing:
         return 0, [f"missing columns {missing}"]
     m = gate(df, key, start, end).first()
+    return m.rows, _named_problems(m)
+
+
+def _named_problems(m) -> list[str]:
     named = {
         "null key": m.null_keys, "repeated key": m.repeated_keys,
         "outside the window": m.outside_window}
-    return m.rows, [f"{what}: {n} rows" for what, n in named.items() if n]
+    return [f"{what}: {n} rows" for what, n in named.items() if n]
 
 
 @dataclass(frozen=True)
@@ -191,7 +222,7 @@ class DayTable:
         if on_empty == "keep" and df.isEmpty():
             return
         columns = self._align(df)
-        view = f"_rows_{self.name.replace('.', '_')}"
+        view = f"_rows_{self.name.replace('.', '_')}_{uuid.uuid4().hex}"
         self._clustered(df.select(*columns)).createOrReplaceTempView(view)
         listed = ", ".join(f"`{c}`" for c in columns)
         self.spark.sql(
@@ -283,8 +314,9 @@ def backfill(
 ) -> None:
     """Reload a range of closed days in one job (G2), late rows included.
 
-    The source is read once, into the landing folder of the range; checks and
-    load read the landed files.
+    The source is read once, into one landing folder a day; the gate looks at
+    every day and the load reads the landed files, so that a day is refused, and
+    traced to its folder, as if it had been loaded alone.
 
     ``keeps_history`` marks tables whose old versions only exist in the raw
     layer: a mutable source no longer has them, so reloading erases them.
@@ -295,25 +327,41 @@ def backfill(
             f"{entity}: reloading {first}..{last} from the source erases row versions "
             "that only the raw table still holds", stacklevel=2)
     end = (date.fromisoformat(last) + timedelta(days=1)).isoformat()
-    path = landing_path(landing, entity, f"{first}_{last}")
-    land(scan_window(source, first, end), path)
-    landed = read_landed(table.spark, [path], source.schema)
-    dated = add_lineage(landed, first, ingested_at).withColumn(DAY, F.to_date("updated_at"))
+    root = f"{landing.rstrip('/')}/{entity}"
+    rows = scan_window(source, first, end)
+    if rows.isEmpty():
+        table.replace_days(
+            add_lineage(rows, first, ingested_at).withColumn(DAY, F.to_date("updated_at")), first, last)
+        return
+    land_days(rows, root, first, last)
+    days = T.StructType([*source.schema.fields, T.StructField("dt", T.StringType())])
+    landed = read_landed(table.spark, [root], days).where(F.col("dt").between(first, last))
+    bad = [f"{m.dt}: " + ", ".join(_named_problems(m)) for m in gate_days(
+        landed, S.PRIMARY_KEY[entity], first, end).collect() if _named_problems(m)]
+    if bad:
+        raise GateError(f"{entity}: " + "; ".join(sorted(bad)))
+    dated = add_lineage(landed, first, ingested_at).withColumn(DAY, F.to_date("dt")).drop("dt")
     table.replace_days(dated, first, last)
 
 
 def snapshot(
-    source: DataFrame, entity: str, table: DayTable, start: str, *, force: bool = False,
-    ingested_at: str | None = None,
+    source: DataFrame, entity: str, table: DayTable, landing: str, start: str, *,
+    force: bool = False, ingested_at: str | None = None,
 ) -> bool:
     """Everything older than ``start`` into the partition of its eve.
 
     Windows and snapshot never overlap. Refuses to run twice, because a later
-    run would mix two instants of the source; returns whether it wrote.
+    run would mix two instants of the source; returns whether it wrote. The rows
+    are landed once; gate and load read the landed files.
     """
     eve = (date.fromisoformat(start) - timedelta(days=1)).isoformat()
     if not force and not table.rows_on(eve).isEmpty():
         return False
-    old = scan_window(source, EPOCH, start)
-    table.replace_day(add_lineage(old, eve, ingested_at), eve)
+    path = landing_path(landing, entity, eve)
+    land(scan_window(source, EPOCH, start), path)
+    landed = read_landed(table.spark, [path], source.schema)
+    _, problems = gate_problems(landed, S.PRIMARY_KEY[entity], EPOCH, start)
+    if problems:
+        raise GateError(f"{entity} {eve}: " + "; ".join(problems))
+    table.replace_day(add_lineage(landed, eve, ingested_at), eve)
     return True

@@ -16,16 +16,18 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from palimpsest import schemas as S
 from palimpsest.functions import row_image
-from palimpsest.plans.changes import DELIVERY, decode_messages, entity_of
+from palimpsest.plans.changes import (
+    DELIVERY, decode_messages, entity_of, is_broken, rejected_messages)
 
 # Fixed defaults of a micro-batch: so many messages, or so long after the first.
 BATCH_MESSAGES, BATCH_SECONDS = 1000, 300
+LARGEST_BATCH = 5_000_000  # what is beyond it waits for the next batch
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def kafka_options(
     servers: str, topics: Iterable[str], min_messages: int = BATCH_MESSAGES,
-    max_seconds: int = BATCH_SECONDS,
+    max_seconds: int = BATCH_SECONDS, max_messages: int = LARGEST_BATCH,
 ) -> dict[str, str]:
     """Options of the Kafka source: from the earliest message, a batch once
     enough messages wait or the delay has passed, and fail on lost messages."""
@@ -35,6 +37,7 @@ def kafka_options(
         "startingOffsets": "earliest",
         "minOffsetsPerTrigger": str(min_messages),
         "maxTriggerDelay": f"{max_seconds}s",
+        "maxOffsetsPerTrigger": str(max_messages),
         "failOnDataLoss": "true",
     }
 
@@ -59,8 +62,8 @@ def append_changes(
 ) -> Callable[[DataFrame, int], None]:
     """Batch function: decode and append to one folder per entity.
 
-    All entities are written by one job; the checkpoint commits the offsets
-    only when it is done. ``after_write`` runs between write and commit: tests
+    All entities are written by one job, broken messages beside them under
+    ``root``_rejects; the checkpoint commits the offsets only when both are done. ``after_write`` runs between write and commit: tests
     raise in it to provoke a replay (X3).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -69,6 +72,9 @@ def append_changes(
             "_ingested_at": F.current_timestamp(),
             "_ingested_day": F.to_date(F.current_timestamp())})
         rows.write.mode("append").partitionBy("entity", "_ingested_day").parquet(root)
+        broken = rejected_messages(batch)
+        if not broken.isEmpty():
+            broken.write.mode("append").parquet(f"{root}_rejects")
         if after_write is not None:
             after_write(batch_id)
 
@@ -82,18 +88,20 @@ def run_changes(
     """Start the consumer. ``drain`` reads what is there and stops (X2), else
     it runs until it is stopped.
 
-    The observed counts (messages, tombstones) appear in the progress of every
+    The observed counts (messages, tombstones, broken ones) appear in the progress of every
     batch (X9).
     """
     watched = messages.observe(
         "messages", F.count("*").alias("messages"),
-        F.count_if(F.col("value").isNull()).alias("tombstones"))
+        F.count_if(F.col("value").isNull()).alias("tombstones"),
+        F.count_if(is_broken()).alias("rejected"))
     writer = (
         watched.writeStream.foreachBatch(append_changes(root, prefix, after_write))
         .option("checkpointLocation", checkpoint))
     if drain:
         return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{BATCH_SECONDS} seconds").start()
+    # the source decides when a batch is due: enough messages, or the delay
+    return writer.trigger(processingTime="1 second").start()
 
 
 def read_changes(spark: SparkSession, root: str, entity: str) -> DataFrame:
@@ -104,10 +112,27 @@ def read_changes(spark: SparkSession, root: str, entity: str) -> DataFrame:
         *S.CHANGE_LOG.names)
 
 
-def drop_redelivered_stream(changes: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """One row per position on the stream itself (X7): state older than the
-    delay is dropped, so it stays bounded."""
-    return changes.withWatermark("captured_at", delay).dropDuplicatesWithinWatermark(DELIVERY)
+def drop_redelivered_stream(changes: DataFrame) -> DataFrame:
+    """One row per position on the stream itself (X7), however late a row comes.
+
+    There is no watermark, which would drop late rows as well as late copies: the
+    positions seen stay as state on the executors' disks (RocksDB).
+    """
+    return changes.dropDuplicates(DELIVERY)
+
+
+def run_distinct_changes(messages: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Append every decoded change once to ``root``."""
+    with_rocksdb(messages.sparkSession)
+    return (
+        drop_redelivered_stream(decode_messages(messages)).writeStream.outputMode("append")
+        .format("parquet").option("path", root).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start())
+
+
+def with_rocksdb(spark: SparkSession) -> None:
+    """Keep streaming state on disk; queries take the setting when they start."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
 def latest_state_stream(changes: DataFrame) -> DataFrame:
@@ -130,7 +155,7 @@ def run_latest_state(
     One row per key is kept as state, on the executors' disks (RocksDB) so that
     the number of keys is not bound by memory.
     """
-    messages.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    with_rocksdb(messages.sparkSession)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")

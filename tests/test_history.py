@@ -121,3 +121,6 @@ def test_fingerprint_depends_on_content_only(spark):
     assert base != fingerprint(df.withColumn("b", F.when(F.col("a") == 3, "x").otherwise(F.col("b")))).first()
     assert base != fingerprint(df.unionByName(df.where("a = 1"))).first()
     assert fingerprint(df.limit(0)).first().empreinte == "vide"
+    alike = [("a|b", "c"), ("a", "b|c"), ("a", None), ("a", "<null>"), ("a", "N"), ("aN", None), ("", "a")]
+    prints = {fingerprint(spark.createDataFrame([r], "x string, y string")).first().empreinte for r in alike}
+    assert len(prints) == len(alike)

@@ -100,11 +100,28 @@ def test_backfill_equals_single_days_in_any_order(spark, bookings, table):
         load(bookings, table, day)
     other = I.raw_table(spark, "bookings", f"t_{uuid.uuid4().hex}", work_dir(spark, "other"))
     I.backfill(bookings, "bookings", other, landing, "1998-01-05", "1998-01-07", AS_OF)
-    drop = ["_ingested_at", "_source_file"]
+    assert t.read().where("_source_file LIKE '%/dt=1998-01-06'").count() == days(t)["1998-01-06"]
+    drop = ["_ingested_at"]
     assert fingerprint(t.read().drop(*drop)).first() == fingerprint(
         other.read().drop(*drop)).first()
 
 
+@pytest.mark.parametrize("broken", ["doubled", "without key"])
+def test_every_load_path_has_the_gate(bookings, table, broken):
+    t, landing = table
+    load(bookings, table)
+    before = days(t)
+    bad = bookings.union(bookings) if broken == "doubled" else bookings.withColumn(
+        "booking_id", F.expr("nullif(booking_id, booking_id)"))
+    with pytest.raises(I.GateError, match="key"):
+        I.backfill(bad, "bookings", t, landing, "1998-01-05", "1998-01-07", AS_OF)
+    with pytest.raises(I.GateError, match="key"):
+        I.snapshot(bad, "bookings", t, landing, "1998-01-01")
+    with pytest.raises(I.GateError, match="key"):
+        load(bad, table)
+    assert days(t) == before
+
+
 def test_backfill_leaves_other_days_alone(bookings, table):
     t, landing = table
     I.backfill(bookings, "bookings", t, landing, "1998-01-01", "1998-01-31", AS_OF)
@@ -124,13 +141,14 @@ def test_backfill_warns_where_history_would_be_lost(bookings, table):
 
 
 def test_snapshot_runs_once_unless_forced(bookings, table):
-    t, _ = table
-    assert I.snapshot(bookings, "bookings", t, "1998-01-01")
+    t, landing = table
+    assert I.snapshot(bookings, "bookings", t, landing, "1998-01-01")
     before = days(t)
     assert set(before) == {"1997-12-31"}
-    assert not I.snapshot(bookings.limit(1), "bookings", t, "1998-01-01")
+    assert not I.snapshot(bookings.limit(1), "bookings", t, landing, "1998-01-01")
     assert days(t) == before
-    assert I.snapshot(bookings.where("booking_id % 2 = 0"), "bookings", t, "1998-01-01", force=True)
+    half = bookings.where("booking_id % 2 = 0")
+    assert I.snapshot(half, "bookings", t, landing, "1998-01-01", force=True)
     assert 0 < days(t)["1997-12-31"] < before["1997-12-31"]
 
 

@@ -94,10 +94,8 @@ def test_running_state_ignores_order_and_copies(spark, messages):
 def test_stream_dedup(spark, messages):
     path, log = messages
     root = work_dir(spark, "dedup")
-    changes = X.drop_redelivered_stream(C.decode_messages(X.file_messages(spark, path)), "40 days")
-    (changes.writeStream.format("parquet").option("path", f"{root}/out")
-     .option("checkpointLocation", f"{root}/cp").trigger(availableNow=True).start()
-     .awaitTermination())
+    X.run_distinct_changes(
+        X.file_messages(spark, path), f"{root}/out", f"{root}/cp").awaitTermination()
     assert spark.read.parquet(f"{root}/out").count() == log.select("tx_id").distinct().count()
 
 
@@ -105,4 +103,21 @@ def test_kafka_options():
     options = X.kafka_options("broker:9092", ["a", "b"])
     assert options["startingOffsets"] == "earliest"
     assert options["minOffsetsPerTrigger"] == "1000" and options["maxTriggerDelay"] == "300s"
+    assert int(options["maxOffsetsPerTrigger"]) > 1000
     assert options["subscribe"] == "a,b"
+
+
+def test_broken_messages_are_kept_aside(spark):
+    root = work_dir(spark, "broken")
+    good = '{"op":"c","source":{"lsn":5,"ts_ms":1000},"ts_ms":2000,"before":null,"after":{"booking_id":1}}'
+    rows = [("app.public.bookings", 0, n, "k", v) for n, v in enumerate(
+        [good, good[:-5], "", "null", '{"op":null,"source":{"lsn":1}}', '{"op":"u","source":{}}', None])]
+    spark.createDataFrame(rows, S.MESSAGE).coalesce(1).write.json(f"{root}/in")
+    query = X.run_changes(X.file_messages(spark, f"{root}/in"), f"{root}/log", f"{root}/cp", "app.public.")
+    query.awaitTermination()
+    (counts,) = X.batch_counts(query)
+    assert (counts["messages"], counts["tombstones"], counts["rejected"]) == (7, 1, 5)
+    log = X.read_changes(spark, f"{root}/log", "bookings")
+    assert [r._kafka_offset for r in log.collect()] == [0]
+    assert C.booking_state(log).where("booking_id IS NULL").isEmpty()
+    assert sorted(r.offset for r in spark.read.parquet(f"{root}/log_rejects").collect()) == [1, 2, 3, 4, 5]
