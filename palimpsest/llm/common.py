@@ -34,6 +34,40 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class IdFilter:
+    """A bitmap of hashed ids, to set apart the rows that a join with them cannot concern.
+
+    It has no false negatives; false positives go through the join. At most 2**28 bits,
+    32 MB, whatever the number of ids; the rows of the join are the same at any size.
+    """
+
+    def __init__(self, ids: DataFrame):
+        spark, (name,) = ids.sparkSession, ids.columns
+        self.size = 1 << min(28, max(18, (16 * ids.count()).bit_length()))
+        place = self._slot(name) + 1  # the bitmap functions count from 1
+        rows = ids.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).toArrow()
+        bits = np.zeros((-(-self.size // 32768), 4096), np.uint8)
+        for bucket, data in zip(rows["bucket"].to_pylist(), rows["bits"].to_pylist()):
+            bits[bucket - 1] = np.frombuffer(data, np.uint8)
+        self.bits = spark.sparkContext.broadcast(bits.ravel())
+
+    def _slot(self, name: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(name)), F.lit(self.size))
+
+    def split(self, df: DataFrame, name: str, inside: bool) -> DataFrame:
+        """The rows of ``df`` whose id may be among the ids, or those whose id is not."""
+        bits = self.bits
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                slot = b.column("__slot").to_numpy()
+                found = (bits.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1) == int(inside)
+                yield b.drop_columns(["__slot"]).filter(pa.array(found))
+
+        return df.withColumn("__slot", self._slot(name)).mapInArrow(keep, df.schema)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -40,14 +40,15 @@ GATES, MAP_BINS, STRETCH = 8 * 3 * 8, 33, 8.0
 END = 255
 RATE, PRIOR, MINI = 0.2, 50, 2048
 HEAVY = 1 << 17  # words over one HEAVYth of all tokens, at most HEAVY, go to all tasks
-MERGE = 1 << 20
+MERGE = 1 << 19
+PIECE = 1_000_000  # bytes of text that are worked on at a time
 INVERSE = np.uint64(pow(int(RADIX), -1, 1 << 64))
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the radix and of its inverse, kept while the worker lives."""
-    size = max(1 << 21, 1 << int(n - 1).bit_length()) if n else 1
+    size = max(1 << 20, 1 << int(n - 1).bit_length()) if n else 1
     if size not in _POWERS:
         _POWERS.clear()
         _POWERS[size] = tuple(np.concatenate(
@@ -71,14 +72,14 @@ def events(column: pa.Array) -> Events:
     data = np.insert(LOWER[raw], bounds[1:], END)
     starts = bounds[:-1] + np.arange(len(bounds) - 1)
     n, ends = len(data), np.append(starts[1:], len(data))
-    history, before = [], np.zeros(n, np.uint64)
+    history, before = [], np.zeros(n, np.uint32)
     for k in range(1, 5):
-        last = np.full(n, END, np.uint64)
+        last = np.full(n, END, np.uint32)
         last[k:] = data[:-k]
         for j in range(k):  # what stands before the text's first byte
             at = starts + j
             last[at[at < ends]] = END
-        before = before | (last << np.uint64(8 * (k - 1)))
+        before = before | (last << np.uint32(8 * (k - 1)))
         history.append(before)
     power, inverse = powers(n)
     total = np.concatenate([[np.uint64(0)], np.cumsum(BYTE_VALUES[data] * power)])[:n]
@@ -88,14 +89,16 @@ def events(column: pa.Array) -> Events:
     begin[starts] = starts
     begin = np.maximum.accumulate(begin)
     word = mix((total - total[begin]) * inverse[begin])
-    codes, _ = pd.factorize(mix(word + mix(history[3] << np.uint64(8) | data.astype(np.uint64))))
+    del total, begin
+    codes, _ = pd.factorize(mix(word + mix(
+        history[3].astype(np.uint64) << np.uint64(8) | data.astype(np.uint64))))
     size = int(codes.max()) + 1
     # Rare events come late in a piece: a fixed shuffle keeps the mixer's batches alike.
     codes = np.random.default_rng(5).permutation(size)[codes]
     at = np.empty(size, np.int64)
     at[codes] = np.arange(n)
     return Events(
-        [h[at] for h in history] + [word[at]], data[at], np.bincount(codes, minlength=size),
+        [h[at].astype(np.uint64) for h in history] + [word[at]], data[at], np.bincount(codes, minlength=size),
         codes, starts)
 
 
@@ -199,7 +202,7 @@ def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, distinct = pd.factorize(words)
         return distinct, np.bincount(codes, np.concatenate([n for _, n in seen])).astype(np.int64)
 
-    for piece in slices(batches, "text"):
+    for piece in slices(batches, "text", PIECE):
         texts = piece.column("text")
         docs += piece.num_rows
         codes, distinct = pd.factorize(word_hashes(words_of(texts)))
@@ -375,7 +378,7 @@ def scored(docs: DataFrame, learned: Learned, doc_id: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, (heavy, count) = shared.value
         number = TaskContext.get().partitionId() << 33
-        for piece in slices(batches, "text", limit=3_000_000):
+        for piece in slices(batches, "text", PIECE):
             texts, rows = piece.column("text"), piece.num_rows
             words = words_of(texts)
             hashes, row = word_hashes(words), words.rows

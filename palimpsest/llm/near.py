@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import mix, numbers, slices, sorted_sets, stored, windows, word_hashes, words_of
+from palimpsest.llm.common import (
+    IdFilter, mix, numbers, slices, sorted_sets, stored, windows, word_hashes, words_of)
 from palimpsest.llm.components import components
 
 BANDS, ROWS = 40, 7
@@ -206,7 +207,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "key", "id", "n", F.col("head.id").alias("hub"), F.col("head.n").alias("hub_n")).distinct(),
         "near-buckets")
     wanted = members.select("id").distinct()
-    texts = stored(given.join(wanted, "id", "left_semi"), "near-texts")
+    wanted = stored(wanted, "near-wanted")
+    texts = stored(IdFilter(wanted).split(given, "id", True).join(wanted, "id", "left_semi"), "near-texts")
     repeated = linked.groupBy("id").count().filter("count > 1").select("id")
     again = linked.join(repeated, "id").join(classes, "digest").select(
         F.col("id").alias("a"), F.col("rep").alias("b")).filter("a != b").distinct()
@@ -224,8 +226,10 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """The rows of ``docs`` that stay: of each component the document with the smallest
     id, of rows that repeat its id one (the smallest text); rows with a null id stay."""
     found = stored(near_duplicates(docs, doc_id, text), "near-found")
-    gone = found.filter(~F.col("kept")).select(doc_id).distinct()
-    stay = docs.join(gone, doc_id, "left_anti")
+    gone = stored(found.filter(~F.col("kept")).select(doc_id).distinct(), "near-gone")
+    some = IdFilter(gone)  # only texts that may go are shuffled
+    stay = some.split(docs, doc_id, False).unionByName(
+        some.split(docs, doc_id, True).join(gone, doc_id, "left_anti").select(docs.columns))
     repeated = stored(found.filter("kept").groupBy(doc_id).count().filter(
         (F.col("count") > 1) & F.col(doc_id).isNotNull()).select(doc_id), "near-repeated")
     if repeated.isEmpty():

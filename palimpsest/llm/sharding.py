@@ -2,9 +2,10 @@
 
 A directory indexed by the leading bits of a row hash; only a bucket over its
 byte limit is split on one more bit, until every shard fits. Bucket sizes come
-from a histogram of at most 2**LEVEL cells, so the directory is bounded and the
-texts themselves are never shuffled. Rows of a cell that is still too large go
-through the next LEVEL bits, so no bucket is capped.
+from a histogram over the first LEVEL bits, whose at most 2**LEVEL rows go to all
+tasks, so the texts are not shuffled. Rows of a cell that is still too large go
+through the next LEVEL bits, so no bucket is capped; how those directories are
+joined is left to their size.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.common import stored
 
-BITS, LEVEL = 60, 20
+BITS, LEVEL = 60, 15
 
 
 def row_hash(doc_id: str = "doc_id", text: str = "text") -> Column:
@@ -73,10 +74,10 @@ def extendible_shards(
     out, found = rows, []
     while True:
         level = stored(directory(pending, limit_bytes, used), "shard-directory")
-        # at most 2**LEVEL narrow rows a level: left to the size-checked broadcast
         names = [f"__cell{used}", f"__depth{used}", f"__total{used}"]
+        found_at = level.toDF(*names)
         out = out.withColumn(names[0], _prefix(F.col("__hash"), used + LEVEL, BITS)).join(
-            level.toDF(*names), names[0], "left")
+            found_at if used else F.broadcast(found_at), names[0], "left")  # 2**LEVEL rows at most
         found.append(names)
         over = level.filter(F.col("depth").isNull()).select("cell")
         if used + LEVEL >= BITS or over.isEmpty():
