@@ -15,6 +15,7 @@ stands before it. Within a piece, equal (context, byte) events are computed once
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from palimpsest.llm.common import (
     BLANKS, BYTE_VALUES, LOWER, RADIX, mix, numbers, slices, stored, utf8, word_hashes, words_of)
 
-BITS = [16, 19, 20, 21, 21]  # log2 of the slots of each predictor
+BITS = [16, 18, 19, 20, 21]  # log2 of the slots of each predictor
 K = len(BITS)
 BASES = np.concatenate([[0], np.cumsum([1 << b for b in BITS])])
 SLOTS = int(BASES[-1])
@@ -241,21 +242,25 @@ def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _part(WEIGHTS, [0], [mixed_bytes], [mixer.weights.tobytes()])
         yield _part(HITS, [0], [mixed_bytes], [mixer.hits.tobytes()])
     pairs = counts.reshape(-1, 2)
-    salt = TaskContext.get().partitionId() % SPREAD
+    salt = TaskContext.get().partitionId() // 8 % SPREAD
     for block in range(-(-SLOTS // BLOCK)):
         part = pairs[block * BLOCK:(block + 1) * BLOCK]
         at = np.flatnonzero(part.any(axis=1))
         if len(at):
-            yield _part(COUNTS, [block * SPREAD + salt], [len(at)], [
-                at.astype("<u4").tobytes() + part[at].astype("<u4").tobytes()])
+            yield _part(COUNTS, [block * SPREAD + salt], [len(at)], [packed(at, part[at])])
+
+
+def packed(at: np.ndarray, pairs: np.ndarray) -> bytes:
+    """Places in a block and their two counts, column by column, compressed."""
+    return zlib.compress(at.astype("<u2").tobytes() + pairs.T.astype("<u4").tobytes(), 1)
 
 
 def add_counts(table: pa.Table) -> np.ndarray:
     total = np.zeros((BLOCK, 2), np.uint64)
     for data in table["data"].to_pylist():
-        raw = np.frombuffer(data, "<u4")
-        n = len(raw) // 3
-        total[raw[:n]] += raw[n:].reshape(n, 2)
+        raw = zlib.decompress(data)
+        n = len(raw) // 10
+        total[np.frombuffer(raw, "<u2", n)] += np.frombuffer(raw, "<u4", 2 * n, 2 * n).reshape(2, n).T
     return np.minimum(total, 0xFFFFFFFF)
 
 
@@ -263,7 +268,7 @@ def partial_block(table: pa.Table) -> pa.Table:
     """Sum of a block over the tasks of one salt."""
     total = add_counts(table)
     at = np.flatnonzero(total.any(axis=1))
-    data = at.astype("<u4").tobytes() + total[at].astype("<u4").tobytes()
+    data = packed(at, total[at])
     block = table["key"][0].as_py() // SPREAD
     return pa.Table.from_batches([_part(COUNTS, [block], [len(at)], [data])])
 
