@@ -319,10 +319,18 @@ def _report_sql() -> str:
                f"SELECT count(*) FROM {source.get(c, c)} WHERE {fk} IS NOT NULL AND {fk} NOT IN "
                f"(SELECT {pk} FROM {source.get(p, p)} WHERE {pk} IS NOT NULL)")
         for c, fk, p, pk in K.RELATIONS]
-    nothing = "SELECT CAST(0 AS BIGINT)"  # sound by construction of the derived tables
     lines += [
-        _count("versions_unique", "error", nothing),
-        _count("versions_continuous", "error", nothing),
+        _count("versions_unique", "error",
+               "SELECT count(*) FROM (SELECT customer_id, updated_at FROM versions GROUP BY 1, 2 "
+               "HAVING count(*) > 1)"),
+        _count("versions_continuous", "error", """
+            SELECT count(*) FROM (
+                SELECT customer_id FROM (
+                    SELECT *, lead(valid_from) OVER w AS following, lead(observed_from) OVER w AS seen
+                    FROM dim_customers WINDOW w AS (PARTITION BY customer_id ORDER BY observed_from))
+                WHERE seen IS NOT NULL AND valid_to IS DISTINCT FROM following
+                UNION ALL SELECT customer_id FROM dim_customers GROUP BY 1
+                HAVING count(*) FILTER (WHERE is_current) <> 1)"""),
         _count("fact_vs_staging", "error",
                "SELECT count(*) FROM active FULL JOIN facts USING (booking_id) "
                "WHERE active.customer_id IS NULL OR facts.customer_id IS NULL"),
@@ -350,7 +358,8 @@ def _report_sql() -> str:
 
 
 @query("check_report", _report_sql(),
-       "rates rpt state calendar facts orphans stg_hotels stg_bookings dim_hotels stg_payments")
+       "rates rpt state calendar facts orphans stg_hotels stg_bookings dim_hotels stg_payments "
+       "versions dim_customers")
 def _(t):
     """Build the models as tables, then run every check on them."""
     raw = {"hotels": t.raw_hotels, "customers": t.raw_customers,
