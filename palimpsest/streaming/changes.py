@@ -67,6 +67,7 @@ def append_changes(
     raise in it to provoke a replay (X3).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # two writes read it; its counts are observed once
         rows = decode_messages(batch).withColumns({
             "entity": entity_of(F.col("_kafka_topic"), prefix),
             "_ingested_at": F.current_timestamp(),
@@ -75,6 +76,7 @@ def append_changes(
         broken = rejected_messages(batch)
         if not broken.isEmpty():
             broken.write.mode("append").parquet(f"{root}_rejects")
+        batch.unpersist()
         if after_write is not None:
             after_write(batch_id)
 
