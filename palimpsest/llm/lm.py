@@ -144,13 +144,10 @@ class Mixer:
         place = (np.clip(x, -STRETCH, STRETCH) + STRETCH) * ((MAP_BINS - 1) / (2 * STRETCH))
         low = np.minimum(place.astype(np.int64), MAP_BINS - 2)
         part = place - low
-
-        def seen(at: np.ndarray) -> np.ndarray:
-            centre = squash(at * (2 * STRETCH / (MAP_BINS - 1)) - STRETCH)
-            zeros, ones = self.hits[at, node, 0], self.hits[at, node, 1]
-            return (ones + 4 * centre) / (zeros + ones + 4)
-
-        p = 0.5 * p + 0.5 * ((1 - part) * seen(low) + part * seen(low + 1))
+        centre = squash(np.arange(MAP_BINS) * (2 * STRETCH / (MAP_BINS - 1)) - STRETCH)
+        seen = ((self.hits[..., 1] + 4 * centre[:, None]) / (self.hits.sum(axis=2) + 4)).ravel()
+        at = low * 256 + node
+        p = 0.5 * p + 0.5 * ((1 - part) * seen[at] + part * seen[at + 256])
         return np.clip(p, 2.0 ** -16, 1 - 2.0 ** -16)
 
     def learn(self, inputs, gate, node, bit, count) -> None:
@@ -289,15 +286,15 @@ class Model:
 
     def log10(self, found: Events) -> np.ndarray:
         """log10 probability of every distinct event."""
-        out = np.zeros(len(found.symbol))
+        out = np.ones(len(found.symbol))  # eight factors of at least 2**-16 each
         inputs = np.ones((K + 1, len(out)), np.float32)
         for place, node, bit, slots in steps(found):
             for k in range(K):
                 inputs[k] = self.value[slots[k]]
             gate = gate_of(place, self.level[slots[3]], self.level[slots[4]].astype(np.int64))
             p = self.mixer.refined(self.mixer.mixed(inputs, gate), node)
-            out += np.log10(np.where(bit == 1, p, 1 - p))
-        return out
+            out *= np.where(bit == 1, p, 1 - p)
+        return np.log10(out)
 
     def scores(self, column: pa.Array) -> np.ndarray:
         """log10 probability of every text, its end included."""

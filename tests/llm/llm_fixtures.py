@@ -77,6 +77,8 @@ def leaks(docs: list[tuple], items: list[tuple], threshold: float = 0.8) -> dict
     for i, t in docs:
         w = words(t, True)
         for j, text in items:
+            if not shingles(t) & shingles(text) and len(words(text)) >= 5:
+                continue  # nothing in common
             q = words(text, True)
             best = max(((weighted_similarity(w[a:a + len(q)], q), -a)
                         for a in range(len(w) - len(q) + 1)), default=(0, 0)) if q else (0, 0)
