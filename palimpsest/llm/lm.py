@@ -42,7 +42,7 @@ END = 255
 RATE, PRIOR, MINI = 0.2, 50, 2048
 HEAVY = 1 << 17  # words over one HEAVYth of all tokens, at most HEAVY, go to all tasks
 MERGE = 1 << 19
-PIECE = 1_000_000  # bytes of text that are worked on at a time
+PIECE = 1_500_000  # bytes of text that are worked on at a time
 INVERSE = np.uint64(pow(int(RADIX), -1, 1 << 64))
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
