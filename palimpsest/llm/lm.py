@@ -5,8 +5,8 @@ keeps, per hashed context and node of the byte's binary tree, how often the next
 bit was 0 and 1. A mixer adds their stretched probabilities with weights chosen
 by a gate (the bit's place and how much the longest contexts have seen), and an adaptive probability
 map refines the result. Counting is one distributed pass: every task counts its
-text, learns mixer and map online (a piece is predicted before it is counted),
-and sends sparse blocks that are added up. The model has a fixed number of slots,
+text, learns mixer and map online from all of it (a span is predicted before it is
+counted; the first are short), and sends sparse blocks that are added up. The model has a fixed number of slots,
 so its size is bounded; all training text goes into its counts.
 
 Bytes are lower-cased (A-Z); 255, which UTF-8 never uses, ends a text and also
@@ -43,6 +43,7 @@ RATE, PRIOR, MINI = 0.2, 50, 2048
 HEAVY = 1 << 17  # words over one HEAVYth of all tokens, at most HEAVY, go to all tasks
 MERGE = 1 << 19
 PIECE = 1_500_000  # bytes of text that are worked on at a time
+FIRST = 4096  # bytes of a task's first span; each later one is as long as all before it
 INVERSE = np.uint64(pow(int(RADIX), -1, 1 << 64))
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -103,6 +104,17 @@ def events(column: pa.Array) -> Events:
         codes, starts)
 
 
+def spans(found: Events, done: int) -> Iterator[Events]:
+    """The events of successive spans of a piece, whose bytes follow ``done`` others."""
+    a, n = 0, len(found.codes)
+    while a < n:
+        b = min(n, a + max(FIRST, done + a))
+        count = np.bincount(found.codes[a:b], minlength=len(found.symbol))
+        at = np.flatnonzero(count)
+        yield Events([c[at] for c in found.contexts], found.symbol[at], count[at], None, None)
+        a = b
+
+
 SALT = numbers(K, 71)
 NODE, SPIN = numbers(2, 73)
 
@@ -152,6 +164,7 @@ class Mixer:
 
     def learn(self, inputs, gate, node, bit, count) -> None:
         """Online: small batches, each predicted before it moves the weights."""
+        cell = np.empty(len(bit), np.int64)
         for a in range(0, len(bit), MINI):
             s = slice(a, a + MINI)
             x = self.mixed(inputs[:, s], gate[s])
@@ -162,7 +175,8 @@ class Mixer:
                 self.weights[:, k] += RATE * push / (total + PRIOR)
             place = np.rint((np.clip(x, -STRETCH, STRETCH) + STRETCH) * (
                 (MAP_BINS - 1) / (2 * STRETCH))).astype(np.int64)
-            np.add.at(self.hits, (place, node[s], bit[s]), count[s])
+            cell[s] = (place * 256 + node[s]) * 2 + bit[s]
+        self.hits += np.bincount(cell, count, self.hits.size).reshape(self.hits.shape)
 
 
 def steps(found: Events) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
@@ -193,7 +207,7 @@ def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What one task learns from its training texts: word counts, slot counts, mixer."""
     counts, mixer, mixed_bytes = np.zeros(2 * SLOTS, np.uint32), Mixer(), 0
     seen: list[tuple[np.ndarray, np.ndarray]] = []
-    docs = held = number = 0
+    docs = held = 0
 
     def merged() -> tuple[np.ndarray, np.ndarray]:
         words = np.concatenate([w for w, _ in seen])
@@ -214,21 +228,20 @@ def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield _part(WORD_KIND, seen[0][0].view(np.int64), seen[0][1], [None] * held)
                     seen, held = [], 0
         found = events(texts)
-        if number & (number - 1) == 0 and number.bit_length() % 2:  # 1, 4, 16, ... teach the mixer
-            mixed_bytes += len(found.codes)
-            for place, node, bit, slots in steps(found):
+        for span in spans(found, mixed_bytes):
+            mixed_bytes += int(span.count.sum())
+            amount = span.count.astype(np.uint32)
+            # A bit is counted as soon as it is predicted; later bits lie in other nodes.
+            for place, node, bit, slots in steps(span):
                 inputs = np.ones((K + 1, len(bit)), np.float32)
                 level = []
                 for k in range(K):
                     inputs[k], sure = stretch_of(
                         counts[2 * slots[k]].astype(np.float64), counts[2 * slots[k] + 1].astype(np.float64))
                     level.append(sure)
-                mixer.learn(inputs, gate_of(place, level[3], level[4]), node, bit, found.count)
-        amount = found.count.astype(np.uint32)
-        for _, _, bit, slots in steps(found):
-            for k in range(K):
-                np.add.at(counts, 2 * slots[k] + bit, amount)
-        number += 1
+                mixer.learn(inputs, gate_of(place, level[3], level[4]), node, bit, span.count)
+                for k in range(K):
+                    np.add.at(counts, 2 * slots[k] + bit, amount)
     if not docs:
         return
     if seen:

@@ -423,6 +423,21 @@ def test_scores_do_not_depend_on_the_neighbours():
     assert np.allclose(model.scores(pa.array(texts)), alone)
 
 
+@pytest.mark.parametrize("n", [1, 300])
+def test_text_of_one_piece_teaches_the_mixer(spark, n):
+    """One document or many: the learned weights beat the constant ones on other text."""
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(150)]
+    text = lambda size: " ".join(rng.choice(words, size))
+    rows = [(i, text(30_000 // n)) for i in range(n)]
+    assert sum(len(t) + 1 for _, t in rows) < lm.PIECE
+    learned = lm.learn(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    held = pa.array([text(2_000)])
+    constant = lm.Model(learned.model.value, learned.model.level, lm.Mixer())
+    assert learned.model.scores(held)[0] > 0.98 * constant.scores(held)[0]
+    assert learned.model.mixer.hits.sum() == 8 * sum(len(t) + 1 for _, t in rows)  # every bit was learned
+
+
 # ---- HTML
 
 class Plain(HTMLParser):
