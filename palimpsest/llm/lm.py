@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from palimpsest.llm.common import (
     BLANKS, BYTE_VALUES, LOWER, RADIX, mix, numbers, slices, stored, utf8, word_hashes, words_of)
 
-BITS = [16, 18, 19, 20, 21]  # log2 of the slots of each predictor
+BITS = [16, 19, 20, 21, 21]  # log2 of the slots of each predictor
 K = len(BITS)
 BASES = np.concatenate([[0], np.cumsum([1 << b for b in BITS])])
 SLOTS = int(BASES[-1])
@@ -42,7 +42,7 @@ END = 255
 RATE, PRIOR, MINI = 0.2, 50, 2048
 HEAVY = 1 << 17  # words over one HEAVYth of all tokens, at most HEAVY, go to all tasks
 MERGE = 1 << 19
-PIECE = 1_500_000  # bytes of text that are worked on at a time
+PIECE = 1_000_000  # bytes of text that are worked on at a time
 FIRST = 4096  # bytes of a task's first span; each later one is as long as all before it
 INVERSE = np.uint64(pow(int(RADIX), -1, 1 << 64))
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -262,16 +262,16 @@ def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def packed(at: np.ndarray, pairs: np.ndarray) -> bytes:
     """Places in a block and their two counts, column by column, compressed."""
-    return zlib.compress(at.astype("<u2").tobytes() + pairs.T.astype("<u4").tobytes(), 1)
+    return zlib.compress(at.astype("<u2").tobytes() + pairs.T.astype("<u8").tobytes(), 1)
 
 
 def add_counts(table: pa.Table) -> np.ndarray:
     total = np.zeros((BLOCK, 2), np.uint64)
     for data in table["data"].to_pylist():
         raw = zlib.decompress(data)
-        n = len(raw) // 10
-        total[np.frombuffer(raw, "<u2", n)] += np.frombuffer(raw, "<u4", 2 * n, 2 * n).reshape(2, n).T
-    return np.minimum(total, 0xFFFFFFFF)
+        n = len(raw) // 18
+        total[np.frombuffer(raw, "<u2", n)] += np.frombuffer(raw, "<u8", 2 * n, 2 * n).reshape(2, n).T
+    return total
 
 
 def partial_block(table: pa.Table) -> pa.Table:

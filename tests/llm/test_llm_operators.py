@@ -438,6 +438,16 @@ def test_text_of_one_piece_teaches_the_mixer(spark, n):
     assert learned.model.mixer.hits.sum() == 8 * sum(len(t) + 1 for _, t in rows)  # every bit was learned
 
 
+def test_sums_of_a_block_pass_32_bits():
+    """Partial sums of 3e9 and their sum are exact, not cut at 2**32 - 1."""
+    data = lm.packed(np.array([5]), np.array([[3_000_000_000, 1_000]]))
+    tasks = pa.Table.from_batches([lm._part(lm.COUNTS, [2 * lm.SPREAD] * 2, [1, 1], [data] * 2)])
+    part = lm.partial_block(tasks)
+    assert part["key"].to_pylist() == [2]
+    both = lm.add_counts(pa.concat_tables([part, part]))
+    assert both[5].tolist() == [12_000_000_000, 4_000] and both.sum() == 12_000_004_000
+
+
 # ---- HTML
 
 class Plain(HTMLParser):
