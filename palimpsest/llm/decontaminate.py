@@ -6,7 +6,8 @@ word at a time; a multi-index over sixteen 8-bit blocks returns every item whose
 fingerprint is within RADIUS bits (16 blocks share at most 47 wrong bits only if
 one of them has two or fewer), and the exact weighted similarity of the shingles
 decides. A window can pass only if ``threshold`` of its shingles occur in the
-benchmark, so the fingerprints of the others need not be made.
+benchmark, so the fingerprints of the others need not be made. A text shorter than
+an item is one window, the whole text, for the items it may still be like.
 """
 
 from __future__ import annotations
@@ -121,8 +122,7 @@ def marks(shingles: np.ndarray, ends: np.ndarray, whole: np.ndarray, groups: lis
     for begin, upto in zip(cuts, np.append(cuts[1:], len(pair))):
         i, g = divmod(int(pair[begin]), len(groups))
         windows_of = groups[g].words - min(groups[g].words, SHINGLE) + 1
-        if whole[i] and upto - begin >= threshold * windows_of - 1e-9 and (
-                ends[i + 1] - ends[i] >= windows_of):
+        if whole[i] and upto - begin >= threshold * windows_of - 1e-9:
             yield i, groups[g], place[begin:upto]
 
 
@@ -137,18 +137,19 @@ def matches(texts: pa.Array, groups: list[Items], threshold: float,
         same = [g for g in groups if min(g.words, SHINGLE) == size]
         shingles, ends = windows(hashes, words.bounds, size)
         for i, group, marked in marks(shingles, ends, words.counts >= size, same, threshold):
-            mine, n = shingles[ends[i]:ends[i + 1]], group.words - size + 1
+            mine, full = shingles[ends[i]:ends[i + 1]], group.words - size + 1
+            n = min(full, len(mine))  # a text shorter than the item is one window
             total = np.zeros(len(mine) + 1, np.int64)
             total[marked - ends[i] + 1] = 1
             total = np.cumsum(total)
-            starts = np.flatnonzero(total[n:] - total[:-n] >= threshold * n - 1e-9)
+            starts = np.flatnonzero(total[n:] - total[:-n] >= threshold * full - 1e-9)
             for part in (starts[a:a + ROWS] for a in range(0, len(starts), ROWS)):
                 near = group.within(simhash(mine[part[:, None] + np.arange(n)]))
                 for r, item, bits in zip(*near):
                     at = int(part[r])
                     alike = similarity(mine[at:at + n], group.shingles[item])
                     if alike >= threshold:
-                        key, found = (i, group.ids[item]), (-alike, at, group.words, int(bits))
+                        key, found = (i, group.ids[item]), (-alike, at, n + size - 1, int(bits))
                         best[key] = min(best.get(key, found), found)
     for (i, item), (alike, at, n, bits) in sorted(best.items(), key=lambda kv: (
             kv[0][0], kv[0][1] is not None, kv[0][1] or 0)):
@@ -173,6 +174,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8,
                   doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, item_id, start_word, n_words, hamming, similarity): each document that
     holds a window like a benchmark item, with its most similar, then first, window.
+    The only window of a document shorter than an item is the whole document.
 
     Words are lower-cased (A-Z). An item of fewer than five words is compared as one
     window of its size. Null or empty texts and items match nothing; repeated rows

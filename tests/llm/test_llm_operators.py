@@ -208,6 +208,28 @@ def test_leaks_equal_all_windows(spark, docs):
     assert want and all(r.hamming <= decontaminate.RADIUS for r in got)
 
 
+def test_whole_texts_shorter_than_an_item_are_found(spark):
+    rng = np.random.default_rng(11)
+    items = [(size, " ".join(rng.choice([f"term{i}" for i in range(300)], size))) for size in (9, 24, 59)]
+    rows, want = [], {}
+    for size, text in items:
+        w = X.words(text)
+        for cut in [*range(1, 6), 12, 20]:
+            for side, part in enumerate((w[:-cut], w[cut:])):
+                key = size * 100 + cut * 2 + side
+                rows.append((key, " ".join(part)))
+                alike = X.weighted_similarity(part, w) if part else 0
+                if alike >= 0.8:
+                    want[key, size] = (0, len(part), round(alike, 9))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(table, bench).collect()
+    assert {(r.doc_id, r.item_id): (r.start_word, r.n_words, round(r.similarity, 9)) for r in got} == want
+    assert want[59 * 100 + 2, 59] == (0, 58, round(54 / 55, 9))
+    assert {r.doc_id for r in decontaminate.decontaminated(table, bench).collect()} == {
+        i for i, _ in rows} - {i for i, _ in want}
+
+
 def test_multi_index_finds_all_within_the_radius():
     rng = np.random.default_rng(9)
     group = decontaminate.Items(8, list(range(30)), [
