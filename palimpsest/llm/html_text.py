@@ -44,10 +44,16 @@ IMPLIED = {
 } | {t: ({"tr", "caption", "thead", "tbody", "tfoot"}, {"table"}) for t in ("thead", "tbody", "tfoot")}
 WALLS = {"td", "th", "table", "caption", "button", "object", "template"}
 
+# Quotes delimit a value only directly after '=' and blanks; elsewhere they are ordinary characters.
+WS = r" \t\n\f\r"
+NAME = rf"[^{WS}/>][^{WS}/>=]*+"
+VALUE = rf"\"[^\"]*\"|'[^']*'|[^{WS}\"'>][^{WS}>]*+|(?=>)"
+ATTRIBUTES = rf"(?:[{WS}/]++|{NAME}(?:[{WS}]*+=[{WS}]*+(?:{VALUE})|(?![{WS}]*+=)))*+"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^{WS}/>]*+)({ATTRIBUTES})>"
     r"|</?[a-zA-Z][^>]*\Z|[^<]+|<", re.S)
-ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?")
+ATTRIBUTE = re.compile(
+    rf"({NAME})(?:[{WS}]*=[{WS}]*(?:\"([^\"]*)\"|'([^']*)'|([^{WS}\"'>][^{WS}>]*)|))?")
 HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 BLANK = re.compile(r"[ \t\n\f\r]+")
 WIDEST_CELL = 60  # a table with a longer or many-line cell is layout, not columns
@@ -130,12 +136,12 @@ def build_tree(html: str) -> Node:
             continue
         start(tag, m[3])
         if tag in RAW or tag in RCDATA:
-            close = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+            close = re.compile(rf"</{tag}(?=[{WS}/>])", re.I).search(html, at)
             upto = close.start() if close else len(html)
             body = html[at:upto]
             if body:
                 stack[-1].kids.append(unescape(body) if tag in RCDATA else body)
-            at = close.end() if close else len(html)
+            at = TOKEN.match(html, upto).end() if close else len(html)
             pop_to(len(stack) - 1)
     return root
 

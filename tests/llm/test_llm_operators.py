@@ -515,6 +515,17 @@ def test_layout(html, text):
     assert got.lstrip(" ") == text or got == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<p>a</p><img alt=John's><p>lost words here</p><p>we don't</p><p>tail</p>",
+     "a\n\nJohn's\n\nlost words here\n\nwe don't\n\ntail"),
+    ("<p title=5'>one</p><p>it's</p>", "one\n\nit's"), ("<p a\"b>one</p><p>say \"x\"</p>", "one\n\nsay \"x\""),
+    ("<a title = '>' href=x/y>in</a>", "in"), ("<img alt= >x", "x"), ("<img alt='a>b'title=\"c>d\">", "a>b"),
+    ("<script>a</script x>seen", "seen"), ("<style>a</style/>seen", "seen"), ("<script>a</scripts>b</script\n>c", "c"),
+    ("<textarea>t</textarea class='>'>seen", "tseen"), ("<script>never ended", "")])
+def test_quotes_and_ends_follow_the_standard(html, text):
+    assert html_text.render(html) == text
+
+
 def test_deep_and_odd_pages(spark):
     deep = "<div>" * 5000 + "x" + "<table><tr><td>" * 300 + "y"
     assert html_text.render(deep).split() == ["x", "y"]
