@@ -25,7 +25,17 @@ RCDATA = {"textarea", "title"}
 HEAD = set("title meta link style script base noscript template".split())
 UNSEEN = set(
     "script style noscript template head title meta link base datalist iframe noembed noframes "
-    "object embed audio video canvas svg math area param source track rp".split())
+    "object embed audio video canvas area param source track rp".split())
+FOREIGN = {"svg", "math"}
+FOREIGN_UNSEEN = set(
+    "annotation annotation-xml desc defs symbol clippath mask pattern marker metadata mphantom".split())
+# Elements in which svg and math hold HTML again, and HTML elements that end svg and math elsewhere.
+INTEGRATION = set("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+BREAKOUT = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing "
+    "menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+APART = {"text", "mtd", "mtr", "math"}  # set off by blanks
+VALUELESS = set("hidden password checkbox radio file color range image".split())  # types of input
 BLOCK = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu "
@@ -54,21 +64,28 @@ TOKEN = re.compile(
     r"|</?[a-zA-Z][^>]*\Z|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(
     rf"({NAME})(?:[{WS}]*=[{WS}]*(?:\"([^\"]*)\"|'([^']*)'|([^{WS}\"'>][^{WS}>]*)|))?")
-HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+HIDING = re.compile(r"display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible|initial)", re.I)
 BLANK = re.compile(r"[ \t\n\f\r]+")
 WIDEST_CELL = 60  # a table with a longer or many-line cell is layout, not columns
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "kids")
+    __slots__ = ("tag", "attrs", "kids", "visible", "drawing")
 
     def __init__(self, tag: str, attrs: str = ""):
         self.tag, self.attrs, self.kids = tag, attrs, []
+        self.visible, self.drawing = True, ""
 
     def attributes(self) -> dict[str, str]:
         return {n.lower(): unescape(a or b or c or "") for n, a, b, c in ATTRIBUTE.findall(self.attrs)}
 
 
+def in_value(attrs: str) -> bool:
+    """Whether the last character belongs to an attribute, and not to the end of the tag."""
+    return any(m.end() == len(attrs) for m in ATTRIBUTE.finditer(attrs))
+
+
 def build_tree(html: str) -> Node:
     root = Node("#root")
     stack, within = [root], Counter()
@@ -91,7 +108,14 @@ def build_tree(html: str) -> Node:
         if cut is not None:
             pop_to(cut)
 
+    def foreign() -> bool:
+        return any(within[t] for t in FOREIGN) and not any(within[t] for t in INTEGRATION)
+
     def start(tag: str, attrs: str) -> None:
+        outside = foreign()
+        if outside and tag in BREAKOUT:
+            pop_to(next(at for at, node in enumerate(stack) if node.tag in FOREIGN))
+            outside = False
         if tag in CLOSES_P and within["p"]:
             end_implied({"p"}, WALLS)
         if tag in IMPLIED:
@@ -102,7 +126,8 @@ def build_tree(html: str) -> Node:
             pop_to(len(stack) - 1)
         node = Node(tag, attrs)
         stack[-1].kids.append(node)
-        if tag not in VOID:
+        if tag not in VOID and not (
+                (outside or tag in FOREIGN) and attrs.endswith("/") and not in_value(attrs)):
             stack.append(node)
             within[tag] += 1
 
@@ -135,7 +160,7 @@ def build_tree(html: str) -> Node:
             end(tag)
             continue
         start(tag, m[3])
-        if tag in RAW or tag in RCDATA:
+        if (tag in RAW or tag in RCDATA) and stack[-1].tag == tag:
             close = re.compile(rf"</{tag}(?=[{WS}/>])", re.I).search(html, at)
             upto = close.start() if close else len(html)
             body = html[at:upto]
@@ -146,8 +171,29 @@ def build_tree(html: str) -> Node:
     return root
 
 
+def inherit(node: Node, parent: Node | None) -> None:
+    """What a node takes from its parent: visibility, and where it is in a drawing."""
+    if parent is not None:
+        node.visible, node.drawing = parent.visible, parent.drawing
+    if node.tag in FOREIGN:
+        node.drawing = node.tag
+    elif node.drawing == "svg" and node.tag == "text":
+        node.drawing = "label"
+    elif node.drawing and node.tag == "foreignobject":
+        node.drawing = ""
+    if "visibility" in node.attrs.lower():
+        attrs = node.attributes()
+        said = VISIBILITY.findall(attrs.get("style", "")) or (
+            [attrs["visibility"].strip()] if node.drawing and "visibility" in attrs else [])
+        if said:
+            node.visible = said[-1].lower() not in ("hidden", "collapse")
+
+
 def is_seen(node: Node, parent: Node | None) -> bool:
-    if node.tag in UNSEEN:
+    """Whether a node and all in it may be displayed; visibility comes on top."""
+    if node.tag in UNSEEN or (node.drawing and node.tag in FOREIGN_UNSEEN):
+        return False
+    if node.drawing and node.attributes().get("display", "").strip().lower() == "none":
         return False
     if node.attrs.strip():
         low = node.attrs.lower()
@@ -229,6 +275,8 @@ def render(html: str | None) -> str:
         step, node, parent = todo.pop()
         if step == "out":
             leave = node.tag
+            if node.drawing and leave in APART:
+                flow.space = True
             if leave in BLOCK:
                 flow.lines(2 if leave in SPACED and not lists else 1)
             if leave == "pre":
@@ -258,6 +306,8 @@ def render(html: str | None) -> str:
                 flow.lines(2)
             continue
         if isinstance(node, str):
+            if parent is not None and (not parent.visible or parent.drawing == "svg"):
+                continue
             if parent is not None and parent.tag == "details" and "open" not in parent.attributes():
                 continue
             if parent is not None and parent.tag in ("table", "tr", "thead", "tbody", "tfoot") and not node.strip():
@@ -265,15 +315,19 @@ def render(html: str | None) -> str:
             flow.kept(node) if kept else flow.text(node)
             continue
         tag = node.tag
+        inherit(node, parent)
         if not is_seen(node, parent):
             continue
+        if node.drawing and (tag in APART or parent.tag == "mfrac"):
+            flow.space = True
         if tag == "br":
             flow.gap, flow.space = flow.gap + 1 if flow.parts else 0, False
             continue
         if tag == "img" or tag == "input":
             attrs = node.attributes()
-            shown = attrs.get("alt" if tag == "img" else "value")
-            if shown and attrs.get("type", "text").lower() in ("text", "submit", "button", "reset"):
+            kind = "image" if tag == "img" else attrs.get("type", "text").strip().lower()
+            shown = attrs.get("alt" if kind == "image" else "value")
+            if shown and node.visible and (kind == "image" or kind not in VALUELESS):
                 flow.text(shown)
             continue
         if tag in BLOCK:
@@ -286,7 +340,7 @@ def render(html: str | None) -> str:
             lists.append([flow.indent, tag, int(begin) if begin.isdecimal() else 1])
         elif tag == "li":
             back, kind = flow.indent, lists[-1] if lists else ["", "ul", 1]
-            mark = f"{kind[2]}. " if kind[1] == "ol" else "- "
+            mark = (f"{kind[2]}. " if kind[1] == "ol" else "- ") if node.visible else ""
             kind[2] += 1
             flow.marker, flow.indent = mark, flow.indent + " " * len(mark)
         elif tag == "table":
@@ -310,6 +364,10 @@ OUT = "text string, n_lines long, n_words long"
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """Every row of ``pages`` with the page's visible ``text``, its lines and words.
 
+    Visibility is inherited and may be turned on again, display: none is final.
+    Formulas in MathML run as text without their annotations; of svg the text
+    elements are shown, not its titles, descriptions and definitions. Inputs show
+    their values, except passwords, files, colours, ranges and boxes.
     The html column is replaced; other columns pass through, and columns named
     ``text``, ``n_lines`` or ``n_words`` are replaced. A null or empty page
     gives an empty text of 0 lines. Broken markup never fails: what no rule

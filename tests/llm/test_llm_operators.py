@@ -526,6 +526,24 @@ def test_quotes_and_ends_follow_the_standard(html, text):
     assert html_text.render(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<p>let <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>tex</annotation></math> be</p>",
+     "let x= 1 2 be"),
+    ("<svg><title>no</title><defs/><desc>no</desc>no<g><path d='M0'/><text x=1>la<tspan>bel</tspan></text>"
+     "<text>two</text></g></svg>after", "label two after"),
+    ("<svg><defs><text>no</text></defs><text/><text display=none>no</text><text visibility=hidden>no</text></svg>x", "x"),
+    ("<svg><path><p>broken out</p>", "broken out"), ("<svg><foreignObject><p>in</p></foreignObject></svg>", "in"),
+    ("a<svg><style>.x{}</style><title/></svg>b", "ab"),
+    ("<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b>no</div>", "yes"),
+    ("<div style='display:none'>no<b style='visibility: visible'>no</b></div>x", "x"),
+    ("<ul style='visibility:hidden'><li>no<li style='visibility:visible'>yes</ul>", "- yes"),
+    *((f"<input type={t} value=v7>", "v7") for t in "number email url tel search date text TEXT week odd".split()),
+    *((f"<input type={t} value=v7>", "") for t in "hidden password checkbox radio file color range".split()),
+    ("<img alt=pic type=x><input type=image alt=go value=no>", "picgo")])
+def test_formulas_labels_visibility_and_inputs(html, text):
+    assert html_text.render(html) == text
+
+
 def test_deep_and_odd_pages(spark):
     deep = "<div>" * 5000 + "x" + "<table><tr><td>" * 300 + "y"
     assert html_text.render(deep).split() == ["x", "y"]
