@@ -1,7 +1,7 @@
 """The training-data pipeline: five stages over ``documents``, each stored before the next reads it.
 
 quality    line-first rules; failing lines are removed, documents that lose too much go
-near       one document of each near-duplicate group stays, the one with the smallest id
+near       one document of each near-duplicate group (0.8) stays, the one with the smallest id
 benchmark  documents with a passage of the benchmark go
 mixing     documents are taken up to the token budgets of a weighted source tree
 shards     every document that is left gets its shard
@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of ``docs``: the smallest id of each group."""
-    return near.one_of_each(docs)
+    return near.one_of_each(docs, percent=near.CLEAN)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

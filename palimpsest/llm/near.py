@@ -10,7 +10,8 @@ different components are untested, so nothing that shares a bucket is lost; an
 exact bound from odd sketches drops most pairs of them before their texts meet.
 Exact copies are one class from the start and never meet in pairs.
 
-At a similarity of 0.85 the chance to share no bucket is about 2e-7.
+The chance that a pair at the threshold shares no bucket is about 2e-7 at 0.85
+(40 bands of 7) and 1e-8 at 0.8 (60 bands of 6).
 """
 
 from __future__ import annotations
@@ -27,9 +28,9 @@ from palimpsest.llm.common import (
     IdFilter, mix, numbers, slices, sorted_sets, stored, windows, word_hashes, words_of)
 from palimpsest.llm.components import components
 
-BANDS, ROWS = 40, 7
-BINS = BANDS * ROWS
-PERCENT = 85  # of the union
+PERCENT = 85  # of the union: the contract of op8
+CLEAN = 80  # of the union: what a clean corpus holds once
+BANDING = [(85, 40, 7), (80, 60, 6)]  # least percentage, bands, rows of a band
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 ODD = 16  # longs of a set's odd sketch
 
@@ -39,32 +40,40 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return sorted_sets(*windows(word_hashes(words), words.bounds))
 
 
-def signatures(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """(texts x BINS) bin minima; ``values`` ascend within a text, and so do their bins."""
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, rows) that practically never miss a pair of ``percent``."""
+    for least, bands, rows in BANDING:
+        if percent >= least:
+            return bands, rows
+    raise ValueError(f"no bands for a similarity of {percent} percent")
+
+
+def signatures(values: np.ndarray, ends: np.ndarray, n: int = 280) -> np.ndarray:
+    """(texts x n) bin minima; ``values`` ascend within a text, and so do their bins."""
     rows = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
-    bins = ((values >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
-    at = rows * BINS + bins
+    bins = ((values >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+    at = rows * n + bins
     first = np.flatnonzero(np.diff(at, prepend=-1))
-    table = np.full((len(ends) - 1) * BINS, EMPTY)
+    table = np.full((len(ends) - 1) * n, EMPTY)
     table[at[first]] = values[first]
     filled = np.zeros(len(table), bool)
     filled[at[first]] = True
-    has = np.repeat(np.diff(ends) > 0, BINS)
+    has = np.repeat(np.diff(ends) > 0, n)
     empty, attempt = np.flatnonzero(~filled & has), 0
     while len(empty):
         attempt += 1
-        row, own = np.divmod(empty, BINS)
+        row, own = np.divmod(empty, n)
         probe = mix(own.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(attempt))
-        source = row * BINS + (probe % np.uint64(BINS)).astype(np.int64)
+        source = row * n + (probe % np.uint64(n)).astype(np.int64)
         found = filled[source]
         table[empty[found]] = table[source[found]]
         empty = empty[~found]
-    return table.reshape(-1, BINS)
+    return table.reshape(-1, n)
 
 
-def band_keys(table: np.ndarray) -> np.ndarray:
-    parts = table.reshape(len(table), BANDS, ROWS) * numbers(ROWS, 41)
-    return mix(parts.sum(axis=2, dtype=np.uint64) + numbers(BANDS, 43)).view(np.int64)
+def band_keys(table: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    parts = table.reshape(len(table), bands, rows) * numbers(rows, 41)
+    return mix(parts.sum(axis=2, dtype=np.uint64) + numbers(bands, 43)).view(np.int64)
 
 
 def odd_sketches(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -79,22 +88,22 @@ def odd_sketches(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8).reshape(-1, 64), axis=1).view(np.int64).reshape(-1, ODD)
 
 
-def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sketch(batches: Iterator[pa.RecordBatch], bands: int, size: int) -> Iterator[pa.RecordBatch]:
     """(id, n, digest, bands, odd) of (id, text) rows."""
     for piece in slices(batches, "text", rows=2_000):
         values, ends = shingle_sets(piece.column("text"))
-        keys = band_keys(signatures(values, ends))
+        keys = band_keys(signatures(values, ends, bands * size), bands, size)
         digests = [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest()
                    for a, b in zip(ends[:-1], ends[1:])]
         lists = lambda table, n: pa.ListArray.from_arrays(
             pa.array(np.arange(len(table) + 1, dtype=np.int32) * n), pa.array(table.ravel()))
         yield pa.RecordBatch.from_arrays(
             [piece.column("id"), pa.array(np.diff(ends), pa.int64()),
-             pa.array(digests, pa.binary()), lists(keys, BANDS),
+             pa.array(digests, pa.binary()), lists(keys, bands),
              lists(odd_sketches(values, ends), ODD)], names=["id", "n", "digest", "bands", "odd"])
 
 
-def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def overlap(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """(a, b, linked) of pairs with their texts: the test on the full sets."""
     for piece in slices(batches, "text_a", limit=1_000_000):
         left, at = shingle_sets(piece.column("text_a"))
@@ -102,32 +111,34 @@ def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = np.array([
             len(np.intersect1d(left[at[i]:at[i + 1]], right[to[i]:to[i + 1]], assume_unique=True))
             for i in range(piece.num_rows)])
-        linked = both * 100 >= (np.diff(at) + np.diff(to) - both) * PERCENT
+        linked = both * 100 >= (np.diff(at) + np.diff(to) - both) * percent
         yield pa.RecordBatch.from_arrays(
             [piece.column("a"), piece.column("b"), pa.array(linked)], names=["a", "b", "linked"])
 
 
-def sizes_fit(x: str, y: str) -> Column:
-    return F.least(x, y) * 100 >= F.greatest(x, y) * PERCENT
+def sizes_fit(x: str, y: str, percent: int) -> Column:
+    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
-def can_link(x: str, n_x: str, y: str, n_y: str) -> Column:
+def can_link(x: str, n_x: str, y: str, n_y: str, percent: int) -> Column:
     """Whether the odd sketches allow the similarity: of S shingles in both sets together,
     at most (1 - j) / (1 + j) may differ."""
     differ = sum(
         (F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(ODD)), F.lit(0))
-    return differ * (100 + PERCENT) <= (F.col(n_x) + F.col(n_y)) * (100 - PERCENT)
+    return differ * (100 + percent) <= (F.col(n_x) + F.col(n_y)) * (100 - percent)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """``pairs`` (a, b), each tested on the full sets of its texts: (a, b, linked)."""
     side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select(
-        "a", "b", "text_a", "text_b").mapInArrow(overlap, "a long, b long, linked boolean")
+        "a", "b", "text_a", "text_b").mapInArrow(
+        lambda batches: overlap(batches, percent), "a long, b long, linked boolean")
 
 
 def star_labels(
-    members: DataFrame, texts: DataFrame, odd: DataFrame, given: DataFrame) -> DataFrame:
+    members: DataFrame, texts: DataFrame, odd: DataFrame, given: DataFrame, percent: int,
+) -> DataFrame:
     """Components of the documents of buckets; ``members`` is (key, id, n, hub, hub_n)
     and ``given`` links (a, b) that hold anyway.
 
@@ -136,12 +147,12 @@ def star_labels(
     hubs for the members of other components after them, in rounds of more and more
     hubs. Pairs that differ too much by their odd sketches (id, n, odd) are no candidates.
     """
-    first = members.filter(F.col("id") != F.col("hub")).filter(sizes_fit("n", "hub_n")).groupBy(
+    first = members.filter(F.col("id") != F.col("hub")).filter(sizes_fit("n", "hub_n", percent)).groupBy(
         "id", "n", "hub", "hub_n").count().groupBy("id", "n").agg(
         F.max(F.struct("count", (-F.col("hub")).alias("hub"), "hub_n")).alias("best"))
     pairs = first.select(
         (-F.col("best.hub")).alias("a"), F.col("id").alias("b"))
-    tested = stored(confirmed(pairs, texts), "near-tested")
+    tested = stored(confirmed(pairs, texts, percent), "near-tested")
     links = tested.filter("linked").select("a", "b").union(given)
     labels = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(
@@ -171,10 +182,11 @@ def star_labels(
             return labels
         pairs = now.join(hubs, "key").filter(
             (F.col("rank") > F.col("hub_rank")) & (F.col("comp") != F.col("hub_comp"))
-            & sizes_fit("n", "hub_n") & can_link("odd", "n", "hub_odd", "hub_n")).select(
+            & sizes_fit("n", "hub_n", percent)
+            & can_link("odd", "n", "hub_odd", "hub_n", percent)).select(
             F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"),
         ).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        more = stored(confirmed(pairs, texts), "near-tested")
+        more = stored(confirmed(pairs, texts, percent), "near-tested")
         tested, left = tested.unionByName(more), now.drop("comp")
         if not more.filter("linked").isEmpty():
             links = links.unionByName(more.filter("linked").select("a", "b"))
@@ -182,8 +194,10 @@ def star_labels(
         low, high = high, 2 if high == 1 else 8 * high
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                    percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``; documents whose
+    shingles share at least ``percent`` (80 or more) of their union are linked.
 
     Words are lower-cased (A-Z); a text of fewer than five words is one shingle,
     and one without words, empty or null, links with nothing. Documents with the
@@ -193,8 +207,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     empty table gives no rows.
     """
     given = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    bands, size = banding(percent)
     rows = stored(given.mapInArrow(
-        sketch, "id long, n long, digest binary, bands array<long>, odd array<long>"), "near-sketches")
+        lambda batches: sketch(batches, bands, size), "id long, n long, digest binary, bands array<long>, odd array<long>"), "near-sketches")
     linked = rows.filter("n > 0 and id is not null")
     classes = stored(linked.groupBy("digest").agg(
         F.min("id").alias("rep"), F.count("*").alias("rows")), "near-classes")
@@ -212,7 +227,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     repeated = linked.groupBy("id").count().filter("count > 1").select("id")
     again = linked.join(repeated, "id").join(classes, "digest").select(
         F.col("id").alias("a"), F.col("rep").alias("b")).filter("a != b").distinct()
-    labels = star_labels(members, texts, reps.select("id", "n", "odd"), again)
+    labels = star_labels(members, texts, reps.select("id", "n", "odd"), again, percent)
     several = classes.filter("rows > 1").select("digest", "rep")
     named = rows.select("id", "n", "digest").join(several, "digest", "left").withColumn(
         "rep", F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("rep", "id")))
@@ -222,10 +237,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.coalesce(F.col("id") == comp, F.lit(True)).alias("kept"))
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                percent: int = CLEAN) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the document with the smallest
     id, of rows that repeat its id one (the smallest text); rows with a null id stay."""
-    found = stored(near_duplicates(docs, doc_id, text), "near-found")
+    found = stored(near_duplicates(docs, doc_id, text, percent), "near-found")
     gone = stored(found.filter(~F.col("kept")).select(doc_id).distinct(), "near-gone")
     some = IdFilter(gone)  # only texts that may go are shuffled
     stay = some.split(docs, doc_id, False).unionByName(

@@ -32,4 +32,4 @@ FROM t LEFT JOIN n USING (doc_id)
 
 @query("op8_near_duplicates", SQL)
 def op8(spark, sf_dir):
-    return near.near_duplicates(read(spark, sf_dir, "documents"))
+    return near.near_duplicates(read(spark, sf_dir, "documents"), percent=near.PERCENT)

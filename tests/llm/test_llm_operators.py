@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+import corpus_pipeline  # noqa: E402
 import llm_fixtures as X  # noqa: E402
 from palimpsest.llm import (  # noqa: E402
     decontaminate, html_text, lm, mixing, near, quality, query_mixing, query_sharding, query_urls,
@@ -172,6 +173,25 @@ def test_one_of_each_keeps_one_row_of_a_group(docs):
     assert near.one_of_each(docs).columns == docs.columns
 
 
+def test_the_pipeline_removes_a_copy_at_082(spark):
+    words = [f"word{i}" for i in range(114)]
+    rows = []
+    for g in range(20):
+        text = [f"{w}g{g}" for w in words]
+        copy = list(text)
+        for at in (20, 60):  # 100 of 110 shingles stay
+            copy[at] = "new"
+        rows += [(10 * g + 1, " ".join(text)), (10 * g + 2, " ".join(copy))]
+    a, b = (X.shingles(t) for _, t in rows[:2])
+    assert 0.82 <= len(a & b) / len(a | b) < 0.85
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["near"]
+    assert sorted(r.doc_id for r in stage(spark, table, "").collect()) == [10 * g + 1 for g in range(20)]
+    assert near.near_duplicates(table, percent=85).filter("kept").count() == 40
+    with pytest.raises(ValueError):
+        near.banding(79)
+
+
 def test_every_empty_bin_is_filled_from_the_text_itself():
     values, ends = near.shingle_sets(pa.array(["a b c d e f", "", None, "x y", X.PROSE * 3]))
     table = near.signatures(values, ends)
