@@ -243,17 +243,19 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Model:
     """The chain and the calibration, from documents whose ``labels`` (doc_id, toxic) are given.
 
-    Fitting is one task over the bounded sample; only weights come back."""
+    Fitting is one task over the bounded sample; only weights come back. Without a labelled
+    document every score is 0.5."""
     sample = sampled(docs, labels, limit)
     marked = toxic_features(sample)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if not len(table):
+        found = [b for b in batches if b.num_rows]
+        if not found:
             return
+        table = pa.Table.from_batches(found)
         texts = table.column("text").combine_chunks()
         texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
-        order = np.argsort(mix(table.column("doc_id").to_numpy().astype(np.uint64)), kind="stable")
+        order = np.argsort(mix(table.column("place").to_numpy().view(np.uint64)), kind="stable")
         texts = texts.take(pa.array(order))
         toxic = table.column("toxic").to_numpy()[order]
         chain = fit_chain(texts, toxic, marked)
@@ -266,14 +268,14 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Model:
         yield pa.RecordBatch.from_arrays(
             [pa.array(slot), pa.array(value.astype(np.float64))], names=["slot", "value"])
 
-    rows = sample.select("doc_id", "text", "toxic").coalesce(1).mapInArrow(
+    rows = sample.select(F.xxhash64("doc_id").alias("place"), "text", "toxic").coalesce(1).mapInArrow(
         learn, "slot long, value double").toArrow()  # at most SLOTS + 6 numbers
     slot, value = rows["slot"].to_numpy(), rows["value"].to_numpy()
     head = dict(zip(slot[slot < 0].tolist(), value[slot < 0].tolist()))
     weights = np.zeros(SLOTS, np.float32)
     weights[slot[slot >= 0]] = value[slot >= 0]
     moves = np.array([head.get(k, 0.0) for k in (-6, -5, -4, -3)]).reshape(2, 2)
-    return Model(Chain(weights, moves), np.array([head.get(-2, 1.0), head.get(-1, 0.0)]))
+    return Model(Chain(weights, moves), np.array([head.get(-2, 0.0), head.get(-1, 0.0)]))
 
 
 SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("marginal", pa.float64())]))
