@@ -415,7 +415,7 @@ def scored(docs: DataFrame, learned: Learned, doc_id: str = "doc_id", text: str
                 pa.array(number + np.arange(rows)), piece.column("id"),
                 pa.array(words.counts + 1),
                 pa.array(np.bincount(row[hit], minlength=rows) + known_end),
-                pa.array(np.bincount(row, log, rows)),
+                pa.array(np.bincount(row, log, rows).astype(np.float64)),  # whole numbers if there is no word
                 pa.array(model.scores(texts)), pa.array(np.diff(bounds) + 1),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(tail[cut].view(np.int64))),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(times)),
