@@ -34,6 +34,11 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def new_name(df: DataFrame) -> str:
+    """A name that no column of ``df`` has."""
+    return max(df.columns, key=len) + "_"
+
+
 class IdFilter:
     """A bitmap of hashed ids, to set apart the rows that a join with them cannot concern.
 
@@ -57,15 +62,15 @@ class IdFilter:
 
     def split(self, df: DataFrame, name: str, inside: bool) -> DataFrame:
         """The rows of ``df`` whose id may be among the ids, or those whose id is not."""
-        bits = self.bits
+        bits, own = self.bits, new_name(df)
 
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                slot = b.column("__slot").to_numpy()
+                slot = b.column(own).to_numpy()
                 found = (bits.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1) == int(inside)
-                yield b.drop_columns(["__slot"]).filter(pa.array(found))
+                yield b.drop_columns([own]).filter(pa.array(found))
 
-        return df.withColumn("__slot", self._slot(name)).mapInArrow(keep, df.schema)
+        return df.withColumn(own, self._slot(name)).mapInArrow(keep, df.schema)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -74,24 +74,36 @@ def leaf_budgets(
     return nodes.select(*LEAF, "given").join(leaves, LEAF)
 
 
-def mixed(
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """Every row of ``docs`` with ``n_tokens`` (words) and ``copies``, the times it is taken;
+    columns of these names are replaced. See ``placed`` for the rest."""
+    spare = [f"row.`{c}`" for c in docs.columns if c.lower() not in ("n_tokens", "copies")]
+    return placed(docs, **how).select(*spare, "n_tokens", "copies")
+
+
+def taken(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` that ``placed`` takes at least once, with all of their columns."""
+    return placed(docs, **how).filter("copies > 0").select("row.*")
+
+
+def placed(
     docs: DataFrame, *, budget: Column, weights: dict[str, dict[str, int]], domain: Column,
     epochs: int = 1, seed: int = 0, text: str = "text",
 ) -> DataFrame:
-    """Every row of ``docs`` with ``n_tokens`` (words) and ``copies``, the times it is taken.
+    """(row, n_tokens, copies): every row of ``docs`` as a struct, its words, the times it is taken.
 
     ``budget`` is a whole number of tokens; it may use ``F.sum("cap")``, the tokens
     at hand times ``epochs``. A null domain, language or source is the branch
     named "". Texts without words weigh nothing and are taken when the prefix
     passes them. Ties in the seeded order fall to the id, and equal rows are
-    interchangeable. An empty table gives no rows. Columns named ``n_tokens``
-    or ``copies`` are replaced.
+    interchangeable. An empty table gives no rows. No name of the input's columns can
+    meet one of the plan's.
     """
-    spare = [c for c in docs.columns if c.lower() not in ("n_tokens", "copies")]
     value = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     named = docs.select(
-        *spare, value(domain).alias("__domain"), value(F.col("lang")).alias("__lang"),
-        value(F.col("source")).alias("__source"), n_words(F.col(text)).alias("n_tokens"))
+        F.struct(*docs.columns).alias("row"), "doc_id", value(domain).alias("__domain"),
+        value(F.col("lang")).alias("__lang"), value(F.col("source")).alias("__source"),
+        n_words(F.col(text)).alias("n_tokens"))
     sized = stored(named.select("doc_id", *LEAF, "n_tokens"), "mix-sizes")
     leaves = sized.groupBy(*LEAF).agg(F.sum("n_tokens").alias("tokens"))
     given = stored(leaf_budgets(leaves, budget, weights, epochs), "mix-budgets").withColumn(
@@ -122,4 +134,4 @@ def mixed(
         Window.unboundedPreceding, 0)
     last = placed.filter(on_edge).withColumn("copies", F.col("whole") + (
         F.col("__before") + F.sum("n_tokens").over(run) <= F.col("part")).cast("long"))
-    return sure.unionByName(last).select(*spare, "n_tokens", F.col("copies").cast("long"))
+    return sure.unionByName(last).select("row", "n_tokens", F.col("copies").cast("long"))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import (
-    IdFilter, mix, numbers, slices, sorted_sets, stored, windows, word_hashes, words_of)
+    IdFilter, mix, new_name, numbers, slices, sorted_sets, stored, windows, word_hashes, words_of)
 from palimpsest.llm.components import components
 
 PERCENT = 85  # of the union: the contract of op8
@@ -250,8 +250,8 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         (F.col("count") > 1) & F.col(doc_id).isNotNull()).select(doc_id), "near-repeated")
     if repeated.isEmpty():
         return stay.select(docs.columns)
-    run = Window.partitionBy(doc_id).orderBy(text)
+    run, place = Window.partitionBy(doc_id).orderBy(text), new_name(docs)
     single = docs.join(repeated, doc_id, "left_semi").join(gone, doc_id, "left_anti").withColumn(
-        "__n", F.row_number().over(run)).filter("__n = 1")
+        place, F.row_number().over(run)).filter(F.col(place) == 1)
     return stay.join(repeated, doc_id, "left_anti").select(docs.columns).union(
         single.select(docs.columns))

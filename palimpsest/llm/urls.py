@@ -94,8 +94,8 @@ def judged_urls(
     trees: block where they find it likelier than not. With labels of one kind only,
     that kind is the verdict; without any, allow. Null urls and those without ``://``
     have an empty host and path, meet no rule and are judged by their features.
-    Repeated rows are judged alike. Other columns pass through; columns named like
-    the four new ones are replaced. An empty table gives no rows.
+    Repeated rows are judged alike. Other columns pass through, in a struct of their own
+    until the end; columns named like the four new ones are replaced. An empty table gives no rows.
     """
     new = ("host", "path", "rule", "verdict")
     host, path = host_and_path("__url")
@@ -105,13 +105,13 @@ def judged_urls(
     known = stored(shape(labelled.filter("label is not null").select(
         "url", F.col("label").cast("double").alias("label")), "url").drop("url"), "url-labels")
     rule, verdict = rule_of(rules)
-    rows = shape(urls.drop(*(c for c in urls.columns if c.lower() in new and c != url)), url)
     kept = [c for c in urls.columns if c.lower() not in new or c == url]
+    rows = shape(urls.select(F.struct(*kept).alias("__row"), F.col(url).alias("__given")), "__given")
     rows = rows.withColumns({"rule": rule, "__ruled": verdict})
     kinds = [r.label for r in known.select("label").distinct().limit(3).collect()]
     if len(kinds) < 2:
         default = "block" if kinds == [1.0] else "allow"
-        return rows.withColumn("verdict", F.coalesce("__ruled", F.lit(default))).select(*kept, *new)
+        return rows.withColumn("verdict", F.coalesce("__ruled", F.lit(default))).select("__row.*", *new)
     stats = [(k, n, stored(statistics(known, k, n), f"url-{n}"))
              for k, n in (("__suffix", "suffix"), ("__section", "section"))]
     filled = {f: 0.0 for f in FEATURES}
@@ -129,4 +129,4 @@ def judged_urls(
         stepSize=0.2, maxBins=32, predictionCol="__prediction").fit(train)
     scored = model.transform(vectors(rows))
     learned = F.when(F.col("__prediction") == 1.0, "block").otherwise("allow")
-    return scored.withColumn("verdict", F.coalesce("__ruled", learned)).select(*kept, *new)
+    return scored.withColumn("verdict", F.coalesce("__ruled", learned)).select("__row.*", *new)
