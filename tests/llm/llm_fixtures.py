@@ -43,8 +43,8 @@ def documents(spark):
         "shard string, copies int, SCORE string")
 
 
-def near_groups(rows: list[tuple[int, str]]) -> dict[int, int]:
-    """Smallest reachable id of every id, from all pairs."""
+def near_groups(rows: list[tuple[int, str]], percent: int = 85) -> dict[int, int]:
+    """Smallest reachable id of every id, from all pairs at ``percent`` or more."""
     sets = {}
     for i, t in rows:
         sets.setdefault(i, []).append(shingles(t))
@@ -57,7 +57,7 @@ def near_groups(rows: list[tuple[int, str]]) -> dict[int, int]:
 
     for n, a in enumerate(ids):
         for b in ids[n + 1:]:
-            if any(x and y and 100 * len(x & y) >= 85 * len(x | y) for x in sets[a] for y in sets[b]):
+            if any(x and y and 100 * len(x & y) >= percent * len(x | y) for x in sets[a] for y in sets[b]):
                 x, y = find(a), find(b)
                 up[max(x, y)] = min(x, y)
     return {i: find(i) for i in ids}

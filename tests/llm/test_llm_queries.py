@@ -42,7 +42,7 @@ def test_leaks_of_the_test_tables(spark, sf):
 
 def test_there_is_one_query_of_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_stages_keep_what_they_should(spark, sf):
@@ -56,7 +56,7 @@ def test_stages_keep_what_they_should(spark, sf):
         if name != "shards":
             assert out.columns == docs.columns and out.dtypes == docs.dtypes
         if name == "near":
-            groups = X.near_groups([(r.doc_id, r.text) for r in before])
+            groups = X.near_groups([(r.doc_id, r.text) for r in before], 80)
             assert ids == set(groups.values())
         if name == "benchmark":
             items = [(r.item_id, r.text) for r in read(spark, sf, "benchmark").collect()]
