@@ -33,10 +33,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of ``docs`` within four fifths of their tokens, by the weights of op3; no repeats."""
-    mixed = mixing.mixed(
+    return mixing.taken(
         docs, budget=F.expr("sum(tokens) * 4 div 5"), weights=query_mixing.WEIGHTS,
         domain=query_mixing.domain(), epochs=1, seed=query_mixing.SEED)
-    return mixed.filter("copies > 0").select(docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
