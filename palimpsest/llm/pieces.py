@@ -191,30 +191,47 @@ class Vocabulary(dict):
             self[segment] = ids = tuple(ids)
         return ids
 
-    def segments(self, texts: list[str]) -> list[list[str]]:
-        """Each normalised text, cut where no piece has the two neighbours side by side."""
+    def segments(self, texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The normalised texts, cut where no piece has the two neighbours side by side, and
+        the bounds of each text's segments."""
         joined = "".join(texts)
-        kind = self.class_of[np.frombuffer(joined.encode("utf-32-le"), np.uint32)]
+        letters = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        kind = self.class_of[letters]
         cut = np.zeros(len(kind) + 1, bool)
         cut[1:-1] = ~self.together[kind[:-1], kind[1:]]
         ends = np.cumsum([0, *map(len, texts)])
         cut[ends] = True
-        bounds = np.flatnonzero(cut)
-        return [
-            [joined[a:b] for a, b in pairwise(bounds[first:last + 1].tolist())]
-            for first, last in pairwise(np.searchsorted(bounds, ends).tolist())]
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
+        at = np.flatnonzero(cut)
+        wide = 1 + (letters >= 0x80).astype(np.int64) + (letters >= 0x800) + (letters >= 0x10000)
+        offsets = np.concatenate([[0], np.cumsum(wide)])[at]
+        parts = pa.LargeStringArray.from_buffers(
+            len(at) - 1, pa.py_buffer(offsets), pa.py_buffer(joined.encode()))
+        return parts.dictionary_encode(), np.searchsorted(at, ends)
+
+    def flat_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and their bounds."""
         if len(self) > KEPT_SEGMENTS:
             self.clear()
-        out, parts = [], self.segments(self.library.normalize(texts))
-        self.update(self.agendas.merge(list(set().union(*parts).difference(self))))
-        for segments in parts:
-            ids = list(chain.from_iterable(map(self.__getitem__, segments)))
-            if not self.bytes_at:  # neighbouring unknown pieces count as one
-                ids = [i for n, i in enumerate(ids) if i != self.unknown or not n or ids[n - 1] != i]
-            out.append(ids)
-        return out
+        parts, bounds = self.segments(self.library.normalize(texts))
+        segments, which = parts.dictionary.to_pylist(), parts.indices.to_numpy()
+        self.update(self.agendas.merge([s for s in segments if s not in self]))
+        ids = [self[s] for s in segments]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        pool = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
+        starts = np.cumsum(sizes) - sizes
+        ends = np.concatenate([[0], np.cumsum(sizes[which])])
+        flat = pool[np.repeat(starts[which] - ends[:-1], sizes[which]) + np.arange(ends[-1])]
+        bounds = ends[bounds]
+        if not self.bytes_at:  # neighbouring unknown pieces of a text count as one
+            again = np.zeros(len(flat) + 1, np.int64)
+            again[2:] = (flat[1:] == self.unknown) & (flat[:-1] == self.unknown)
+            again[bounds[:-1][bounds[:-1] < len(flat)] + 1] = 0
+            flat, bounds = flat[again[1:] == 0], bounds - np.cumsum(again)[bounds]
+        return flat, bounds
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        flat, bounds = self.flat_ids(texts)
+        return [flat[a:b].tolist() for a, b in pairwise(bounds.tolist())]
 
 
 @lru_cache(maxsize=1)
@@ -238,14 +255,14 @@ def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text"
         library = words.library
         for batch in slices(batches, "text", 1_000_000):
             texts = batch.column("text").fill_null("").to_pylist()
-            ids = words.encode(texts)
-            theirs = library.encode(texts, num_threads=1)
-            bounds = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(bounds[-1]))
+            flat, bounds = words.flat_ids(texts)
+            ids = [flat[a:b] for a, b in pairwise(bounds.tolist())]
+            theirs = library.encode_as_numpy(texts, num_threads=1)
             yield pa.RecordBatch.from_arrays([
-                batch.column("key"), pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
-                pa.array(library.decode(ids, num_threads=1), pa.string()),
-                pa.array([a == b for a, b in zip(ids, theirs)], pa.bool_())],
+                batch.column("key"),
+                pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat)),
+                pa.array([library.decode(i) for i in ids], pa.string()),
+                pa.array([np.array_equal(a, b) for a, b in zip(ids, theirs)], pa.bool_())],
                 ["key", "ids", "decoded", "agrees"])
 
     narrow = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
