@@ -178,20 +178,48 @@ def _(t):
 @query("cdc_lag", """
     SELECT 'app.public.bookings' AS topic, p AS "partition", low, high, "offset",
            high - coalesce("offset", low) AS lag
-    FROM (SELECT _kafka_partition AS p, min(event_id) AS low, max(event_id) + 1 AS high,
-                 CASE WHEN _kafka_partition <> 2 THEN max(event_id) FILTER (
-                     WHERE source_ts < TIMESTAMP '2024-01-15') + 1 END AS "offset"
+    FROM (SELECT _kafka_partition AS p, min(2 * event_id) AS low,
+                 max(2 * event_id + CASE WHEN op = 'd' THEN 1 ELSE 0 END) + 1 AS high,
+                 CASE WHEN _kafka_partition <> 2 THEN max(2 * event_id + CASE WHEN op = 'd' THEN 1 ELSE 0 END)
+                     FILTER (WHERE source_ts < TIMESTAMP '2024-01-15') + 1 END AS "offset"
           FROM event_log GROUP BY 1)""", "event_log")
 def _(t):
-    """One partition was never committed and still counts."""
-    where = [F.col("_kafka_topic").alias("topic"), F.col("_kafka_partition").alias("partition")]
-    ends = t.event_log.groupBy(*where).agg(
-        F.min("_kafka_offset").alias("low"), (F.max("_kafka_offset") + 1).alias("high"))
-    done = t.event_log.where(
-        (F.col("source_ts") < F.lit("2024-01-15").cast("timestamp"))
-        & (F.col("_kafka_partition") != 2))
-    committed = done.groupBy(*where).agg((F.max("_kafka_offset") + 1).alias("offset"))
-    return C.consumer_lag(ends, committed)
+    """How far a drained consumer is behind its topics; it has read half of the time, and one
+    partition not at all, which still counts."""
+    everything = D.change_messages(t.event_log)
+    ends = everything.groupBy("topic", "partition").agg(
+        F.min("offset").alias("low"), (F.max("offset") + 1).alias("high"))
+    early = t.event_log.where(
+        (F.col("source_ts") < F.lit("2024-01-15").cast("timestamp")) & (F.col("_kafka_partition") != 2))
+    root = t.fresh_folder("lag")
+    D.change_messages(early).repartition(4, "partition", "key").write.json(f"{root}/messages")
+    stream = X.file_messages(t.spark, f"{root}/messages", files_per_batch=2)
+    X.run_changes(stream, f"{root}/log", f"{root}/checkpoint", D.TOPIC_PREFIX).awaitTermination()
+    return C.consumer_lag(ends, X.consumer_positions(t.spark, f"{root}/log"))
+
+
+@query("cdc_table_counts", """
+    SELECT 'bookings' AS entity, count(*) + count(*) FILTER (WHERE op = 'd') AS messages,
+           count(*) FILTER (WHERE op = 'd') AS tombstones, CAST(0 AS BIGINT) AS rejected
+    FROM event_log
+    UNION ALL SELECT 'customers', CAST(count(*) + sum(CASE WHEN c_custkey % 13 = 0 THEN 1 ELSE 0 END) AS BIGINT),
+           CAST(0 AS BIGINT), CAST(count(*) FILTER (WHERE n = 0) + sum(
+               CASE WHEN c_custkey % 13 = 0 AND n = 0 THEN 1 ELSE 0 END) AS BIGINT)
+    FROM (SELECT c_custkey, n FROM customer, (VALUES (0),(1),(2)) v(n) WHERE n <= c_custkey % 3
+          UNION ALL SELECT c_custkey, n FROM customer, (VALUES (1),(2)) v(n) WHERE n <= c_custkey % 3)""",
+       "event_log")
+def _(t):
+    """Messages, tombstones and broken messages per table, summed over the consumer's batches;
+    the customers' first versions are cut short on their way."""
+    customers = D.change_messages(t.customer_log)
+    cut = F.when(F.contains("value", F.lit('"op":"c"')), F.substring("value", 1, 30)).otherwise(F.col("value"))
+    both = D.change_messages(t.event_log).unionByName(customers.withColumn("value", cut))
+    root = t.fresh_folder("counts")
+    both.repartition(4, "topic", "partition", "key").write.json(f"{root}/messages")
+    stream = X.file_messages(t.spark, f"{root}/messages", files_per_batch=2)
+    X.run_changes(stream, f"{root}/log", f"{root}/checkpoint", D.TOPIC_PREFIX).awaitTermination()
+    return X.batch_counts(t.spark, f"{root}/log").groupBy("entity").agg(
+        *[F.sum(c).alias(c) for c in ("messages", "tombstones", "rejected")])
 
 
 def _message_files(t) -> str:

@@ -14,16 +14,20 @@ from palimpsest.operators.latest import latest_by
 DELIVERY = ["_kafka_topic", "_kafka_partition", "_kafka_offset"]
 
 
+def parse_messages(messages: DataFrame) -> DataFrame:
+    """``messages`` with the parsed value in a column ``e``, for readers that need it more than once."""
+    return messages.withColumn("e", F.from_json("value", S.CHANGE_ENVELOPE))
+
+
 def is_broken() -> Column:
-    """A message value that is no change event: broken JSON, or no operation or position."""
-    event = F.from_json("value", S.CHANGE_ENVELOPE)
-    return F.col("value").isNotNull() & (
-        event.isNull() | event["op"].isNull() | event["source"]["lsn"].isNull())
+    """A parsed message that is no change event: broken JSON, or no operation or position."""
+    return F.col("value").isNotNull() & ~F.coalesce(
+        F.col("e.op").isNotNull() & F.col("e.source.lsn").isNotNull(), F.lit(False))
 
 
 def rejected_messages(messages: DataFrame) -> DataFrame:
     """The messages that ``decode_messages`` leaves out as broken (X4), as they came."""
-    return messages.where(is_broken())
+    return parse_messages(messages).where(is_broken()).drop("e")
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
@@ -33,10 +37,13 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     already says everything. Broken values never become events; see
     ``rejected_messages``. Snapshot reads take the same path (X10).
     """
-    envelope = F.from_json("value", S.CHANGE_ENVELOPE).alias("e")
+    return decode_parsed(parse_messages(messages))
+
+
+def decode_parsed(parsed: DataFrame) -> DataFrame:
+    """The same from messages that are parsed already."""
     return (
-        messages.where(F.col("value").isNotNull())
-        .select("topic", "partition", "offset", "key", envelope)
+        parsed.where(F.col("value").isNotNull())
         .where(F.col("e.op").isNotNull() & F.col("e.source.lsn").isNotNull())
         .select(
             F.col("e.op").alias("op"), F.col("e.source.lsn").alias("lsn"),

@@ -7,17 +7,22 @@ repeated positions (topic, partition, offset).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import json
+from collections.abc import Callable, Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from palimpsest import schemas as S
 from palimpsest.functions import row_image
 from palimpsest.plans.changes import (
-    DELIVERY, decode_messages, entity_of, is_broken, rejected_messages)
+    DELIVERY, decode_messages, decode_parsed, entity_of, is_broken, parse_messages)
 
 # Fixed defaults of a micro-batch: so many messages, or so long after the first.
 BATCH_MESSAGES, BATCH_SECONDS = 1000, 300
@@ -62,43 +67,52 @@ def append_changes(
 ) -> Callable[[DataFrame, int], None]:
     """Batch function: decode and append to one folder per entity.
 
-    All entities are written by one job, broken messages beside them under
-    ``root``_rejects; the checkpoint commits the offsets only when both are done. ``after_write`` runs between write and commit: tests
-    raise in it to provoke a replay (X3).
+    A value is parsed once; all entities are written by one job, which counts the broken
+    messages as it goes. Only if there are some does a second pass store them under
+    ``root``_rejects. What the batch held of each partition goes to ``root``_progress (X8, X9).
+    Both have a folder a batch, which a replay replaces. The checkpoint commits the offsets
+    when all is done. ``after_write`` runs between write and commit: tests raise in it to
+    provoke a replay (X3).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # two writes read it; its counts are observed once
-        rows = decode_messages(batch).withColumns({
+        seen = Observation()
+        parsed = parse_messages(batch).observe(seen, F.count_if(is_broken()).alias("broken"))
+        rows = decode_parsed(parsed).withColumns({
             "entity": entity_of(F.col("_kafka_topic"), prefix),
             "_ingested_at": F.current_timestamp(),
             "_ingested_day": F.to_date(F.current_timestamp())})
         rows.write.mode("append").partitionBy("entity", "_ingested_day").parquet(root)
-        broken = rejected_messages(batch)
-        if not broken.isEmpty():
-            broken.write.mode("append").parquet(f"{root}_rejects")
-        batch.unpersist()
+        broken = parse_messages(batch).where(is_broken()).drop("e") if seen.get["broken"] else batch.limit(0)
+        if seen.get["broken"]:
+            broken.write.mode("overwrite").parquet(f"{root}_rejects/batch={batch_id}")
+        delivered(batch, broken, prefix).write.mode("overwrite").parquet(f"{root}_progress/batch={batch_id}")
         if after_write is not None:
             after_write(batch_id)
 
     return write
 
 
+def delivered(batch: DataFrame, broken: DataFrame, prefix: str) -> DataFrame:
+    """What a batch held of each partition: the position after its last message, messages,
+    tombstones and broken ones."""
+    rows = batch.select(
+        "topic", "partition", "offset", F.col("value").isNull().alias("tombstone"), F.lit(False).alias("broken"),
+    ).unionByName(broken.select(
+        "topic", "partition", "offset", F.lit(False).alias("tombstone"), F.lit(True).alias("broken")))
+    return rows.groupBy("topic", "partition").agg(
+        (F.max("offset") + 1).alias("next_offset"), F.count_if(~F.col("broken")).alias("messages"),
+        F.count_if("tombstone").alias("tombstones"), F.count_if("broken").alias("rejected")).withColumn(
+        "entity", entity_of(F.col("topic"), prefix))
+
+
 def run_changes(
     messages: DataFrame, root: str, checkpoint: str, prefix: str, *,
     drain: bool = True, after_write: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
     """Start the consumer. ``drain`` reads what is there and stops (X2), else
-    it runs until it is stopped.
-
-    The observed counts (messages, tombstones, broken ones) appear in the progress of every
-    batch (X9).
-    """
-    watched = messages.observe(
-        "messages", F.count("*").alias("messages"),
-        F.count_if(F.col("value").isNull()).alias("tombstones"),
-        F.count_if(is_broken()).alias("rejected"))
+    it runs until it is stopped."""
     writer = (
-        watched.writeStream.foreachBatch(append_changes(root, prefix, after_write))
+        messages.writeStream.foreachBatch(append_changes(root, prefix, after_write))
         .option("checkpointLocation", checkpoint))
     if drain:
         return writer.trigger(availableNow=True).start()
@@ -106,6 +120,67 @@ def run_changes(
     return writer.trigger(processingTime="1 second").start()
 
 
+PROGRESS = ("topic STRING, partition INT, next_offset BIGINT, messages BIGINT, tombstones BIGINT, "
+            "rejected BIGINT, entity STRING, batch BIGINT")
+
+
+def read_progress(spark: SparkSession, root: str) -> DataFrame:
+    """A row for every batch and partition that the consumer has written."""
+    return spark.read.schema(PROGRESS).parquet(f"{root}_progress")
+
+
+def batch_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Messages, tombstones and broken messages of every batch and table."""
+    return read_progress(spark, root).groupBy("batch", "entity").agg(
+        *[F.sum(c).alias(c) for c in ("messages", "tombstones", "rejected")])
+
+
+def consumer_positions(spark: SparkSession, root: str) -> DataFrame:
+    """topic, partition, offset: where the consumer goes on reading."""
+    return read_progress(spark, root).groupBy("topic", "partition").agg(F.max("next_offset").alias("offset"))
+
+
+def offsets_of(progress: dict) -> list[dict]:
+    """Where each partition of a finished batch stands, from the progress of a source that
+    counts by topic and partition: read up to ``next_offset``, ``high`` at the broker (X8)."""
+    out = []
+    for source in progress["sources"]:
+        maps = [source.get(k) or {} for k in ("endOffset", "latestOffset")]
+        read, there = (json.loads(m) if isinstance(m, str) else m for m in maps)
+        if not isinstance(read, dict) or not all(isinstance(p, dict) for p in read.values()):
+            continue  # a source of files has one position, not one a partition
+        for topic, partitions in sorted(read.items()):
+            for partition, offset in sorted(partitions.items(), key=lambda x: int(x[0])):
+                high = there.get(topic, {}).get(partition, offset)
+                out.append({
+                    "batch": progress["batchId"], "topic": topic, "partition": int(partition),
+                    "next_offset": offset, "high": high, "lag": high - offset})
+    return out
+
+
+class LagTable(StreamingQueryListener):
+    """Appends ``offsets_of`` every batch of the session's streams to a table of files."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        rows = offsets_of(json.loads(event.progress.json))
+        if rows:  # one a partition of the topics
+            self.spark.createDataFrame(
+                rows, "batch BIGINT, topic STRING, partition INT, next_offset BIGINT, high BIGINT, lag BIGINT",
+            ).coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def read_changes(spark: SparkSession, root: str, entity: str) -> DataFrame:
     """The appended log of one entity; only its folder is listed and read."""
     partitions = [T.StructField("entity", T.StringType()), T.StructField("_ingested_day", T.DateType())]
@@ -114,20 +189,52 @@ def read_changes(spark: SparkSession, root: str, entity: str) -> DataFrame:
         *S.CHANGE_LOG.names)
 
 
-def drop_redelivered_stream(changes: DataFrame) -> DataFrame:
+POSITIONS = 1 << 16  # positions of one state row
+
+
+def _unseen(
+    key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, offset: str,
+) -> Iterator[pd.DataFrame]:
+    """The rows of a run of positions that came for the first time; the state keeps the
+    positions seen as intervals."""
+    edges = np.zeros(POSITIONS + 1, np.int8)
+    if state.exists:
+        low, high = np.frombuffer(state.get[0], np.int32).reshape(-1, 2).T
+        edges[low], edges[high] = 1, -1
+    seen = np.cumsum(edges[:-1]).astype(bool)
+    for frame in frames:
+        at = (frame[offset] - key[2] * POSITIONS).to_numpy()
+        first = np.zeros(len(at), bool)
+        first[np.unique(at, return_index=True)[1]] = True
+        new = first & ~seen[at]
+        seen[at] = True
+        if new.any():
+            yield frame[new].drop(columns="_run")
+    steps = np.diff(seen.astype(np.int8), prepend=0, append=0)
+    state.update((np.stack([np.flatnonzero(steps > 0), np.flatnonzero(steps < 0)], 1).astype(np.int32).tobytes(),))
+
+
+def drop_redelivered_stream(changes: DataFrame, position: list[str] = DELIVERY) -> DataFrame:
     """One row per position on the stream itself (X7), however late a row comes.
 
-    There is no watermark, which would drop late rows as well as late copies: the
-    positions seen stay as state on the executors' disks (RocksDB).
+    There is no watermark, which would drop late rows as well as late copies. A state row
+    stands for a run of 65,536 positions of a partition and holds the intervals seen: a run
+    without a gap is one interval, so state grows with gaps, not with messages. A hot
+    partition is as many groups as it has runs. Positions are not null and start at 0.
     """
-    return changes.dropDuplicates(DELIVERY)
+    topic, partition, offset = position
+    run = F.shiftright(offset, POSITIONS.bit_length() - 1)
+    return changes.withColumn("_run", run).groupBy(topic, partition, "_run").applyInPandasWithState(
+        lambda key, frames, state: _unseen(key, frames, state, offset),
+        changes.schema, "seen BINARY", "append", "NoTimeout")
 
 
 def run_distinct_changes(messages: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Append every decoded change once to ``root``."""
+    """Append every change once to ``root``. Copies go before they are parsed."""
     with_rocksdb(messages.sparkSession)
+    once = drop_redelivered_stream(messages, ["topic", "partition", "offset"])
     return (
-        drop_redelivered_stream(decode_messages(messages)).writeStream.outputMode("append")
+        decode_messages(once).writeStream.outputMode("append")
         .format("parquet").option("path", root).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start())
 
@@ -174,10 +281,3 @@ def read_latest_state(spark: SparkSession, root: str) -> DataFrame:
     schema = "_key STRING, op STRING, lsn BIGINT, image STRING, batch BIGINT"
     rows = spark.read.schema(schema).parquet(root)
     return latest_by(rows, ["_key"], F.desc("lsn"), F.desc("batch")).drop("batch")
-
-
-def batch_counts(query: StreamingQuery) -> list[dict]:
-    """Messages and tombstones of every finished batch."""
-    return [
-        {"batch": p.batchId, **p.observedMetrics["messages"].asDict()}
-        for p in query.recentProgress if "messages" in p.observedMetrics]

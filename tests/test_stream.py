@@ -33,11 +33,12 @@ def consume(spark, path, root, **options):
 def test_counts_of_every_batch(spark, messages):
     path, log = messages
     root = work_dir(spark, "counts")
-    counts = X.batch_counts(consume(spark, path, root))
+    consume(spark, path, root)
+    counts = X.batch_counts(spark, f"{root}/log").where("entity = 'bookings'").collect()
     deletes = log.where("op = 'd'").count()
     assert len(counts) == 3
-    assert sum(c["tombstones"] for c in counts) == deletes
-    assert sum(c["messages"] for c in counts) == log.count() + deletes
+    assert sum(c.tombstones for c in counts) == deletes
+    assert sum(c.messages for c in counts) == log.count() + deletes
     assert X.read_changes(spark, f"{root}/log", "bookings").count() == log.count()
 
 
@@ -116,9 +117,86 @@ def test_broken_messages_are_kept_aside(spark):
     spark.createDataFrame(rows, S.MESSAGE).coalesce(1).write.json(f"{root}/in")
     query = X.run_changes(X.file_messages(spark, f"{root}/in"), f"{root}/log", f"{root}/cp", "app.public.")
     query.awaitTermination()
-    (counts,) = X.batch_counts(query)
-    assert (counts["messages"], counts["tombstones"], counts["rejected"]) == (7, 1, 5)
+    (counts,) = X.batch_counts(spark, f"{root}/log").collect()
+    assert (counts.messages, counts.tombstones, counts.rejected) == (7, 1, 5)
     log = X.read_changes(spark, f"{root}/log", "bookings")
     assert [r._kafka_offset for r in log.collect()] == [0]
     assert C.booking_state(log).where("booking_id IS NULL").isEmpty()
     assert sorted(r.offset for r in spark.read.parquet(f"{root}/log_rejects").collect()) == [1, 2, 3, 4, 5]
+
+
+def test_state_grows_with_gaps_not_with_messages(spark):
+    """Three deliveries of 40,000 contiguous positions, shuffled: one interval, one state row a partition."""
+    root = work_dir(spark, "intervals")
+    rows = spark.range(40_000).select(
+        F.lit("t").alias("topic"), (F.col("id") % 2).cast("int").alias("partition"),
+        F.floor(F.col("id") / 2).alias("offset"), F.lit("k").alias("key"), F.col("id").cast("string").alias("value"))
+    for n in range(3):
+        rows.orderBy(F.xxhash64("value", F.lit(n))).repartition(2).write.mode("append").json(f"{root}/in")
+    X.with_rocksdb(spark)
+    stream = X.drop_redelivered_stream(X.file_messages(spark, f"{root}/in", 2), ["topic", "partition", "offset"])
+    query = stream.writeStream.format("parquet").option("path", f"{root}/out").option(
+        "checkpointLocation", f"{root}/cp").trigger(availableNow=True).start()
+    query.awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    assert out.count() == 40_000 and out.exceptAll(rows).isEmpty()
+    state = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert state[-1] == 2 and len([p for p in query.recentProgress if p.numInputRows]) == 3
+
+
+def test_positions_with_gaps_over_run_borders(spark, monkeypatch):
+    root, size = work_dir(spark, "gaps"), X.POSITIONS
+    wanted = [0, 1, 5, size - 1, size, size + 1, 3 * size, 7 * size - 2, 7 * size - 1]
+    for batch in (wanted[::2], wanted, wanted[::-1] + wanted[:3]):
+        spark.createDataFrame(
+            [("t", 0, o, "k", str(o)) for o in batch], S.MESSAGE).coalesce(1).write.mode("append").json(f"{root}/in")
+    stream = X.drop_redelivered_stream(X.file_messages(spark, f"{root}/in"), ["topic", "partition", "offset"])
+    stream.writeStream.format("parquet").option("path", f"{root}/out").option(
+        "checkpointLocation", f"{root}/cp").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.offset for r in spark.read.parquet(f"{root}/out").collect()) == wanted
+
+
+def test_rejects_of_a_replayed_batch_are_stored_once(spark):
+    root = work_dir(spark, "replayed")
+    spark.createDataFrame([("app.public.bookings", 0, n, "k", "{") for n in range(4)], S.MESSAGE).coalesce(
+        1).write.json(f"{root}/in")
+
+    def crash(_):
+        raise RuntimeError("simulated crash")
+
+    with pytest.raises(StreamingQueryException):
+        consume(spark, f"{root}/in", root, after_write=crash)
+    consume(spark, f"{root}/in", root)
+    assert sorted(r.offset for r in spark.read.parquet(f"{root}/log_rejects").collect()) == [0, 1, 2, 3]
+    (counts,) = X.batch_counts(spark, f"{root}/log").collect()
+    assert (counts.messages, counts.rejected) == (4, 4)
+    (at,) = X.consumer_positions(spark, f"{root}/log").collect()
+    assert (at.partition, at.offset) == (0, 4)
+
+
+KAFKA = {"batchId": 7, "sources": [
+    {"description": "KafkaV2[Subscribe[a,b]]", "startOffset": {"a": {"0": 1}},
+     "endOffset": {"a": {"0": 5, "1": 9}, "b": {"10": 3, "2": 0}},
+     "latestOffset": {"a": {"0": 5, "1": 12}, "b": {"10": 4, "2": 0}}},
+    {"description": "FileStreamSource", "startOffset": None, "endOffset": {"logOffset": 1}, "latestOffset": None}]}
+
+
+def test_lag_from_the_progress_of_a_partitioned_source():
+    rows = X.offsets_of(KAFKA)
+    assert [(r["topic"], r["partition"], r["next_offset"], r["high"], r["lag"]) for r in rows] == [
+        ("a", 0, 5, 5, 0), ("a", 1, 9, 12, 3), ("b", 2, 0, 0, 0), ("b", 10, 3, 4, 1)]
+    assert all(r["batch"] == 7 for r in rows)
+
+
+def test_lag_table_keeps_every_batch(spark):
+    import json
+    from types import SimpleNamespace
+
+    path = work_dir(spark, "lag")
+    table = X.LagTable(spark, path)
+    for batch in (7, 8):
+        text = json.dumps({**KAFKA, "batchId": batch})
+        table.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(json=text)))
+    table.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(json=json.dumps({"batchId": 9, "sources": []}))))
+    assert [(r.batch, r.lag) for r in spark.read.parquet(path).groupBy("batch").agg(
+        F.sum("lag").alias("lag")).orderBy("batch").collect()] == [(7, 4), (8, 4)]
