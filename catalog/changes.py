@@ -115,8 +115,8 @@ def _(t):
           FROM events_once WINDOW w AS (PARTITION BY key ORDER BY lsn))
     WHERE op <> 'd' AND next_op IS NOT NULL""", "events_once")
 def _(t):
-    """How long each state lasted; narrow spans, so that keys cross them."""
-    return C.time_in_state(t.event_log, lsn_span=4096)
+    """How long each state lasted; small slots, so that keys cross them."""
+    return C.time_in_state(t.event_log, rows_per_slot=8)
 
 
 @query("cdc_cancelled_after_confirmed", """

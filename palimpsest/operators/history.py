@@ -4,33 +4,64 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions import surrogate_key
 
 
+ROWS_PER_SLOT = 1_000_000  # of one key that a window sorts together
+MOST_CUTS = 4_096  # of one key; the sketch they come from is exact to 1 in 10,000
+
+
+def hot_key_cuts(df: DataFrame, keys: Sequence[str], order: str, rows_per_slot: int) -> DataFrame | None:
+    """(keys, _cuts): for each key of more than ``rows_per_slot`` rows the values of ``order`` that
+    cut them into parts of about that many; None if there is no such key.
+
+    The cuts follow the distribution of the key itself, so a key whose rows crowd into one
+    month, or one hour, is cut inside it. At most one key in ``rows_per_slot`` rows is hot.
+    """
+    hot = df.groupBy(*keys).agg(F.count(order).alias("_n")).where(F.col("_n") > rows_per_slot)
+    largest = hot.agg(F.max("_n")).first()[0]
+    if largest is None:
+        return None
+    parts = min(-(-largest // rows_per_slot), MOST_CUTS)
+    fractions = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    return df.join(hot.drop("_n"), list(keys), "left_semi").groupBy(*keys).agg(
+        F.array_distinct(F.percentile_approx(order, fractions)).alias("_cuts"))
+
+
+def with_slots(df: DataFrame, cuts: DataFrame | None, keys: Sequence[str], order: str) -> DataFrame:
+    """``df`` with ``_slot``, which grows with ``order`` within a key; 0 for keys that are not hot."""
+    if cuts is None:
+        return df.withColumn("_slot", F.lit(0))
+    below = F.size(F.filter("_cuts", lambda c: c <= F.col(order)))
+    return df.join(cuts, list(keys), "left").withColumn(
+        "_slot", F.when(F.col("_cuts").isNull(), 0).otherwise(below)).drop("_cuts")
+
+
 def with_neighbours(
-    df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str], slot: Column,
+    df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str],
+    rows_per_slot: int = ROWS_PER_SLOT,
 ) -> DataFrame:
     """Add ``_previous`` and ``_next``: structs of ``values`` from the adjacent
     rows of the same key, NULL at the ends (lag and lead for keys of any size).
 
-    ``slot`` must grow with ``order`` (a month, a range of log positions). The
-    window runs per (key, slot), so a hot key is cut into its slots; only the
-    edges of each slot, one row per (key, slot) after partial aggregation, are
-    ordered per key. ``order`` must be unique within a key and keys not NULL.
+    Without a hot key this is lag and lead in one window. A hot key is cut into slots of
+    equal numbers of rows; the window runs per (key, slot), and only the edges of its slots,
+    one row each after partial aggregation, are ordered per key. ``order`` must be unique
+    within a key and keys not NULL.
     """
     payload = F.struct(*values)
+    cuts = hot_key_cuts(df, keys, order, rows_per_slot)
+    if cuts is None:
+        plain = Window.partitionBy(*keys).orderBy(order)
+        return df.withColumns({"_previous": F.lag(payload).over(plain), "_next": F.lead(payload).over(plain)})
+    slotted = with_slots(df, cuts, keys, order)
     inner = Window.partitionBy(*keys, "_slot").orderBy(order)
-    rows = df.withColumn("_slot", slot).withColumns({
-        "_lag": F.lag(payload).over(inner), "_lead": F.lead(payload).over(inner)})
-    edges = (
-        df.withColumn("_slot", slot).groupBy(*keys, "_slot")
-        .agg(
-            F.min(F.struct(F.col(order).alias("_at"), payload.alias("_row"))).alias("_low"),
-            F.max(F.struct(F.col(order).alias("_at"), payload.alias("_row"))).alias("_high"))
-    )
+    rows = slotted.withColumns({"_lag": F.lag(payload).over(inner), "_lead": F.lead(payload).over(inner)})
+    at = F.struct(F.col(order).alias("_at"), payload.alias("_row"))
+    edges = slotted.groupBy(*keys, "_slot").agg(F.min(at).alias("_low"), F.max(at).alias("_high"))
     outer = Window.partitionBy(*keys).orderBy("_slot")
     edges = edges.select(
         *keys, "_slot",
@@ -88,64 +119,54 @@ def interval_join(
 
 def asof_join(
     facts: DataFrame, versions: DataFrame, key: str, at: str, since: str,
-    payload: Sequence[str], unit: str = "month",
+    payload: Sequence[str], rows_per_slot: int = ROWS_PER_SLOT,
 ) -> DataFrame:
     """Left join to the last version whose ``since`` is not after ``at``, else
     to the first version of the key: the same answer as ``interval_join`` over
     a gap-free history, without comparing facts with versions pairwise.
 
-    Facts and versions are merged in time order per (key, slot of time), so a
-    hot key is cut into its slots. The version carried into a slot comes from
-    one row per (key, slot). Facts are read once in full and once for their
-    (key, slot) pairs; hand in a stored table, not a long plan.
+    A prefix scan finds the version of every distinct (key, instant): instants and versions
+    are merged in time order per (key, slot), where slots cut a hot key at its own quantiles,
+    and the version that enters a slot comes from one row per (key, slot). The facts then
+    meet their instant by equality, so the facts of a hot key are spread by their times, and
+    an adaptive skew join splits those of one instant. Facts are read twice; hand in a stored
+    table, not a long plan. A fact without key or time gets no version.
     """
-    slot = lambda c: F.date_trunc(unit, c)
     version = F.struct(since, *payload)
-    states = versions.select(
-        F.col(key), slot(since).alias("_slot"), F.col(since).alias("_at"), version.alias("_v"))
-    events = facts.withColumns({"_slot": slot(at), "_at": F.col(at)})
-
+    states = versions.select(F.col(key).alias("_key"), F.col(since).alias("_at"), version.alias("_v"))
     kind = states.schema["_v"].dataType
-    slots = (
-        states.select(key, "_slot", F.col("_v").alias("_last"), F.col("_v").alias("_first"))
-        .unionByName(events.select(
-            key, "_slot", F.lit(None).cast(kind).alias("_last"),
-            F.lit(None).cast(kind).alias("_first")))
-        .groupBy(key, "_slot").agg(F.max("_last").alias("_last"), F.min("_first").alias("_first"))
-    )
-    order = Window.partitionBy(key).orderBy("_slot")
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carried = slots.select(
-        key, "_slot",
-        F.coalesce(
-            F.last("_last", ignorenulls=True).over(earlier),
-            F.first("_first", ignorenulls=True).over(whole)).alias("_carried"))
-
-    merged = (
-        events.select(
-            key, "_slot", "_at", F.lit(1).alias("_side"),
-            F.struct(*facts.columns).alias("_f"), F.lit(None).cast(kind).alias("_v"))
-        .unionByName(states.select(key, "_slot", "_at", F.lit(0).alias("_side"), "_v"),
-                     allowMissingColumns=True)
-    )
-    so_far = Window.partitionBy(key, "_slot").orderBy("_at", "_side").rowsBetween(
-        Window.unboundedPreceding, 0)
-    return (
-        merged.withColumn("_v", F.last("_v", ignorenulls=True).over(so_far))
-        .where("_side = 1")
-        .join(carried, [key, "_slot"], "left")
-        .withColumn("_v", F.coalesce("_v", "_carried"))
-        .select("_f.*", *[F.col(f"_v.{c}").alias(c) for c in payload])
-    )
+    instants = facts.select(F.col(key).alias("_key"), F.col(at).alias("_at")).where(
+        F.col("_key").isNotNull() & F.col("_at").isNotNull()).distinct()
+    times = states.withColumn("_side", F.lit(0)).unionByName(
+        instants.withColumns({"_side": F.lit(1), "_v": F.lit(None).cast(kind)}))
+    cuts = hot_key_cuts(times, ["_key"], "_at", rows_per_slot)
+    merged = with_slots(times, cuts, ["_key"], "_at")
+    slot = Window.partitionBy("_key", "_slot")
+    so_far = slot.orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    scanned = merged.withColumns({
+        "_found": F.last("_v", ignorenulls=True).over(so_far), "_first": F.min("_v").over(slot)})
+    if cuts is None:
+        answers = scanned.where("_side = 1").select("_key", "_at", F.coalesce("_found", "_first").alias("_v"))
+    else:
+        order = Window.partitionBy("_key").orderBy("_slot")
+        earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+        whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        edges = merged.groupBy("_key", "_slot").agg(F.max("_v").alias("_last"), F.min("_v").alias("_low"))
+        carried = edges.select(
+            "_key", "_slot", F.coalesce(
+                F.last("_last", ignorenulls=True).over(earlier),
+                F.first("_low", ignorenulls=True).over(whole)).alias("_carried"))
+        answers = scanned.where("_side = 1").join(carried, ["_key", "_slot"], "left").select(
+            "_key", "_at", F.coalesce("_found", "_carried").alias("_v"))
+    return facts.join(answers, (F.col(key) == F.col("_key")) & (F.col(at) == F.col("_at")), "left").select(
+        *[facts[c] for c in facts.columns], *[F.col(f"_v.{c}").alias(c) for c in payload])
 
 
 def history_defects(dim: DataFrame, key: str = "customer_id") -> DataFrame:
     """Keys whose versions have a gap or overlap, or not exactly one current
     and one first version (W8)."""
     chained = with_neighbours(
-        dim.select(key, "observed_from", "valid_from", "valid_to"), [key], "observed_from",
-        ["valid_from"], F.date_trunc("quarter", "observed_from"))
+        dim.select(key, "observed_from", "valid_from", "valid_to"), [key], "observed_from", ["valid_from"])
     following = F.col("_next.valid_from")
     broken = chained.where(
         following.isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_to") != following)))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from palimpsest import schemas as S
 from palimpsest.functions import clean_currency, clean_email, row_image
-from palimpsest.operators.history import with_neighbours
+from palimpsest.operators.history import ROWS_PER_SLOT, with_neighbours
 from palimpsest.operators.latest import latest_by
 
 DELIVERY = ["_kafka_topic", "_kafka_partition", "_kafka_offset"]
@@ -132,16 +132,13 @@ def status_transitions(log: DataFrame) -> DataFrame:
     ).where(~F.col("status_before").eqNullSafe(F.col("status_after")))
 
 
-def time_in_state(log: DataFrame, lsn_span: int = 1 << 20) -> DataFrame:
-    """How long each state lasted until the next change of the key.
-
-    Log positions are cut in spans, so one busy key does not stay in one task.
-    """
+def time_in_state(log: DataFrame, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
+    """How long each state lasted until the next change of the key (W10); a busy key is cut
+    into slots of its log positions."""
     events = drop_redelivered(
         log, "_key", "lsn", "source_ts", "op", _status("after").alias("status"))
     chained = with_neighbours(
-        events, ["_key"], "lsn", ["source_ts", "op", "status"],
-        F.floor(F.col("lsn") / lsn_span))
+        events, ["_key"], "lsn", ["source_ts", "op", "status"], rows_per_slot)
     return chained.where((F.col("op") != "d") & F.col("_next").isNotNull()).select(
         "_key", "lsn", "status", F.col("_next.status").alias("next_status"),
         F.col("_next.op").alias("next_op"),

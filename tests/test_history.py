@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from palimpsest.operators.compare import fingerprint, id_difference
-from palimpsest.operators.history import asof_join, customer_history, interval_join, with_neighbours
+from palimpsest.operators.history import (
+    asof_join, customer_history, hot_key_cuts, interval_join, with_neighbours, with_slots)
 from palimpsest.operators.latest import flag_repeats, latest_by
 
 START = dt.datetime(2020, 1, 1)
@@ -33,12 +34,11 @@ def world(request, spark):
     return versions, facts, v, f
 
 
-@pytest.mark.parametrize("unit", ["day", "month", "year"])
-def test_neighbours(world, unit):
+@pytest.mark.parametrize("rows_per_slot", [1, 7, 100, 10**6])
+def test_neighbours(world, rows_per_slot):
     versions, _, v, _ = world
     rows = with_neighbours(
-        v, ["customer_id"], "updated_at", ["updated_at", "tier"],
-        F.date_trunc(unit, "updated_at")).collect()
+        v, ["customer_id"], "updated_at", ["updated_at", "tier"], rows_per_slot).collect()
     assert len(rows) == len(versions)
     for k in {k for k, _, _ in versions}:
         ordered = sorted((at, tier) for c, at, tier in versions if c == k)
@@ -66,7 +66,7 @@ def dimension(v):
     return customer_history(renamed)
 
 
-@pytest.mark.parametrize("plan", ["interval", "asof-day", "asof-month", "asof-year"])
+@pytest.mark.parametrize("plan", ["interval", "asof-1", "asof-20", "asof-300", "asof-1000000"])
 def test_point_in_time(world, plan):
     versions, facts, v, f = world
     dim = dimension(v)
@@ -74,12 +74,48 @@ def test_point_in_time(world, plan):
         joined = interval_join(f, dim, "customer_id", "created_at", ["loyalty_tier"])
     else:
         joined = asof_join(f, dim, "customer_id", "created_at", "observed_from",
-                           ["loyalty_tier"], unit=plan.split("-")[1])
+                           ["loyalty_tier"], rows_per_slot=int(plan.split("-")[1]))
     rows = joined.collect()
     assert len(rows) == len(facts)
     assert {r.booking_id: r.loyalty_tier for r in rows} == expected_versions(versions, facts)
 
 
+def test_a_hot_customer_of_one_month_spans_many_slots(spark):
+    """Nine facts in ten are of one customer and one month; the slots are cut inside it."""
+    at = F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id"))
+    facts = spark.range(20_000).select(
+        F.col("id").alias("booking_id"), F.when(F.col("id") % 10 > 0, 7).otherwise(F.col("id")).alias("customer_id"),
+        at.alias("created_at"))
+    cuts = hot_key_cuts(facts, ["customer_id"], "created_at", 1_000)
+    slots = with_slots(facts, cuts, ["customer_id"], "created_at").where("customer_id = 7").groupBy(
+        "_slot").count().collect()
+    assert len(slots) == 18 and max(r["count"] for r in slots) <= 2_000
+    versions = spark.range(0, 20_000, 37).select(
+        F.lit(7).cast("long").alias("customer_id"), at.alias("observed_from"), F.col("id").alias("tier"))
+    bounds = versions.withColumns({
+        "valid_from": F.when(F.col("tier") > 0, F.col("observed_from")),
+        "valid_to": F.when(F.col("tier") + 37 < 20_000, F.timestamp_seconds(
+            F.lit(1_600_000_000) + F.col("tier") + 37))})
+    for size in (1_000, 10**6):
+        found = asof_join(facts, versions, "customer_id", "created_at", "observed_from", ["tier"], size)
+        wanted = interval_join(facts, bounds, "customer_id", "created_at", ["tier"])
+        assert found.count() == 20_000 and found.exceptAll(wanted).isEmpty()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "<=" not in plan.split("Join")[1].split("\n")[0]  # no residual: nothing is compared pairwise
+
+
+def test_facts_at_one_instant_and_without_time(spark):
+    facts = spark.createDataFrame(
+        [(i, 1, START) for i in range(50)] + [(100, 1, None), (101, None, START), (102, 2, START)],
+        "booking_id int, customer_id int, created_at timestamp")
+    versions = spark.createDataFrame(
+        [(1, START, "a"), (1, START + dt.timedelta(days=1), "b")], "customer_id int, since timestamp, tier string")
+    for size in (1, 100):
+        rows = asof_join(facts, versions, "customer_id", "created_at", "since", ["tier"], size).collect()
+        assert {r.booking_id: r.tier for r in rows} == {
+            **dict.fromkeys(range(50), "a"), 100: None, 101: None, 102: None}
+
+
 def test_latest_of_a_hot_key(spark):
     rows = spark.range(20_000).select(
         F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 50).alias("k"), "id")
