@@ -145,7 +145,7 @@ def _(t):
                     ingested_at=LOADED_AT)
     return table.read().select(
         "booking_id", "status", "total_amount", "_interval_start", "_ingested_at",
-        F.contains("_source_file", F.lit("/bookings/dt=1998-02-10/")).alias("from_landing"))
+        F.endswith("_source_file", F.lit("/bookings/dt=1998-02-10")).alias("from_landing"))
 
 
 @query("partition_overwrite", PER_DAY.format("""(

@@ -8,8 +8,7 @@ from __future__ import annotations
 
 import uuid
 import warnings
-from collections.abc import Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -18,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palimpsest import schemas as S
+from palimpsest.sources.publish import Folder, Journal, Switch, values_in
+from palimpsest.sources.types import read_reconciled
 
 DAY = "_interval_start"
 EPOCH = "1970-01-01"
@@ -56,24 +57,79 @@ def scan_window(source: DataFrame, start: str, end: str, column: str = "updated_
     return source.where((F.col(column) >= _instant(start)) & (F.col(column) < _instant(end)))
 
 
+SLICES = 24
+
+
 def jdbc_window(
     spark: SparkSession, url: str, table: str, start: str, end: str,
-    properties: dict[str, str], slices: int = 24, column: str = "updated_at",
+    properties: dict[str, str], key: str, slices: int = SLICES, column: str = "updated_at",
 ) -> DataFrame:
-    """The same scan against a database, cut in ``slices`` equal parts of the
-    window that executors read in parallel, each with its own predicate."""
+    """The same scan against a database, cut into parts of about equal numbers of rows that
+    executors read in parallel, each with its own predicate. The cuts come from a first scan
+    of the window's times and keys alone."""
+    options = {"fetchsize": "10000", "connectTimeout": "10", **properties}
+    window = f"(SELECT {column}, {key} FROM {table} WHERE {_between(column, start, end)}) w"
+    cuts = equi_depth_cuts(spark.read.jdbc(url, window, properties=options), slices, column, key)
     return spark.read.jdbc(
-        url, table, predicates=window_predicates(start, end, slices, column),
-        properties={"fetchsize": "10000", "connectTimeout": "10", **properties})
+        url, table, predicates=window_predicates(start, end, cuts, column, key), properties=options)
 
 
-def window_predicates(start: str, end: str, slices: int, column: str = "updated_at") -> list[str]:
-    a, b = datetime.fromisoformat(start), datetime.fromisoformat(end)
-    cuts = [a + (b - a) * i / slices for i in range(slices)] + [b]
-    return [
-        f"{column} >= TIMESTAMP '{lo:%Y-%m-%d %H:%M:%S.%f}' "
-        f"AND {column} < TIMESTAMP '{hi:%Y-%m-%d %H:%M:%S.%f}'"
-        for lo, hi in zip(cuts, cuts[1:])]
+def _stamp(at: datetime) -> str:
+    return f"TIMESTAMP '{at:%Y-%m-%d %H:%M:%S.%f}'"
+
+
+def _between(column: str, start: str, end: str) -> str:
+    low, high = (_stamp(datetime.fromisoformat(t)) for t in (start, end))
+    return f"{column} >= {low} AND {column} < {high}"
+
+
+def equi_depth_cuts(
+    rows: DataFrame, slices: int = SLICES, column: str = "updated_at", key: str = "id",
+) -> list[tuple[datetime, int | None]]:
+    """Places (time, key) that cut ``rows`` into about ``slices`` parts of equal size.
+
+    Quantiles of the time first. A time that takes several quantiles holds more rows than a
+    part should: it is cut again at quantiles of its whole-number keys.
+    """
+    shares = lambda n: F.array(*[F.lit(i / n) for i in range(1, n)])
+    found = rows.agg(F.percentile_approx(F.unix_micros(column), shares(slices), 100_000).alias("q")).first().q or []
+    cuts: list[tuple[int, int | None]] = []
+    heavy = sorted({q for q in found if found.count(q) > 1})
+    inside = rows.where(F.unix_micros(column).isin(heavy)).groupBy(F.unix_micros(column).alias("at")).agg(
+        F.percentile_approx(key, shares(slices), 100_000).alias("keys")).collect() if heavy else []
+    keys = {r["at"]: r["keys"] for r in inside}
+    for q in dict.fromkeys(found):
+        cuts.append((q, None))
+        if q in keys:  # as many parts as quantiles fell on it, and the two it shares with its neighbours
+            parts = found.count(q) + 1
+            picked = [keys[q][i * (slices - 1) // parts] for i in range(1, parts)]
+            cuts += [(q, k) for k in dict.fromkeys(picked)] + [(q + 1, None)]
+    epoch = datetime(1970, 1, 1)
+    return [(epoch + timedelta(microseconds=at), k) for at, k in dict.fromkeys(cuts)]
+
+
+def window_predicates(
+    start: str, end: str, cuts: Sequence[tuple[datetime, int | None]], column: str = "updated_at",
+    key: str = "id",
+) -> list[str]:
+    """Predicates that cover ``[start, end)`` once, cut at ``cuts`` (ascending)."""
+    first, last = datetime.fromisoformat(start), datetime.fromisoformat(end)
+    inner = [c for c in cuts if (first, None) != c and first <= c[0] < last]
+
+    def at_least(place: tuple[datetime, int | None]) -> str:
+        at, k = place
+        if k is None:
+            return f"{column} >= {_stamp(at)}"
+        return f"({column} > {_stamp(at)} OR ({column} = {_stamp(at)} AND {key} >= {k}))"
+
+    def before(place: tuple[datetime, int | None]) -> str:
+        at, k = place
+        if k is None:
+            return f"{column} < {_stamp(at)}"
+        return f"({column} < {_stamp(at)} OR ({column} = {_stamp(at)} AND {key} < {k}))"
+
+    places = [(first, None), *inner, (last, None)]
+    return [f"{at_least(a)} AND {before(b)}" for a, b in zip(places, places[1:])]
 
 
 def landing_path(root: str, entity: str, day: str) -> str:
@@ -81,19 +137,27 @@ def landing_path(root: str, entity: str, day: str) -> str:
     return f"{root.rstrip('/')}/{entity}/dt={day}"
 
 
-def land_days(df: DataFrame, root: str, first: str, last: str) -> None:
-    """Write the rows of a range of days, each day to its own landing folder, and
-    clear the folders of days that have none: the same files' places as day by day."""
-    df.withColumn("dt", F.date_format("updated_at", "yyyy-MM-dd")).repartitionByRange(
-        "dt", "updated_at").sortWithinPartitions("dt", "updated_at").write.mode(
-        "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(root)
+def land_days(df: DataFrame, root: str, first: str, last: str) -> list[str]:
+    """Write the rows of a range of days, each day to its own landing folder, and clear the
+    folders of days that have none: the same places as day by day. Returns the days with rows.
+
+    The source is read once, in one job; which days it had is told by the folders it made. They
+    are moved into place afterwards, so a failing read leaves the landing area as it was.
+    """
     spark, day = df.sparkSession, date.fromisoformat(first)
-    written = {r.dt for r in df.select(
-        F.date_format("updated_at", "yyyy-MM-dd").alias("dt")).distinct().collect()}
+    fresh = Folder(spark, f"{root.rstrip('/')}/_landing-{uuid.uuid4().hex}")
+    # adaptive execution sizes the files: a hot day is cut, small days of one task share it
+    dated = df.withColumn("dt", F.date_format("updated_at", "yyyy-MM-dd")).hint("rebalance", F.col("dt"))
+    dated.sortWithinPartitions("dt", "updated_at").write.partitionBy("dt").parquet(fresh.path)
+    landed, places = values_in(fresh, "dt"), Folder(spark, root)
     while day.isoformat() <= last:
-        if day.isoformat() not in written:
-            _clear_folder(spark, f"{root}/dt={day.isoformat()}")
+        name = f"dt={day.isoformat()}"
+        places.remove(name)
+        if day.isoformat() in landed:
+            places.take(name, Folder(spark, f"{fresh.path}/{name}"))
         day += timedelta(days=1)
+    fresh.remove()
+    return landed
 
 
 def land(df: DataFrame, path: str) -> None:
@@ -109,10 +173,11 @@ def read_landed(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None,
 ) -> DataFrame:
     """Landed files, columns matched by name and missing ones filled with NULL
-    (S5, U4). A known schema avoids reading every footer."""
+    (S5, U4). A known schema avoids reading every footer; without one the files' types
+    are widened to hold all of them (see ``read_reconciled``)."""
     if schema is not None:
         return spark.read.schema(schema).parquet(*paths)
-    return spark.read.option("mergeSchema", "true").parquet(*paths)
+    return read_reconciled(spark, paths)
 
 
 def add_lineage(df: DataFrame, day: str, ingested_at: str | None = None) -> DataFrame:
@@ -183,7 +248,13 @@ class DayTable:
             f"USING parquet PARTITIONED BY (`{self.day}`) LOCATION '{self.location}'")
         return self
 
+    @property
+    def journal(self) -> Journal:
+        return Journal(self.spark, self.name, self.day, self.location)
+
     def read(self) -> DataFrame:
+        """The table as of its last commit, also after a crash of the writer."""
+        self.journal.carry_out()
         return self.spark.table(self.name)
 
     def rows_on(self, day: str) -> DataFrame:
@@ -211,74 +282,62 @@ class DayTable:
         return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
 
     def replace_day(self, df: DataFrame, day: str, on_empty: str = "clear") -> None:
-        """Replace one day (S6). The partition is named in the statement: an
-        empty frame clears the day, and no other day can be touched.
+        """Replace one day (S6): an empty frame clears the day, and no other day can be touched.
 
-        ``on_empty="keep"`` leaves the stored day alone when there is nothing
-        to write (S14).
+        Rows of another day are an extraction error (S8). ``on_empty="keep"`` leaves the
+        stored day alone when there is nothing to write (S14).
         """
-        if self.day in df.columns:
-            self._refuse_strays(df, day)
-        if on_empty == "keep" and df.isEmpty():
-            return
-        columns = self._align(df)
-        view = f"_rows_{self.name.replace('.', '_')}_{uuid.uuid4().hex}"
-        self._clustered(df.select(*columns)).createOrReplaceTempView(view)
-        listed = ", ".join(f"`{c}`" for c in columns)
-        self.spark.sql(
-            f"INSERT OVERWRITE TABLE {self.name} PARTITION (`{self.day}` = DATE '{day}') "
-            f"({listed}) SELECT {listed} FROM {view}")
-        self.spark.catalog.dropTempView(view)
-
-    def _refuse_strays(self, df: DataFrame, day: str) -> None:
-        """Rows of another day are an extraction error."""
-        outside = ~F.col(self.day).eqNullSafe(F.lit(day).cast("date"))
-        if not df.where(outside).isEmpty():
-            raise GateError(f"{self.name}: rows outside the partition {day}")
-
-    def replace_days(self, df: DataFrame, first: str, last: str) -> None:
-        """Replace every day of ``[first, last]`` in one job.
-
-        Days are independent, so a long backfill is one clustered write with
-        dynamic partition overwrite; days of the range that got no row are
-        dropped afterwards, as a single-day run would have cleared them.
+        if self.day not in df.columns:
+            df = df.withColumn(self.day, F.lit(day).cast("date"))
+        self._replace(df, day, day, f"the partition {day}", on_empty)
+
+    def replace_days(
+        self, df: DataFrame, first: str, last: str, after: Callable[[str], None] = lambda step: None,
+    ) -> None:
+        """Replace every day of ``[first, last]`` as one step.
+
+        Days are independent, so a long backfill is one clustered write; days of the range that
+        got no row are dropped, as a single-day run would have cleared them. ``after`` is told
+        of each step done: tests raise in it to provoke a crash.
         """
-        inside = F.col(self.day).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-        if not df.where(~F.coalesce(inside, F.lit(False))).isEmpty():
-            raise GateError(f"{self.name}: rows outside the days {first} to {last}")
-        columns = [*self._align(df), self.day]
-        with _dynamic_overwrite(self.spark):
-            self._clustered(df.select(*columns), self.day).write.insertInto(
-                self.name, overwrite=True)
-        filled = {r[0].isoformat() for r in df.select(self.day).distinct().collect()}
-        for row in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect():
-            stored = row[0].split("=", 1)[1]
-            if first <= stored <= last and stored not in filled:
-                self.spark.sql(
-                    f"ALTER TABLE {self.name} DROP PARTITION (`{self.day}` = DATE '{stored}')")
-                _clear_folder(self.spark, f"{self.location}/{self.day}={stored}")
-
-
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    """Overwrite only partitions that get rows. A table insert takes the mode
-    from the session, and in the default mode it would erase the whole table."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
-def _clear_folder(spark: SparkSession, path: str) -> None:
-    """Remove the files of a dropped partition of an external table."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(target):
-        fs.delete(target, True)
+        self._replace(df, first, last, f"the days {first} to {last}", "clear", after)
+
+    def _replace(
+        self, df: DataFrame, first: str, last: str, what: str, on_empty: str,
+        after: Callable[[str], None] = lambda step: None,
+    ) -> None:
+        """Write beside the table, then commit the switch of all days (see ``publish``)."""
+        self.journal.carry_out()
+        known = self._align(df)
+        types = {f.name: f.dataType for f in self.spark.table(self.name).schema}
+        rows = df.select(*[F.col(c).cast(types[c]).alias(c) for c in [*known, self.day]])
+        version = Folder(self.spark, f"{self.location.rstrip('/')}-versions/{uuid.uuid4().hex}")
+        self._clustered(rows, self.day).write.partitionBy(self.day).parquet(version.path)
+        filled = values_in(version, self.day)
+        if not all(first <= d <= last for d in filled):  # a row without a day has a folder of its own
+            version.remove()
+            raise GateError(f"{self.name}: rows outside {what}")
+        after("written")
+        if not filled and on_empty == "keep":
+            return
+        self.journal.commit(Switch(
+            {d: f"{version.path}/{self.day}={d}" for d in filled},
+            [d for d in self.journal.values() if first <= d <= last and d not in filled]))
+        after("committed")
+        self.journal.carry_out(after)
+
+    def vacuum(self) -> None:
+        """Remove the files of replaced days; no reader may still be at work on them."""
+        self.journal.carry_out()
+        session = self.spark._jsparkSession.sessionState()
+        name = session.sqlParser().parseTableIdentifier(self.name)
+        none = self.spark.sparkContext._jvm.scala.Option.empty()
+        parts = session.catalog().listPartitions(name, none)
+        used = {parts.apply(i).location().toString().rstrip("/").split("/")[-2] for i in range(parts.size())}
+        versions = Folder(self.spark, f"{self.location.rstrip('/')}-versions")
+        for version in versions.names():
+            if version not in used:
+                versions.remove(version)
 
 
 def raw_table(spark: SparkSession, entity: str, name: str, location: str) -> DayTable:
@@ -314,7 +373,7 @@ def backfill(
 ) -> None:
     """Reload a range of closed days in one job (G2), late rows included.
 
-    The source is read once, into one landing folder a day; the gate looks at
+    The source is read once, by one job, into one landing folder a day; the gate looks at
     every day and the load reads the landed files, so that a day is refused, and
     traced to its folder, as if it had been loaded alone.
 
@@ -328,14 +387,11 @@ def backfill(
             "that only the raw table still holds", stacklevel=2)
     end = (date.fromisoformat(last) + timedelta(days=1)).isoformat()
     root = f"{landing.rstrip('/')}/{entity}"
-    rows = scan_window(source, first, end)
-    if rows.isEmpty():
-        table.replace_days(
-            add_lineage(rows, first, ingested_at).withColumn(DAY, F.to_date("updated_at")), first, last)
-        return
-    land_days(rows, root, first, last)
+    landed_days = land_days(scan_window(source, first, end), root, first, last)
     days = T.StructType([*source.schema.fields, T.StructField("dt", T.StringType())])
-    landed = read_landed(table.spark, [root], days).where(F.col("dt").between(first, last))
+    landed = table.spark.read.option("basePath", root).schema(days).parquet(
+        *[landing_path(landing, entity, d) for d in landed_days]) if landed_days else \
+        table.spark.createDataFrame([], days)
     bad = [f"{m.dt}: " + ", ".join(_named_problems(m)) for m in gate_days(
         landed, S.PRIMARY_KEY[entity], first, end).collect() if _named_problems(m)]
     if bad:

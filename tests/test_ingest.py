@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 import pytest
@@ -166,7 +167,8 @@ def test_replay_grows_raw_but_not_staging(spark, bookings):
 
 
 def test_predicates_cover_the_window_once():
-    cuts = I.window_predicates("2026-09-01", "2026-09-02", 4)
+    at = lambda h: dt.datetime(2026, 9, 1, h)
+    cuts = I.window_predicates("2026-09-01", "2026-09-02", [(at(6), None), (at(12), None), (at(18), None)])
     assert len(cuts) == 4
     assert cuts[0].startswith("updated_at >= TIMESTAMP '2026-09-01 00:00:00")
     assert all(a.split("< ")[1] == b.split(">= ")[1].split(" AND")[0]
