@@ -233,30 +233,39 @@ def _(t):
     SELECT source, loaded_until, CAST(date_sub('hour', loaded_until, as_of) AS BIGINT) AS age_hours,
            CASE WHEN as_of - loaded_until > INTERVAL 50 HOUR THEN 'error'
                 WHEN as_of - loaded_until > INTERVAL 26 HOUR THEN 'warn' ELSE 'pass' END AS status
-    FROM (SELECT 'bookings' AS source, TIMESTAMP '2001-08-04 06:30:00' AS as_of,
+    FROM (SELECT 'bookings' AS source, TIMESTAMP '2001-11-06 06:30:00' AS as_of,
                  max(CAST(_interval_start + 1 AS TIMESTAMP)) AS loaded_until FROM raw_bookings
-          UNION ALL SELECT 'customers', TIMESTAMP '2001-08-04 06:30:00',
-                 max(CAST(_interval_start + 1 AS TIMESTAMP)) FROM raw_customers)""",
-       "raw_bookings raw_customers")
+          UNION ALL SELECT 'customers', TIMESTAMP '2001-11-06 06:30:00',
+                 max(CAST(_interval_start + 1 AS TIMESTAMP)) FROM raw_customers
+          UNION ALL SELECT 'payments', TIMESTAMP '2001-11-06 06:30:00',
+                 max(CAST(_interval_start + 1 AS TIMESTAMP)) FROM raw_payments)""",
+       "raw_bookings raw_customers raw_payments")
 def _(t):
     """Age of the last loaded day, on data time."""
     until = F.date_add("_interval_start", 1).cast("timestamp")
     return reduce(DataFrame.unionByName, [
-        Q.freshness(df, name, until, "2001-08-04 06:30:00", 26, 50)
-        for name, df in [("bookings", t.raw_bookings), ("customers", t.raw_customers)]])
+        Q.freshness(df, name, until, "2001-11-06 06:30:00", 26, 50)
+        for name, df in [("bookings", t.raw_bookings), ("customers", t.raw_customers),
+                         ("payments", t.raw_payments)]])
 
 
 @query("chk_freshness_cdc", """
-    SELECT 'bookings_cdc' AS source, loaded_until,
+    SELECT source, loaded_until,
            CAST(date_sub('hour', loaded_until, as_of) AS BIGINT) AS age_hours,
            CASE WHEN as_of - loaded_until > INTERVAL 26 HOUR THEN 'error'
                 WHEN as_of - loaded_until > INTERVAL 1 HOUR THEN 'warn' ELSE 'pass' END AS status
-    FROM (SELECT TIMESTAMP '2024-01-31 12:00:00' AS as_of, max(_ingested_at) AS loaded_until
-          FROM event_log)""", "event_log")
+    FROM (SELECT 'bookings_cdc' AS source, TIMESTAMP '2024-01-31 12:00:00' AS as_of,
+                 max(_ingested_at) AS loaded_until FROM event_log
+          UNION ALL SELECT 'customers_cdc', TIMESTAMP '1999-05-05 12:00:00', max(
+                 CAST(DATE '1994-06-01' + CAST(c_custkey % 200 + 800 * n AS INT) AS TIMESTAMP)
+                 + INTERVAL 100 MILLISECOND + INTERVAL 5 MINUTE
+                 + CASE WHEN c_custkey % 13 = 0 THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END)
+          FROM customer, (VALUES (0),(1),(2)) v(n) WHERE n <= c_custkey % 3)""", "event_log")
 def _(t):
-    """C16."""
-    return Q.freshness(
-        t.event_log, "bookings_cdc", F.col("_ingested_at"), "2024-01-31 12:00:00", 1, 26)
+    """Every table that has a change log."""
+    at = F.col("_ingested_at")
+    return Q.freshness(t.event_log, "bookings_cdc", at, "2024-01-31 12:00:00", 1, 26).unionByName(
+        Q.freshness(t.customer_log, "customers_cdc", at, "1999-05-05 12:00:00", 1, 26))
 
 
 def _count(name: str, severity: str, failing: str) -> str:
@@ -410,21 +419,28 @@ def _(t):
         "t", "_interval_start")
 
 
-@query("value_drift", """
-    SELECT CASE WHEN s.booking_id IS NULL THEN 'absent'
+KEYS = {name: S.PRIMARY_KEY[name] for name in SOURCES}
+DRIFT = " UNION ALL ".join(f"""
+    SELECT '{name}' AS t, CASE WHEN s.{key} IS NULL THEN 'absent'
                 ELSE CAST(CAST(round(epoch(r.created_at) - s.e, 3) AS DECIMAL(20,3)) AS VARCHAR)
                 END AS decalage, count(*) AS n
-    FROM raw_bookings r LEFT JOIN (
-        SELECT booking_id, epoch(created_at) + CASE WHEN booking_id % 17 = 0 THEN 1.5 ELSE 0 END
-               AS e FROM stg_bookings WHERE booking_id % 50 <> 0) s
-    ON r.booking_id = s.booking_id GROUP BY 1""", "raw_bookings stg_bookings")
+    FROM raw_{name} r LEFT JOIN (
+        SELECT {key}, epoch(created_at) + CASE WHEN {key} % 17 = 0 THEN 1.5 ELSE 0 END
+               AS e FROM stg_{name} WHERE {key} % 50 <> 0) s
+    ON r.{key} = s.{key} GROUP BY 2""" for name, key in KEYS.items())
+
+
+@query("value_drift", DRIFT, COUNTED)
 def _(t):
-    """Instants of raw rows against a source that lost and shifted some."""
-    shifted = t.stg_bookings.where("booking_id % 50 <> 0").withColumn(
-        "created_at",
-        F.when(F.col("booking_id") % 17 == 0, F.expr("created_at + INTERVAL 1.5 SECONDS"))
-        .otherwise(F.col("created_at")))
-    return instant_drift(t.raw_bookings, shifted, "booking_id", "created_at")
+    """Instants of the raw rows of all tables against sources that lost and shifted some."""
+    def drift(name, key):
+        shifted = getattr(t, f"stg_{name}").where(f"{key} % 50 <> 0").withColumn(
+            "created_at",
+            F.when(F.col(key) % 17 == 0, F.expr("created_at + INTERVAL 1.5 SECONDS"))
+            .otherwise(F.col("created_at")))
+        return instant_drift(getattr(t, f"raw_{name}"), shifted, key, "created_at")
+
+    return _of_all_tables([(name, drift(name, key)) for name, key in KEYS.items()])
 
 
 @query("ghosts_missing", """
@@ -451,23 +467,44 @@ def _(t):
     return R.repeated_tuples(t.stg_payments)
 
 
-@query("source_report", """
-    SELECT 'bookings' AS t,
-           (SELECT count(*) FROM (SELECT * FROM counts WHERE cible > 0)) AS partitions,
-           (SELECT count(*) FROM counts WHERE source <> cible) AS jours_differents,
-           (SELECT count(*) FROM raw_bookings) AS lignes,
-           (SELECT count(DISTINCT booking_id) FROM raw_bookings) AS cles,
-           CAST((SELECT count(*) FROM raw_bookings WHERE booking_id NOT IN
-                 (SELECT booking_id FROM active)) AS BIGINT) AS decales, FALSE AS conforme
-    FROM (SELECT 1) one""".replace("counts", """(
-        SELECT coalesce(s.d, r.d) AS d, coalesce(s.n, 0) AS source, coalesce(r.n, 0) AS cible
-        FROM (SELECT CASE WHEN updated_at < TIMESTAMP '1996-01-01' THEN DATE '1995-12-31'
-                          ELSE CAST(updated_at AS DATE) END AS d, count(*) AS n
-              FROM active WHERE updated_at < TIMESTAMP '2001-01-01' GROUP BY 1) s
-        FULL JOIN (SELECT _interval_start AS d, count(*) AS n FROM raw_bookings
-                   WHERE _interval_start < DATE '2001-01-01' GROUP BY 1) r
-        ON s.d = r.d)"""), "active raw_bookings")
+REPORTED = {"hotels": "stg_hotels", "customers": "stg_customers", "bookings": "active", "payments": "stg_payments"}
+REPORT_LINES = " UNION ALL ".join(f"""
+    SELECT '{name}' AS t, count(*) FILTER (WHERE cible > 0) AS partitions,
+           count(*) FILTER (WHERE source <> cible) AS jours_differents,
+           (SELECT count(*) FROM raw_{name}) AS lignes,
+           (SELECT count(DISTINCT {KEYS[name]}) FROM raw_{name}) AS cles,
+           (SELECT count(*) FROM raw_{name} r LEFT JOIN {source} s USING ({KEYS[name]})
+            WHERE s.created_at IS NULL OR round(epoch(r.created_at) - epoch(s.created_at), 3) <> 0) AS decales,
+           CAST(NULL AS BIGINT) AS source, CAST(NULL AS BIGINT) AS staging
+    FROM (SELECT coalesce(s.n, 0) AS source, coalesce(r.n, 0) AS cible
+          FROM (SELECT CASE WHEN updated_at < TIMESTAMP '1996-01-01' THEN DATE '1995-12-31'
+                            ELSE CAST(updated_at AS DATE) END AS d, count(*) AS n
+                FROM {source} WHERE updated_at < TIMESTAMP '2001-01-01' GROUP BY 1) s
+          FULL JOIN (SELECT _interval_start AS d, count(*) AS n FROM raw_{name}
+                     WHERE _interval_start < DATE '2001-01-01' GROUP BY 1) r ON s.d = r.d)"""
+    for name, source in REPORTED.items())
+
+
+REPORT = f"""
+    SELECT *, jours_differents = 0 AND lignes = cles AND decales = 0 AS conforme FROM ({REPORT_LINES})
+    UNION ALL SELECT 'doubles soumissions', NULL, NULL, NULL, NULL, NULL, a, b, a = b
+    FROM (SELECT CAST(count(*) - count(DISTINCT (booking_id, payment_method, paid_at)) AS BIGINT) AS a
+          FROM latest_payments WHERE paid_at IS NOT NULL),
+         (SELECT count(*) FILTER (WHERE is_duplicate_submission) AS b FROM stg_payments)
+    UNION ALL SELECT 'réservations', NULL, NULL, NULL, NULL, NULL, a, b, a = b
+    FROM (SELECT count(*) AS a FROM active), (SELECT count(*) AS b FROM stg_bookings)"""
+
+
+@query("source_report", f"""
+    SELECT * FROM ({REPORT})
+    UNION ALL SELECT CASE WHEN n = 0 THEN 'RÉCONCILIATION CONFORME' ELSE n || ' ÉCART(S) À EXPLIQUER' END,
+           NULL, NULL, NULL, NULL, NULL, NULL, NULL, n = 0
+    FROM (SELECT count(*) FILTER (WHERE NOT conforme) AS n FROM ({REPORT}))""",
+       f"{COUNTED} active latest_payments")
 def _(t):
-    """The change-log state as source against the raw batch table."""
-    return R.source_report(
-        "bookings", "booking_id", t.active, t.raw_bookings, "1996-01-01", "2001-01-01")
+    """All tables against their sources, the change-log state being that of the bookings, with
+    the closing lines and the verdict."""
+    return R.full_report(
+        {name: getattr(t, table) for name, table in REPORTED.items()},
+        {name: getattr(t, f"raw_{name}") for name in REPORTED},
+        t.stg_payments, t.stg_bookings, "1996-01-01", "2001-01-01")

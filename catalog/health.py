@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.registry import query
+from palimpsest import schemas as S
 from palimpsest.plans import health as H
 from palimpsest.plans import reconcile as R
 from palimpsest.sources import event_lines as L
@@ -117,19 +121,18 @@ def _(t):
     return H.detection_latency(t.events)
 
 
-INVENTORY = """
-    SELECT 'bookings' AS table_name, strftime(_interval_start, '%Y%m%d') AS partition_id,
-           count(*) AS total_rows FROM raw_bookings GROUP BY 2
-    UNION ALL SELECT 'customers', strftime(_interval_start, '%Y%m%d'), count(*)
-    FROM raw_customers GROUP BY 2"""
+ENTITIES = ["hotels", "customers", "bookings", "payments"]
+RAW = " ".join(f"raw_{e}" for e in ENTITIES)
+INVENTORY = " UNION ALL ".join(f"""
+    SELECT '{e}' AS table_name, strftime(_interval_start, '%Y%m%d') AS partition_id,
+           count(*) AS total_rows FROM raw_{e} GROUP BY 2""" for e in ENTITIES)
 
 
 def _inventory(t):
-    return partition_inventory(t.raw_bookings, "bookings").unionByName(
-        partition_inventory(t.raw_customers, "customers"))
+    return reduce(DataFrame.unionByName, [partition_inventory(getattr(t, f"raw_{e}"), e) for e in ENTITIES])
 
 
-@query("partition_inventory", INVENTORY, "raw_bookings raw_customers")
+@query("partition_inventory", INVENTORY, RAW)
 def _(t):
     """S16."""
     return _inventory(t)
@@ -141,7 +144,7 @@ def _(t):
                AS jours_restants, total_rows
     FROM ({INVENTORY})
     WHERE CAST(strptime(partition_id, '%Y%m%d') AS DATE) + 60 <= DATE '1995-03-22'""",
-       "raw_bookings raw_customers")
+       RAW)
 def _(t):
     """S16, P23, F20."""
     return H.expiring_partitions(_inventory(t), "1995-03-15")
@@ -150,29 +153,24 @@ def _(t):
 @query("first_expiry", f"""
     SELECT table_name, min(partition_id) AS premiere_partition, count(*) AS partitions,
            CAST(strptime(min(partition_id), '%Y%m%d') AS DATE) + 60 AS expire_vers
-    FROM ({INVENTORY}) GROUP BY 1""", "raw_bookings raw_customers")
+    FROM ({INVENTORY}) GROUP BY 1""", RAW)
 def _(t):
     """S16."""
     return H.first_expiry(_inventory(t))
 
 
-@query("only_in_partition", """
-    SELECT 'bookings' AS t, count(*) AS cles, count(*) FILTER (WHERE days = 1 AND seen) AS perdues,
+LOST_DAYS = {"hotels": "1994-06-01", "customers": "1994-06-04", "bookings": "1998-01-05", "payments": "1998-01-05"}
+
+
+@query("only_in_partition", " UNION ALL ".join(f"""
+    SELECT '{e}' AS t, count(*) AS cles, count(*) FILTER (WHERE days = 1 AND seen) AS perdues,
            round(100 * (count(*) FILTER (WHERE days = 1 AND seen) / count(*)), 2) AS pct
-    FROM (SELECT booking_id, count(DISTINCT _interval_start) AS days,
-                 bool_or(_interval_start = DATE '1998-01-05') AS seen
-          FROM raw_bookings GROUP BY 1)
-    UNION ALL
-    SELECT 'customers', count(*), count(*) FILTER (WHERE days = 1 AND seen),
-           round(100 * (count(*) FILTER (WHERE days = 1 AND seen) / count(*)), 2)
-    FROM (SELECT customer_id, count(DISTINCT _interval_start) AS days,
-                 bool_or(_interval_start = DATE '1994-06-04') AS seen
-          FROM raw_customers GROUP BY 1)""", "raw_bookings raw_customers")
+    FROM (SELECT {S.PRIMARY_KEY[e]}, count(DISTINCT _interval_start) AS days,
+                 bool_or(_interval_start = DATE '{day}') AS seen
+          FROM raw_{e} GROUP BY 1)""" for e, day in LOST_DAYS.items()), RAW)
 def _(t):
-    """A24."""
-    return R.only_in_partition(
-        t.raw_bookings, "bookings", "booking_id", "1998-01-05"
-    ).unionByName(R.only_in_partition(
-        t.raw_customers, "customers", "customer_id", "1994-06-04"))
+    """All tables."""
+    return reduce(DataFrame.unionByName, [
+        R.only_in_partition(getattr(t, f"raw_{e}"), e, S.PRIMARY_KEY[e], day) for e, day in LOST_DAYS.items()])
 
 

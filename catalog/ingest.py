@@ -6,6 +6,8 @@ a fresh folder and return what a reader then sees.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,18 +114,19 @@ def _(t):
     return I.gate(batch, "booking_id", "1998-01-02", "1998-01-09")
 
 
-@query("extract_complete", """
-    SELECT 'bookings' AS t, count(*) AS source, count(*) AS landed FROM raw_bookings
-    WHERE updated_at >= TIMESTAMP '1998-01-01' AND updated_at < TIMESTAMP '1998-02-01'
-    UNION ALL SELECT 'payments', count(*), count(*) FROM raw_payments
-    WHERE updated_at >= TIMESTAMP '1998-01-01' AND updated_at < TIMESTAMP '1998-02-01'""",
-       "raw_bookings raw_payments")
+ENTITIES = ["hotels", "customers", "bookings", "payments"]
+
+
+@query("extract_complete", " UNION ALL ".join(
+    f"SELECT '{e}' AS t, count(*) AS source, count(*) AS landed FROM raw_{e}" for e in ENTITIES),
+    " ".join(f"raw_{e}" for e in ENTITIES))
 def _(t):
-    """A window landed twice holds exactly the rows of the source."""
+    """All rows of every table, landed twice, are exactly those of the source."""
     root, out = t.fresh_folder("landing"), []
-    for name, source in [("bookings", t.raw_bookings), ("payments", t.raw_payments)]:
-        window = I.scan_window(source, "1998-01-01", "1998-02-01")
-        path = I.landing_path(root, name, "1998-01-01")
+    for name in ENTITIES:
+        source = getattr(t, f"raw_{name}")
+        window = I.scan_window(source, I.EPOCH, AS_OF)
+        path = I.landing_path(root, name, AS_OF)
         I.land(window, path)
         I.land(window, path)
         both = window.select(F.lit(False).alias("landed")).unionByName(
@@ -131,7 +134,7 @@ def _(t):
         out.append(both.agg(
             F.count_if(~F.col("landed")).alias("source"), F.count_if("landed").alias("landed")
         ).select(F.lit(name).alias("t"), "source", "landed"))
-    return out[0].unionByName(out[1])
+    return reduce(DataFrame.unionByName, out)
 
 
 @query("ingest_window", """

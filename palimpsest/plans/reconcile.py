@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest import schemas as S
 from palimpsest.operators.compare import count_difference, instant_drift
 
 
@@ -28,17 +29,22 @@ def partition_counts(source: DataFrame, raw: DataFrame, start: str, end: str) ->
 
 
 def redundancy(raw: DataFrame, table: str, key: str) -> DataFrame:
-    """Rows, distinct keys and files of a raw table.
+    """Rows, distinct keys and files of a raw table (A2, A25), for keys that are whole numbers.
 
-    Grouping by (key, file) first keeps both distinct counts exact while a hot
-    key sends one row per file and mapper.
+    Two one-column passes. Keys are counted in bitmaps of 32,768 neighbours: a mapper sends
+    one bitmap a bucket, however often a key occurs in it, and nothing is expanded. Files
+    are as many rows as a mapper has files.
     """
-    pairs = raw.groupBy(key, "_source_file").agg(F.count("*").alias("n"))
-    return pairs.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("lignes_brutes"),
-        F.countDistinct(key).alias("cles_distinctes"),
-        F.countDistinct("_source_file").alias("fichiers"),
-    ).select(
+    keys = raw.where(F.col(key).isNotNull()).groupBy(
+        F.bitmap_bucket_number(key).alias("bucket"),
+    ).agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(key))).alias("cles"))
+    files = raw.groupBy("_source_file").agg(F.count("*").alias("n"))
+    parts = keys.agg(F.sum("cles").alias("cles_distinctes")).unionByName(
+        files.agg(F.sum("n").alias("lignes_brutes"), F.count("_source_file").alias("fichiers")),
+        allowMissingColumns=True)
+    return parts.agg(*[
+        F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("lignes_brutes", "cles_distinctes", "fichiers")
+    ]).select(
         F.lit(table).alias("t"), "lignes_brutes", "cles_distinctes", "fichiers",
         F.round(F.try_divide("lignes_brutes", "cles_distinctes"), 2).alias("redondance"))
 
@@ -97,3 +103,35 @@ def source_report(
         (F.col("jours_differents") == 0) & (F.col("lignes") == F.col("cles"))
         & (F.col("decales") == 0))
     return merged.select(F.lit(table).alias("t"), *names, healthy.alias("conforme"))
+
+
+def closing_line(name: str, source: DataFrame, staging: DataFrame) -> DataFrame:
+    """A total of the source beside the same total of staging, each a frame of one number."""
+    both = source.toDF("n").select("n", F.lit(True).alias("s")).unionByName(
+        staging.toDF("n").select("n", F.lit(False).alias("s")))
+    return both.agg(
+        F.coalesce(F.max(F.when(F.col("s"), F.col("n"))), F.lit(0)).alias("source"),
+        F.coalesce(F.max(F.when(~F.col("s"), F.col("n"))), F.lit(0)).alias("staging"),
+    ).select(F.lit(name).alias("t"), "source", "staging", (F.col("source") == F.col("staging")).alias("conforme"))
+
+
+def full_report(
+    sources: Mapping[str, DataFrame], raw: Mapping[str, DataFrame], stg_payments: DataFrame,
+    stg_bookings: DataFrame, start: str, end: str,
+) -> DataFrame:
+    """The whole reconciliation (G8): a line a table, repeated submissions and bookings of the
+    source beside those of staging, and the verdict with the number of lines that differ."""
+    lines = [source_report(t, S.PRIMARY_KEY[t], sources[t], raw[t], start, end) for t in sources]
+    count = lambda df: df.agg(F.count("*").alias("n"))
+    # Fixed labels of the report.
+    lines += [
+        closing_line("doubles soumissions", repeated_tuples(sources["payments"]), stg_payments.agg(
+            F.count_if("is_duplicate_submission").alias("n"))),
+        closing_line("réservations", count(sources["bookings"]), count(stg_bookings))]
+    report = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lines)
+    failed = F.count_if(~F.col("conforme"))
+    verdict = report.agg(failed.cast("long").alias("n")).select(
+        F.when(F.col("n") == 0, "RÉCONCILIATION CONFORME").otherwise(
+            F.concat(F.col("n").cast("string"), F.lit(" ÉCART(S) À EXPLIQUER"))).alias("t"),
+        (F.col("n") == 0).alias("conforme"))
+    return report.unionByName(verdict, allowMissingColumns=True)

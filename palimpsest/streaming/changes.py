@@ -23,6 +23,7 @@ from palimpsest import schemas as S
 from palimpsest.functions import row_image
 from palimpsest.plans.changes import (
     DELIVERY, decode_messages, decode_parsed, entity_of, is_broken, parse_messages)
+from palimpsest.streaming.upserts import UpsertLog
 
 # Fixed defaults of a micro-batch: so many messages, or so long after the first.
 BATCH_MESSAGES, BATCH_SECONDS = 1000, 300
@@ -254,30 +255,29 @@ def latest_state_stream(changes: DataFrame) -> DataFrame:
     ).select("_key", "row.op", "row.lsn", "row.image")
 
 
+STATE = "_key STRING, op STRING, lsn BIGINT, image STRING"
+
+
+def state_log(spark: SparkSession, root: str) -> UpsertLog:
+    return UpsertLog(spark, root, STATE, ["_key"], [F.desc("lsn"), F.desc("op")])
+
+
 def run_latest_state(
     messages: DataFrame, root: str, checkpoint: str,
 ) -> StreamingQuery:
-    """Keep the state as upserts: each batch stores the keys it changed, and
-    ``read_latest_state`` takes the newest row of each key. A batch replayed
-    after a crash replaces its own folder.
+    """Keep the state as upserts: each batch stores the keys it changed, full levels of
+    batches are merged, and ``read_latest_state`` takes the newest row of each key.
 
     One row per key is kept as state, on the executors' disks (RocksDB) so that
     the number of keys is not bound by memory.
     """
     with_rocksdb(messages.sparkSession)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
-
+    log = state_log(messages.sparkSession, root)
     return (
         latest_state_stream(decode_messages(messages)).writeStream.outputMode("update")
-        .foreachBatch(write).option("checkpointLocation", checkpoint)
+        .foreachBatch(log.add).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start())
 
 
 def read_latest_state(spark: SparkSession, root: str) -> DataFrame:
-    from palimpsest.operators.latest import latest_by
-
-    schema = "_key STRING, op STRING, lsn BIGINT, image STRING, batch BIGINT"
-    rows = spark.read.schema(schema).parquet(root)
-    return latest_by(rows, ["_key"], F.desc("lsn"), F.desc("batch")).drop("batch")
+    return state_log(spark, root).read()

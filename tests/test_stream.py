@@ -11,7 +11,9 @@ from palimpsest.operators.compare import fingerprint
 from palimpsest.plans import changes as C
 from palimpsest.session import work_dir
 from palimpsest.sources import testdata as D
+from palimpsest.sources.publish import Folder
 from palimpsest.streaming import changes as X
+from palimpsest.streaming.upserts import UpsertLog
 
 
 @pytest.fixture(scope="module")
@@ -200,3 +202,56 @@ def test_lag_table_keeps_every_batch(spark):
     table.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(json=json.dumps({"batchId": 9, "sources": []}))))
     assert [(r.batch, r.lag) for r in spark.read.parquet(path).groupBy("batch").agg(
         F.sum("lag").alias("lag")).orderBy("batch").collect()] == [(7, 4), (8, 4)]
+
+
+# ---- upserts by level
+
+def upserts(spark, root, **options):
+    return UpsertLog(spark, root, "k STRING, v BIGINT, note STRING", ["k"], [F.desc("v")], **options)
+
+
+def batches(spark, n):
+    """Batch b changes keys b, b/2, b/3 ...: old keys come back now and then."""
+    for b in range(n):
+        keys = sorted({b // d for d in range(1, 5)})
+        yield b, spark.createDataFrame([(str(k), b, f"batch {b}") for k in keys], "k STRING, v BIGINT, note STRING")
+
+
+def wanted(n):
+    return {str(b // d): b for b in range(n) for d in range(1, 5)}
+
+
+def test_reads_open_few_folders_however_many_batches(spark):
+    log = upserts(spark, work_dir(spark, "levels"), fanout=3)
+    assert log.read().count() == 0
+    for b, df in batches(spark, 28):
+        log.add(df, b)
+    assert {r.k: r.v for r in log.read().collect()} == wanted(28)
+    assert [len(level) for level in log.levels()] == [1, 0, 0, 1]  # 28 in base 3, the lowest digit first
+    there = [n for n in Folder(spark, log.root).names() if n[0] not in "._"]
+    assert sorted(there) == sorted(log.folders())  # what was merged is gone
+
+
+@pytest.mark.parametrize("step", ["written", "added", "merged", "published"])
+def test_a_crash_while_merging_loses_nothing(spark, step):
+    log, crashed = upserts(spark, work_dir(spark, "crash"), fanout=3), []
+    for b, df in batches(spark, 9):
+        def crash(done, b=b):
+            if done == step and b in (2, 5, 8) and b not in crashed:
+                crashed.append(b)
+                raise RuntimeError(done)
+
+        try:
+            log.add(df, b, after=crash)
+        except RuntimeError:
+            assert {r.k: r.v for r in log.read().collect()} == (wanted(b) if step == "written" else wanted(b + 1))
+            log.add(df, b)  # the stream plays the batch again
+    assert 2 in crashed and {r.k: r.v for r in log.read().collect()} == wanted(9)
+
+
+def test_a_replayed_batch_replaces_its_own_folder(spark):
+    log = upserts(spark, work_dir(spark, "again"))
+    (first, df), = batches(spark, 1)
+    log.add(df.unionByName(spark.createDataFrame([("half", 0, "x")], df.schema)), first)
+    log.add(df, first)
+    assert [r.k for r in log.read().collect()] == ["0"] and len(log.folders()) == 1
