@@ -9,8 +9,10 @@ markers with indents, and table cells padded to columns.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
@@ -67,7 +69,11 @@ ATTRIBUTE = re.compile(
 HIDING = re.compile(r"display\s*:\s*none", re.I)
 VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible|initial)", re.I)
 BLANK = re.compile(r"[ \t\n\f\r]+")
-WIDEST_CELL = 60  # a table with a longer or many-line cell is layout, not columns
+WRAP, LONGEST_WORD = 60, 1000  # cells: lines are broken at blanks, longer words anywhere
+# Fixed values of the HTML standard.
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
+CELLS = ("td", "th", "table")
+PAST_CELLS = {"tr", "tbody", "thead", "tfoot", "table", "body", "html"}  # end tags that close cells
 
 
 class Node:
@@ -88,25 +94,24 @@ def in_value(attrs: str) -> bool:
 
 def build_tree(html: str) -> Node:
     root = Node("#root")
-    stack, within = [root], Counter()
+    stack, within = [root], defaultdict(list)  # places in the stack of the open elements, by tag
 
     def pop_to(at: int) -> None:
         for node in stack[at:]:
-            within[node.tag] -= 1
+            within[node.tag].pop()
         del stack[at:]
 
+    def last(tags) -> int:
+        return max((within[t][-1] for t in tags if within[t]), default=0)
+
     def end_implied(names: set[str], scope: set[str]) -> None:
-        if not any(within[n] for n in names):
-            return
-        cut = None
-        for at in range(len(stack) - 1, 0, -1):
-            tag = stack[at].tag
-            if tag in names:
-                cut = at
-            elif tag in scope:
-                break
-        if cut is not None:
-            pop_to(cut)
+        """End the outermost of ``names`` inside the innermost of ``scope``, and all in it."""
+        open_ = [within[n] for n in names if within[n]]
+        if open_:
+            wall = last(scope)
+            inside = [places[i] for places in open_ if (i := bisect_right(places, wall)) < len(places)]
+            if inside:
+                pop_to(min(inside))
 
     def foreign() -> bool:
         return any(within[t] for t in FOREIGN) and not any(within[t] for t in INTEGRATION)
@@ -128,8 +133,8 @@ def build_tree(html: str) -> Node:
         stack[-1].kids.append(node)
         if tag not in VOID and not (
                 (outside or tag in FOREIGN) and attrs.endswith("/") and not in_value(attrs)):
+            within[tag].append(len(stack))
             stack.append(node)
-            within[tag] += 1
 
     def end(tag: str) -> None:
         if not within[tag]:
@@ -137,12 +142,8 @@ def build_tree(html: str) -> Node:
                 start("p", "")
                 pop_to(len(stack) - 1)
             return
-        for at in range(len(stack) - 1, 0, -1):
-            if stack[at].tag == tag:
-                return pop_to(at)
-            if stack[at].tag in ("td", "th", "table") and tag not in (
-                    "tr", "tbody", "thead", "tfoot", "table", "body", "html"):
-                return
+        if tag in PAST_CELLS or within[tag][-1] >= last(CELLS):
+            pop_to(within[tag][-1])
 
     at = 0
     while at < len(html):
@@ -215,6 +216,7 @@ class Flow:
 
     def __init__(self):
         self.parts, self.gap, self.space, self.indent, self.marker = [], 0, False, "", ""
+        self.wide = WRAP  # of the widest table inside
 
     def lead(self) -> None:
         if self.gap and self.parts:
@@ -254,15 +256,82 @@ class Flow:
         return "".join(self.parts)
 
 
-def table_text(rows: list[list[str]]) -> str | None:
-    """Rows with padded columns; None if the cells are too long for columns."""
-    if any("\n" in c or len(c) > WIDEST_CELL for row in rows for c in row):
-        return None
-    wide = [0] * max((len(r) for r in rows), default=0)
-    for row in rows:
-        for i, cell in enumerate(row):
-            wide[i] = max(wide[i], len(cell))
-    return "\n".join(" | ".join(c.ljust(w) for c, w in zip(row, wide)).rstrip() for row in rows)
+@dataclass
+class Cell:
+    text: str
+    across: int = 1
+    down: int = 1  # 0: to the end of the table
+    wide: int = WRAP
+
+    @classmethod
+    def of(cls, node: Node, flow: Flow) -> Cell:
+        attrs = node.attributes()
+
+        def span(name: str, least: int, most: int) -> int:
+            said = attrs.get(name, "").strip()
+            return min(max(int(said[:9]), least), most) if said.isascii() and said.isdecimal() else 1
+
+        return cls(flow.result(), span("colspan", 1, MOST_COLUMNS), span("rowspan", 0, MOST_ROWS), flow.wide)
+
+    def lines(self) -> list[str]:
+        """The text's lines, broken where they are wider than a column or a table inside."""
+        out = []
+        for line in self.text.split("\n"):
+            while len(line) > self.wide:
+                cut = line.rfind(" ", 1, self.wide + 1)
+                if cut < 0 or not line[:cut].strip():  # a long word stands alone, up to a limit
+                    indent = len(line) - len(line.lstrip(" "))
+                    cut = line.find(" ", max(indent, 1))
+                    cut = min(cut if cut > 0 else len(line), max(LONGEST_WORD, self.wide))
+                if cut >= len(line):
+                    break
+                out.append(line[:cut].rstrip())
+                line = line[cut:].lstrip(" ")
+            out.append(line)
+        return out
+
+
+def table_text(rows: list[list[Cell]]) -> str:
+    """The table with aligned columns.
+
+    Cells take the places of a grid as browsers give them: the next one that no cell from an
+    earlier row reaches. A column is a place where some cell begins; it is as wide as its
+    widest line, and a cell over several columns widens the last of them if it must.
+    """
+    placed, taken = [], {}
+    for y, row in enumerate(rows):
+        x, line = 0, []
+        for cell in row:
+            while taken.get(x, 0) > y:
+                x += 1
+            line.append((x, cell))
+            if cell.down != 1:
+                taken.update(dict.fromkeys(range(x, x + cell.across), y + (cell.down or len(rows))))
+            x += cell.across
+        placed.append(line)
+    starts = sorted({x for line in placed for x, _ in line})
+    if len(starts) < 2:
+        return "\n".join(cell.text for line in placed for _, cell in line if cell.text)
+    grid = [[(bisect_left(starts, x), bisect_left(starts, x + cell.across), cell.lines()) for x, cell in line]
+            for line in placed]
+    wide = [0] * len(starts)
+    for first, upto, lines in sorted((c for line in grid for c in line), key=lambda c: c[1] - c[0]):
+        have = sum(wide[first:upto]) + 3 * (upto - first - 1)
+        wide[upto - 1] += max(max(map(len, lines)) - have, 0)
+    out = []
+    for line in grid:
+        if not any(any(lines) for _, _, lines in line):
+            continue
+        for k in range(max(len(lines) for _, _, lines in line)):
+            parts, at, shown = [], 0, 0
+            for first, upto, lines in line:
+                parts += [" " * w for w in wide[at:first]]
+                at, text = upto, lines[k] if k < len(lines) else ""
+                parts.append(text.ljust(sum(wide[first:upto]) + 3 * (upto - first - 1)))
+                if text or not k:
+                    shown = len(parts)
+            out.append(" | ".join(parts[:shown]).rstrip())
+    return "\n".join(out)
 
 
 def render(html: str | None) -> str:
@@ -288,21 +357,15 @@ def render(html: str | None) -> str:
                 flow.marker = ""
                 flow.indent = parent
             elif leave in ("td", "th") and tables:
-                tables[-1][1][-1].append(flow.result())
-                span = node.attributes().get("colspan", "1")
-                tables[-1][1][-1].extend([""] * (min(int(span), 50) - 1 if span.isdecimal() else 0))
+                tables[-1][1][-1].append(Cell.of(node, flow))
                 flow, lists, kept = tables[-1][2].pop()
             elif leave == "table":
                 _, rows, _ = tables.pop()
-                rows = [r for r in rows if any(r)]
                 shape = table_text(rows)
-                if shape is None:
-                    for cell in (c for r in rows for c in r if c):
-                        flow.lines(1)
-                        flow.kept(cell)
-                elif shape:
+                if shape:
                     flow.lines(2)
                     flow.kept(shape)
+                    flow.wide = max(flow.wide, *map(len, shape.split("\n")))
                 flow.lines(2)
             continue
         if isinstance(node, str):
@@ -372,6 +435,10 @@ def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
     ``text``, ``n_lines`` or ``n_words`` are replaced. A null or empty page
     gives an empty text of 0 lines. Broken markup never fails: what no rule
     closes ends with the page. An empty table gives no rows.
+
+    Cells of a table stand in aligned columns, whatever they hold: lines of more than 60
+    characters are broken at blanks, and words of more than 1,000 anywhere. A cell over several
+    rows leaves its columns empty in the later ones.
     """
     names = {"text", "n_lines", "n_words", html.lower()}
     kept = [c for c in pages.columns if c.lower() not in names]

@@ -571,3 +571,79 @@ def test_deep_and_odd_pages(spark):
     out = html_text.extract_text(table)
     assert sorted(r.n_words for r in out.collect()) == [0, 0, 2] and out.columns == ["page_id", "text", "n_lines", "n_words"]
     assert html_text.extract_text(table.limit(0)).count() == 0
+
+
+# ---- tables
+
+@pytest.mark.parametrize("html, text", [
+    ("<table><tr><td rowspan=2>A<td>B<tr><td>C</table>", "A | B\n  | C"),
+    ("<table><tr><td colspan=2>wide cell<td>x<tr><td>a<td>b<td>c</table>", "wide cell | x\na | b     | c"),
+    ("<table><tr><td>a<td>b<br>bb<td>c<tr><td>d<td>e<td>f</table>", "a | b  | c\n  | bb\nd | e  | f"),
+    ("<table><tr><td>a<td>" + "word " * 16 + "<td>z</table>",
+     "a | " + " ".join(["word"] * 12) + " | z\n  | word word word word"),
+    ("<table><tr><td>k<td>" + "x" * 90 + "<td>z<tr><td>l<td>y<td>w</table>",
+     "k | " + "x" * 90 + " | z\nl | y" + " " * 89 + " | w"),
+    ("<table><tr><td rowspan=0>A<td>b<tr><td>c<tr><td>d</table>", "A | b\n  | c\n  | d"),
+    ("<table><tr><td colspan=x rowspan=-1>a<td colspan=99999999999>b</table>", "a | b"),
+    ("<table><tr><td><tr><td> </table>x", "x"),
+    ("<table><tr><td>o<td><table><tr><td>in<td>ner<tr><td>i<td>n</table></table>", "o | in | ner\n  | i  | n")])
+def test_cells_are_aligned(html, text):
+    assert html_text.render(html) == text
+
+
+def placed_by_hand(rows):
+    """Place of every cell in a matrix filled as the standard says: {name: (row, column)}."""
+    taken, out = set(), {}
+    for y, row in enumerate(rows):
+        x = 0
+        for name, across, down in row:
+            while (y, x) in taken:
+                x += 1
+            out[name] = y, x
+            taken |= {(y + i, x + j) for i in range(down) for j in range(across)}
+            x += across
+    return out
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_tables_of_any_spans_stand_as_in_the_grid(seed):
+    rng = np.random.default_rng(seed)
+    rows, n = [], 0
+    for _ in range(rng.integers(1, 7)):
+        row = []
+        for _ in range(rng.integers(1, 6)):
+            row.append((f"c{n}" + "q" * int(rng.integers(0, 9)), int(rng.integers(1, 4)), int(rng.integers(1, 4))))
+            n += 1
+        rows.append(row)
+    html = "<table>" + "".join("<tr>" + "".join(
+        f"<td colspan={a} rowspan={d}>{t}" for t, a, d in row) for row in rows) + "</table>"
+    lines = html_text.render(html).split("\n")
+    found = {t: next((y, line.index(t)) for y, line in enumerate(lines) if t in line.split()) for r in rows for t, _, _ in r}
+    places = placed_by_hand(rows)
+    offsets = {}
+    for t, (y, x) in places.items():
+        assert found[t][0] == y
+        offsets.setdefault(x, set()).add(found[t][1])
+    if len(offsets) > 1:
+        assert all(len(o) == 1 for o in offsets.values())
+        order = [o.pop() for _, o in sorted(offsets.items())]
+        assert order == sorted(set(order))
+
+
+def test_end_tags_that_are_ignored_cost_little():
+    import time
+
+    begin = time.process_time()
+    page = "<table><tr><td>" + "<b>" * 20_000 + "</i>" * 20_000 + "<i>x" + "</p>" * 2_000
+    assert html_text.render(page) == "x"
+    assert html_text.render("<p><table><td>" + "<b>" * 20_000 + "<li>y" * 2_000).count("y") == 2_000
+    assert time.process_time() - begin < 10
+
+
+def test_a_long_word_or_many_columns_keep_their_text():
+    word = "w" * 5_000
+    got = html_text.render(f"<table><tr><td>a<td>{word}<td>b</table>")
+    assert got.replace(" ", "").replace("|", "").replace("\n", "") == "a" + "w" * 1000 + "b" + "w" * 4000
+    row = "<tr>" + "".join(f"<td colspan=1000>c{n}" for n in range(300))
+    shown = html_text.render(f"<table>{row}{row}</table>").split()
+    assert [w for w in shown if w != "|"] == [f"c{n}" for n in range(300)] * 2
