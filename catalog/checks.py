@@ -22,7 +22,7 @@ from palimpsest.operators.compare import (
 from palimpsest.operators.history import history_defects
 from palimpsest.plans import checks as K
 from palimpsest.plans import reconcile as R
-from palimpsest.plans.build import build_models
+from palimpsest.plans.build import build_and_check
 
 
 @query("chk_unique", """
@@ -370,11 +370,10 @@ def _report_sql() -> str:
        "rates rpt state calendar facts orphans stg_hotels stg_bookings dim_hotels stg_payments "
        "versions dim_customers")
 def _(t):
-    """Build the models as tables, then run every check on them."""
+    """Build the models as tables; checks are counted as they are written."""
     raw = {"hotels": t.raw_hotels, "customers": t.raw_customers,
            "bookings": t.raw_bookings, "payments": t.raw_payments}
-    tables = build_models(t.warehouse, raw, t.booking_log, CALENDAR)
-    return K.check_report(tables, volume_floor=100)
+    return build_and_check(t.warehouse, raw, t.booking_log, CALENDAR, volume_floor=100)[1]
 
 
 SOURCES = ["hotels", "customers", "bookings", "payments"]

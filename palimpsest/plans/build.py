@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from palimpsest.plans import changes as C
+from palimpsest.plans import checks as K
 from palimpsest.plans import marts as M
 from palimpsest.plans import staging as G
 
@@ -27,16 +29,35 @@ class Warehouse:
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
 
+    def store_counted(
+        self, name: str, df: DataFrame, counts: Mapping[str, Column],
+    ) -> tuple[DataFrame, dict]:
+        """``store``, with aggregates over the rows taken as they are written."""
+        seen, names = Observation(), list(counts)
+        table = self.store(name, df.observe(seen, *[counts[n].alias(f"m{i}") for i, n in enumerate(names)]))
+        try:
+            found = seen.get
+        except Py4JJavaError:  # a plan that Spark sees to be empty keeps no node to observe
+            found = table.agg(*[counts[n].alias(f"m{i}") for i, n in enumerate(names)]).first().asDict()
+        return table, {n: found[f"m{i}"] for i, n in enumerate(names)}
+
+
 def build_models(
     warehouse: Warehouse, raw: Mapping[str, DataFrame], booking_log: DataFrame,
-    calendar: tuple[str, str],
+    calendar: tuple[str, str], counted: dict[str, dict] | None = None,
 ) -> dict[str, DataFrame]:
-    """All models from the raw batch tables and the bookings change log."""
+    """All models from the raw batch tables and the bookings change log.
+
+    ``counted``, if given, is filled with the ``measures`` of every table that is written.
+    """
     store = warehouse.store
     t: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame) -> DataFrame:
-        t[name] = store(name, df)
+        if counted is None:
+            t[name] = store(name, df)
+        else:
+            t[name], counted[name] = warehouse.store_counted(name, df, K.measures(name))
         return t[name]
 
     keep("stg_hotels", G.stg_hotels(raw["hotels"]))
@@ -57,3 +78,22 @@ def build_models(
     t["rpt_bookings_dashboard"] = M.rpt_bookings_dashboard(
         t["fct_bookings"], t["dim_customers"], t["dim_hotels"], t["dim_dates"])
     return t
+
+
+def build_and_check(
+    warehouse: Warehouse, raw: Mapping[str, DataFrame], booking_log: DataFrame,
+    calendar: tuple[str, str], volume_floor: int,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The models and the report of all checks.
+
+    Rules on rows and totals are counted while a model is written, keys of all models in one
+    pass over each; of the report view only the checked columns are computed, once.
+    """
+    counted: dict[str, dict] = {}
+    t = build_models(warehouse, raw, booking_log, calendar, counted)
+    view = "rpt_bookings_dashboard"
+    checked, counted[view] = warehouse.store_counted("rpt_checked", t[view].select(
+        "booking_id", "tier_at_booking", "tier_current", "year_month"), K.measures(view))
+    counted["int_bookings_actives"] = counted["stg_bookings_cdc"]
+    keys = warehouse.store("key_counts", K.key_counts({**t, view: checked}))
+    return t, K.measured_report(t, keys, counted, volume_floor)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest import schemas as S
@@ -123,57 +123,60 @@ def defect_drift(rates: DataFrame) -> DataFrame:
         (100 * F.col("seuil")).alias("seuil_pct"))
 
 
-def table_rules(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """All row-wise rules (C2, C3, C5, C6, C13), one pass per table."""
+def row_rules() -> dict[str, dict[str, tuple[str, Column]]]:
+    """All row-wise rules (C2, C3, C5, C6, C13) by table: name -> (severity, failing rows)."""
     null = lambda c: F.col(c).isNull()
 
-    def rules(table: str, **named) -> DataFrame | None:
-        if table not in tables:
-            return None
-        return Q.count_rules(tables[table], {
-            f"{table}.{name}": rule if isinstance(rule, tuple) else ("error", rule)
-            for name, rule in named.items()})
-
-    found = [
-        rules("stg_hotels", hotel_id_not_null=null("hotel_id"),
-              stars_accepted=Q.outside("stars", S.STARS)),
-        rules("stg_customers", customer_id_not_null=null("customer_id"),
-              email_not_null=null("email"),
-              loyalty_tier_accepted=Q.outside("loyalty_tier", S.TIERS)),
-        rules("stg_customers_versions", customer_id_not_null=null("customer_id"),
-              updated_at_not_null=null("updated_at")),
-        rules("stg_bookings", booking_id_not_null=null("booking_id"),
-              customer_id_not_null=null("customer_id"), hotel_id_not_null=null("hotel_id"),
-              status_accepted=Q.outside("status", S.BOOKING_STATUSES),
-              currency_accepted=Q.outside("currency", S.CURRENCIES)),
-        rules("stg_payments", payment_id_not_null=null("payment_id"),
-              booking_id_not_null=null("booking_id"),
-              payment_method_accepted=Q.outside("payment_method", S.PAYMENT_METHODS),
-              status_accepted=Q.outside("status", S.PAYMENT_STATUSES),
-              is_duplicate_submission_not_null=null("is_duplicate_submission"),
-              positive_amount=F.col("amount") < 0,
-              double_submissions=("warn", F.col("is_duplicate_submission"))),
-        rules("stg_bookings_cdc", booking_id_not_null=null("booking_id"),
-              is_deleted_not_null=null("is_deleted"),
-              last_op_accepted=Q.outside("last_op", S.CHANGE_OPS)),
-        rules("int_bookings_actives", positive_amount=F.col("total_amount") < 0),
-        rules("dim_hotels", hotel_id_not_null=null("hotel_id")),
-        rules("dim_customers", customer_sk_not_null=null("customer_sk"),
-              customer_id_not_null=null("customer_id")),
-        rules("dim_dates", date_day_not_null=null("date_day")),
-        rules("fct_bookings", booking_id_not_null=null("booking_id"),
-              customer_sk_not_null=null("customer_sk"),
-              stay_dates=F.col("check_out") <= F.col("check_in"),
-              late_customers=("warn", F.col("is_late_arriving_customer")),
-              zero_amounts=("warn", F.col("is_zero_amount")),
-              overpaid=("warn", F.col("is_overpaid"))),
-        rules("rpt_bookings_dashboard", booking_id_not_null=null("booking_id"),
-              tier_at_booking_not_null=null("tier_at_booking"),
-              tier_at_booking_accepted=Q.outside("tier_at_booking", S.TIERS),
-              tier_current_not_null=null("tier_current"),
-              year_month_not_null=null("year_month")),
-    ]
-    return [f for f in found if f is not None]
+    def rules(**named) -> dict[str, tuple[str, Column]]:
+        return {n: rule if isinstance(rule, tuple) else ("error", rule) for n, rule in named.items()}
+
+    return {
+        "stg_hotels": rules(
+            hotel_id_not_null=null("hotel_id"), stars_accepted=Q.outside("stars", S.STARS)),
+        "stg_customers": rules(
+            customer_id_not_null=null("customer_id"), email_not_null=null("email"),
+            loyalty_tier_accepted=Q.outside("loyalty_tier", S.TIERS)),
+        "stg_customers_versions": rules(
+            customer_id_not_null=null("customer_id"), updated_at_not_null=null("updated_at")),
+        "stg_bookings": rules(
+            booking_id_not_null=null("booking_id"),
+            customer_id_not_null=null("customer_id"), hotel_id_not_null=null("hotel_id"),
+            status_accepted=Q.outside("status", S.BOOKING_STATUSES),
+            currency_accepted=Q.outside("currency", S.CURRENCIES)),
+        "stg_payments": rules(
+            payment_id_not_null=null("payment_id"), booking_id_not_null=null("booking_id"),
+            payment_method_accepted=Q.outside("payment_method", S.PAYMENT_METHODS),
+            status_accepted=Q.outside("status", S.PAYMENT_STATUSES),
+            is_duplicate_submission_not_null=null("is_duplicate_submission"),
+            positive_amount=F.col("amount") < 0,
+            double_submissions=("warn", F.col("is_duplicate_submission"))),
+        "stg_bookings_cdc": rules(
+            booking_id_not_null=null("booking_id"), is_deleted_not_null=null("is_deleted"),
+            last_op_accepted=Q.outside("last_op", S.CHANGE_OPS)),
+        "int_bookings_actives": rules(positive_amount=F.col("total_amount") < 0),
+        "dim_hotels": rules(hotel_id_not_null=null("hotel_id")),
+        "dim_customers": rules(
+            customer_sk_not_null=null("customer_sk"), customer_id_not_null=null("customer_id")),
+        "dim_dates": rules(date_day_not_null=null("date_day")),
+        "fct_bookings": rules(
+            booking_id_not_null=null("booking_id"), customer_sk_not_null=null("customer_sk"),
+            stay_dates=F.col("check_out") <= F.col("check_in"),
+            late_customers=("warn", F.col("is_late_arriving_customer")),
+            zero_amounts=("warn", F.col("is_zero_amount")),
+            overpaid=("warn", F.col("is_overpaid"))),
+        "rpt_bookings_dashboard": rules(
+            booking_id_not_null=null("booking_id"),
+            tier_at_booking_not_null=null("tier_at_booking"),
+            tier_at_booking_accepted=Q.outside("tier_at_booking", S.TIERS),
+            tier_current_not_null=null("tier_current"), year_month_not_null=null("year_month")),
+    }
+
+
+def table_rules(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """The row-wise rules of ``tables``, one pass per table."""
+    return [
+        Q.count_rules(tables[table], {f"{table}.{name}": rule for name, rule in rules.items()})
+        for table, rules in row_rules().items() if table in tables]
 
 
 UNIQUE_KEYS = {
@@ -193,6 +196,112 @@ RELATIONS = [
 ]
 
 
+def measures(table: str) -> dict[str, Column]:
+    """What a write of ``table`` counts as its rows pass (C14): failing rows of every rule, and the
+    totals that checks across tables compare."""
+    rules = row_rules()
+    out = {f"{table}.{n}": F.count_if(rule) for n, (_, rule) in rules.get(table, {}).items()}
+    captured, repeat = F.col("status") == "captured", F.col("is_duplicate_submission")
+    total = lambda when: F.sum(F.when(when, F.col("amount"))).cast(S.MONEY_SUM)
+    if table == "stg_bookings_cdc":  # its active rows are a view
+        out |= {f"int_bookings_actives.{n}": F.count_if(~F.col("is_deleted") & rule)
+                for n, (_, rule) in rules["int_bookings_actives"].items()}
+    if table == "stg_payments":
+        out |= {"captured": total(captured), "repeated": total(captured & repeat)}
+    if table == "orphan_payments":
+        out |= {"orphaned": total(captured & ~repeat)}
+    if table == "fct_bookings":
+        out |= {"paid": F.sum("amount_paid").cast(S.MONEY_SUM)}
+    return {**out, "rows": F.count("*")}
+
+
+def key_columns() -> dict[str, list[str]]:
+    """Columns by table whose values the checks count: keys, references, e-mails and ids."""
+    out: dict[str, list[str]] = {t: [k] for t, k in UNIQUE_KEYS.items()}
+    pairs = [(c, fk) for c, fk, _, _ in RELATIONS] + [(p, pk) for _, _, p, pk in RELATIONS] + [
+        ("stg_customers", "email"), ("int_bookings_actives", "booking_id")]
+    for table, column in pairs:
+        if column not in out.setdefault(table, []):
+            out[table].append(column)
+    return out
+
+
+def key_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(name, value, n): how often each value of each key column occurs, one pass a table. A hot
+    value is a row per mapper before the exchange."""
+    values = [
+        tables[table].select(F.inline(F.array(*[
+            F.struct(F.lit(f"{table}.{c}").alias("name"), F.col(c).cast("string").alias("value"))
+            for c in columns]))) for table, columns in key_columns().items()]
+    values.append(tables["stg_customers_versions"].select(
+        F.lit("versions").alias("name"),
+        F.concat_ws("|", "customer_id", F.unix_micros("updated_at")).alias("value")))
+    return reduce(DataFrame.unionByName, values).groupBy("name", "value").agg(F.count("*").alias("n"))
+
+
+def measured_report(
+    tables: Mapping[str, DataFrame], keys: DataFrame, counted: Mapping[str, Mapping], volume_floor: int,
+) -> DataFrame:
+    """Every check (C14, G7) of models that were counted while they were written.
+
+    ``counted`` holds the ``measures`` of each table and ``keys`` its stored ``key_counts``. Only
+    the order of versions and the daily volume are read from the models again.
+    """
+    spark = keys.sparkSession
+    lines = [
+        (f"{table}.{name}", severity, counted[table][f"{table}.{name}"])
+        for table, rules in row_rules().items() for name, (severity, _) in rules.items()]
+    fact, paid_in = counted["fct_bookings"], counted["stg_payments"]
+    parts = [fact["paid"], counted["orphan_payments"]["orphaned"] or 0, paid_in["repeated"] or 0]
+    balanced = None in (paid_in["captured"], parts[0]) or paid_in["captured"] == sum(parts)
+    lines += [
+        ("amounts_conserved", "error", int(not balanced)),
+        ("volume_floor", "error", int(fact["rows"] < volume_floor)),
+        ("orphan_payments", "warn", counted["orphan_payments"]["rows"])]
+    shares = {
+        "montant_zero": (fact["fct_bookings.zero_amounts"], fact["rows"]),
+        "surencaissement": (fact["fct_bookings.overpaid"], fact["rows"]),
+        "client_tardif": (fact["fct_bookings.late_customers"], fact["rows"]),
+        "double_soumission": (paid_in["stg_payments.double_submissions"], paid_in["rows"]),
+        "paiement_orphelin": (counted["orphan_payments"]["rows"], paid_in["rows"])}
+    rates = spark.createDataFrame(
+        [(d, n, total) for d, (n, total) in shares.items()], "defaut string, n bigint, total bigint",
+    ).unionByName(keys.where("name = 'stg_customers.email'").agg(
+        F.count_if(F.col("n") > 1).alias("n"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).select(
+        F.lit("email_en_double").alias("defaut"), "n", "total"))
+
+    repeated = {f"{t}.{k}": f"{t}.{k}_unique" for t, k in UNIQUE_KEYS.items()} | {
+        "versions": "versions_unique", "stg_customers.email": "shared_emails"}
+    label = lambda named: F.coalesce(*[
+        F.when(F.col("name") == k, F.lit(v)) for k, v in named.items()])
+    often = keys.where(F.col("name").isin(list(repeated))).groupBy("name").agg(
+        F.count_if(F.col("n") > 1).alias("failures")).select(
+        label(repeated).alias("check"),
+        F.when(F.col("name") == "stg_customers.email", "warn").otherwise("error").alias("severity"), "failures")
+    parents = {f"{c}.{fk}": f"{p}.{pk}" for c, fk, p, pk in RELATIONS}
+    named = {f"{c}.{fk}": f"{c}.{fk}_in_{p}" for c, fk, p, _ in RELATIONS}
+    children = keys.where(F.col("name").isin(list(parents)) & F.col("value").isNotNull()).select(
+        "name", "n", label(parents).alias("parent"), "value")
+    known = keys.where(F.col("value").isNotNull()).select(F.col("name").alias("parent"), "value")
+    lost = children.join(known, ["parent", "value"], "left_anti").groupBy("name").agg(F.sum("n").alias("failures"))
+    relations = spark.createDataFrame([(k, v) for k, v in named.items()], "name string, check string").join(
+        lost, "name", "left").select(
+        "check", F.lit("error").alias("severity"), F.coalesce("failures", F.lit(0)).alias("failures"))
+    sides = keys.where(F.col("name").isin("int_bookings_actives.booking_id", "fct_bookings.booking_id"))
+    one_sided = sides.groupBy("value").agg(F.count("*").alias("sides")).where("sides = 1")
+    empty = spark.createDataFrame(  # a table without rows has no key to count
+        [(c, "warn" if c == "shared_emails" else "error", 0) for c in repeated.values()],
+        "check string, severity string, failures bigint")
+    unique = often.unionByName(empty).groupBy("check", "severity").agg(F.max("failures").alias("failures"))
+    count = Q.count_failures
+    return Q.with_status(reduce(DataFrame.unionByName, [
+        spark.createDataFrame(lines, "check string, severity string, failures bigint"),
+        unique, relations, count("fact_vs_staging", "error", one_sided),
+        count("defect_rates", "error", defect_drift(rates)),
+        count("versions_continuous", "error", history_defects(tables["dim_customers"])),
+        count("volume_spike", "warn", volume_spikes(daily_volume(tables["fct_bookings"], "booking_date")))]))
+
+
 def check_report(tables: Mapping[str, DataFrame], volume_floor: int) -> DataFrame:
     """Every check with its severity, failing rows and status.
 
