@@ -42,6 +42,36 @@ class Warehouse:
         return table, {n: found[f"m{i}"] for i, n in enumerate(names)}
 
 
+# Buckets of the stored models: what joins on a column shares its buckets.
+BUCKETED = {
+    "stg_bookings_cdc": "booking_id", "stg_payments": "booking_id", "fct_bookings": "customer_id",
+    "dim_customers": "customer_id", "stg_customers_versions": "customer_id"}
+
+
+class BucketedWarehouse(Warehouse):
+    """Models as catalogue tables, those of ``BUCKETED`` cut into buckets of their join key.
+
+    A join or an aggregate of two such tables on the key, or on more columns that contain it,
+    needs no exchange: bucket i of one meets bucket i of the other. ``buckets`` is set for the
+    largest table (some 512 MB a bucket) and is the same for all of them. A key with a third of
+    the rows makes one large bucket, which adaptive execution cannot cut without an exchange:
+    keep such a model in a plain ``Warehouse``.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, name: str, buckets: int):
+        super().__init__(spark, root)
+        self.name, self.buckets = name, buckets
+
+    def store(self, name: str, df: DataFrame) -> DataFrame:
+        table, key = f"{self.name}_{name}", BUCKETED.get(name)
+        rows = df.repartition(self.buckets, key) if key else df  # one file a bucket
+        writer = rows.write.mode("overwrite").option("path", f"{self.root}/{name}")
+        if key:
+            writer = writer.bucketBy(self.buckets, key).sortBy(key)
+        writer.saveAsTable(table)
+        return self.spark.table(table)
+
+
 def build_models(
     warehouse: Warehouse, raw: Mapping[str, DataFrame], booking_log: DataFrame,
     calendar: tuple[str, str], counted: dict[str, dict] | None = None,

@@ -118,9 +118,13 @@ def with_current_tier(facts: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def with_tiers(facts: DataFrame, dim: DataFrame) -> DataFrame:
-    """Both tiers of a stored fact, looked up by its version key."""
-    then = dim.select("customer_sk", F.col("loyalty_tier").alias("tier_at_booking"))
-    return with_current_tier(facts.join(then, "customer_sk", "left"), dim)
+    """Both tiers of a stored fact, looked up by its version key.
+
+    A version belongs to one customer, so the customer is part of the join: of models that
+    are bucketed by customer neither join needs an exchange.
+    """
+    then = dim.select("customer_id", "customer_sk", F.col("loyalty_tier").alias("tier_at_booking"))
+    return with_current_tier(facts.join(then, ["customer_id", "customer_sk"], "left"), dim)
 
 
 def tiered_facts(facts: DataFrame, dim: DataFrame) -> DataFrame:
@@ -139,10 +143,9 @@ def rpt_bookings_dashboard(
 ) -> DataFrame:
     """The one view reports read: no name, no e-mail.
 
-    The calendar is broadcast: its range is a parameter (a few hundred days).
-    Hotels grow with the data, so their join is left to the size threshold.
+    Calendar and hotels are left to the size threshold.
     """
-    days = F.broadcast(dates.select(F.col("date_day").alias("booking_date"), "year_month"))
+    days = dates.select(F.col("date_day").alias("booking_date"), "year_month")
     f = (
         with_tiers(facts, dim)
         .join(hotels, "hotel_id", "left")

@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Dates are cut in UTC everywhere. Skewed joins are split by AQE even when the
-# split costs one more exchange: a hot key must never land in a single task.
+# split costs one more exchange: a hot key must never land in a single task. A join
+# on several keys may use sides that are bucketed by one of them.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
