@@ -60,7 +60,7 @@ def _(t):
     WHERE booking_id NOT IN (SELECT booking_id FROM active) GROUP BY 1""", "stg_payments active")
 def _(t):
     """C4, J10."""
-    return Q.unmatched(t.stg_payments, "booking_id", t.active, "booking_id")
+    return Q.unmatched(t.latest_payments, "booking_id", t.active, "booking_id")
 
 
 @query("chk_stay_dates", """
@@ -85,7 +85,7 @@ def _(t):
     cut = lambda c, by: (F.col(c) - F.lit(by)).cast("decimal(11,2)")
     return K.negative_amounts(
         t.active.withColumn("total_amount", cut("total_amount", 20000)),
-        t.stg_payments.withColumn("amount", cut("amount", 2000)))
+        t.latest_payments.withColumn("amount", cut("amount", 2000)))
 
 
 @query("chk_versions_unique", """
@@ -389,10 +389,15 @@ COUNTS = " UNION ALL ".join(f"""
 COUNTED = " ".join(f"stg_{name} raw_{name}" for name in SOURCES)
 
 
+def _source(t, name):
+    """The current rows of a table; of payments without the mark of repeated submissions."""
+    return t.latest_payments if name == "payments" else getattr(t, f"stg_{name}")
+
+
 def _counts(t):
     return [
         (name, R.partition_counts(
-            getattr(t, f"stg_{name}"), getattr(t, f"raw_{name}"), "1996-01-01", "2001-01-01"))
+            _source(t, name), getattr(t, f"raw_{name}"), "1996-01-01", "2001-01-01"))
         for name in SOURCES]
 
 
@@ -433,7 +438,7 @@ DRIFT = " UNION ALL ".join(f"""
 def _(t):
     """Instants of the raw rows of all tables against sources that lost and shifted some."""
     def drift(name, key):
-        shifted = getattr(t, f"stg_{name}").where(f"{key} % 50 <> 0").withColumn(
+        shifted = _source(t, name).where(f"{key} % 50 <> 0").withColumn(
             "created_at",
             F.when(F.col(key) % 17 == 0, F.expr("created_at + INTERVAL 1.5 SECONDS"))
             .otherwise(F.col("created_at")))
@@ -463,10 +468,10 @@ def _(t):
            AS doubles FROM latest_payments WHERE paid_at IS NOT NULL""", "latest_payments")
 def _(t):
     """A7."""
-    return R.repeated_tuples(t.stg_payments)
+    return R.repeated_tuples(t.latest_payments)
 
 
-REPORTED = {"hotels": "stg_hotels", "customers": "stg_customers", "bookings": "active", "payments": "stg_payments"}
+REPORTED = {"hotels": "stg_hotels", "customers": "stg_customers", "bookings": "active", "payments": "latest_payments"}
 REPORT_LINES = " UNION ALL ".join(f"""
     SELECT '{name}' AS t, count(*) FILTER (WHERE cible > 0) AS partitions,
            count(*) FILTER (WHERE source <> cible) AS jours_differents,

@@ -39,6 +39,7 @@ class Frames:
 
     stg_hotels = cached_property(lambda self: G.stg_hotels(self.raw_hotels))
     stg_bookings = cached_property(lambda self: G.stg_bookings(self.raw_bookings))
+    latest_payments = cached_property(lambda self: G.latest_payments(self.raw_payments))
     stg_payments = cached_property(lambda self: G.stg_payments(self.raw_payments))
     versions = cached_property(lambda self: G.stg_customer_versions(self.raw_customers))
     stg_customers = cached_property(lambda self: G.stg_customers(self.versions))

@@ -85,7 +85,7 @@ def _(t):
     return R.rows_raw_vs_staging({
         "customers": (t.raw_customers, t.stg_customers), "hotels": (t.raw_hotels, t.stg_hotels),
         "bookings": (t.raw_bookings, t.stg_bookings),
-        "payments": (t.raw_payments, t.stg_payments)})
+        "payments": (t.raw_payments, t.latest_payments)})
 
 
 PAYMENT_COLUMNS = [

@@ -74,22 +74,18 @@ def drop_redelivered(log: DataFrame, *values: str | Column) -> DataFrame:
     return log.select(*DELIVERY, *values).distinct().drop(*DELIVERY)
 
 
-def _image(log: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
-    image = row_image(F.col("op"), F.col("before"), F.col("after"))
-    return log.select(*keep, F.from_json(image, schema).alias("row"))
-
-
 def booking_state(log: DataFrame) -> DataFrame:
     """Last known state of every booking, deleted ones included.
 
-    Only the latest image of a key is kept, in log order; a repeated delivery
-    has the same position and content, so either copy may win.
+    Only the latest image of a key is kept, in log order, and only that one is parsed; a
+    repeated delivery has the same position and content, so either copy may win.
     """
-    rows = _image(log, S.BOOKING_IMAGE, "op", "lsn", "_kafka_offset").withColumn(
-        "booking_id", F.col("row.booking_id"))
-    last = latest_by(rows, ["booking_id"], F.desc("lsn"), F.desc("_kafka_offset"))
+    image = row_image(F.col("op"), F.col("before"), F.col("after")).alias("image")
+    rows = log.select("_key", "op", "lsn", "_kafka_offset", image)
+    last = latest_by(rows, ["_key"], F.desc("lsn"), F.desc("_kafka_offset")).withColumn(
+        "row", F.from_json("image", S.BOOKING_IMAGE))
     return last.select(
-        "booking_id", "row.customer_id", "row.hotel_id",
+        "row.booking_id", "row.customer_id", "row.hotel_id",
         F.date_from_unix_date("row.check_in").alias("check_in"),
         F.date_from_unix_date("row.check_out").alias("check_out"),
         "row.status", F.col("row.total_amount").cast(S.MONEY).alias("total_amount"),
@@ -107,12 +103,12 @@ def customer_versions(log: DataFrame) -> DataFrame:
     Two commits of one customer within the same instant collapse to the later
     log position; deletes end no version here and are left to the state.
     """
-    rows = _image(
-        log.where(F.col("op") != "d"), S.CUSTOMER_IMAGE,
-        "lsn", "_kafka_offset", "source_ts").withColumn("customer_id", F.col("row.customer_id"))
-    last = latest_by(rows, ["customer_id", "source_ts"], F.desc("lsn"), F.desc("_kafka_offset"))
+    image = row_image(F.col("op"), F.col("before"), F.col("after")).alias("image")
+    rows = log.where(F.col("op") != "d").select("_key", "lsn", "_kafka_offset", "source_ts", image)
+    last = latest_by(rows, ["_key", "source_ts"], F.desc("lsn"), F.desc("_kafka_offset")).withColumn(
+        "row", F.from_json("image", S.CUSTOMER_IMAGE))
     return last.select(
-        "customer_id", "row.first_name", "row.last_name",
+        "row.customer_id", "row.first_name", "row.last_name",
         clean_email(F.col("row.email")).alias("email"), "row.loyalty_tier",
         F.col("row.created_at").cast("timestamp").alias("created_at"),
         F.col("source_ts").alias("updated_at"))

@@ -39,6 +39,14 @@ def stg_customers(versions: DataFrame) -> DataFrame:
     return latest_by(versions, ["customer_id"], F.desc("updated_at"))
 
 
+def latest_payments(raw: DataFrame, tie_break: Sequence[str] = ("amount",)) -> DataFrame:
+    """Latest version per payment, for readers that do not ask for repeated submissions."""
+    return _newest(raw, "payment_id", tie_break).select(
+        "payment_id", "booking_id", "amount",
+        clean_currency(F.col("currency")).alias("currency"),
+        "payment_method", "status", "paid_at", "created_at", "updated_at")
+
+
 def stg_payments(
     raw: DataFrame, tie_break: Sequence[str] = ("amount",),
     stage: Callable[[DataFrame], DataFrame] | None = None,
@@ -53,10 +61,7 @@ def stg_payments(
     groups; ``stage`` may store them in between, so that the raw rows are
     deduplicated once.
     """
-    latest = _newest(raw, "payment_id", tie_break).select(
-        "payment_id", "booking_id", "amount",
-        clean_currency(F.col("currency")).alias("currency"),
-        "payment_method", "status", "paid_at", "created_at", "updated_at")
+    latest = latest_payments(raw, tie_break)
     return flag_repeats(
         stage(latest) if stage else latest, "payment_id", ["booking_id", "payment_method", "paid_at"], "paid_at",
         ["created_at", "payment_id"], "is_duplicate_submission")
