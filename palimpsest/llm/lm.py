@@ -15,7 +15,6 @@ stands before it. Within a piece, equal (context, byte) events are computed once
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -37,7 +36,8 @@ BLOCK = 1 << 14  # slots that travel together
 SPREAD = 64  # partial sums of a block, before their sum
 LEVELS = [1, 2, 4, 16, 64, 256, 1024]  # counts from which a context is more trusted
 COARSE = np.array([0, 1, 1, 1, 2, 2, 2, 2])
-GATES, MAP_BINS, STRETCH = 8 * 3 * 8, 33, 8.0
+SETS = 3 * 8  # weight sets of a place of the byte
+GATES, MAP_BINS, STRETCH = 8 * SETS, 33, 8.0
 END = 255
 RATE, PRIOR, MINI = 0.2, 50, 2048
 HEAVY = 1 << 17  # words over one HEAVYth of all tokens, at most HEAVY, go to all tasks
@@ -45,6 +45,7 @@ MERGE = 1 << 19
 PIECE = 1_000_000  # bytes of text that are worked on at a time
 FIRST = 4096  # bytes of a task's first span; each later one is as long as all before it
 INVERSE = np.uint64(pow(int(RADIX), -1, 1 << 64))
+SMALL = pa.Codec("zstd", 1)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -135,6 +136,23 @@ def stretch_of(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndar
     return value.astype(np.float32), np.digitize(n, LEVELS).astype(np.int64)
 
 
+LOGS = np.log(np.arange(1 << 14) + 0.4).astype(np.float32)
+SURE = np.digitize(np.arange(LEVELS[-1] + 1), LEVELS)
+HALF = np.uint64(32)
+LOW = np.uint64((1 << 32) - 1)
+
+
+def stretch_of_pairs(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretched probabilities of a 1, and both counts, of counts (zeros low, ones high in 64 bits)."""
+    zeros, ones = pairs & LOW, pairs >> HALF
+    last = np.uint64(len(LOGS) - 1)
+    value = LOGS[np.minimum(ones, last)] - LOGS[np.minimum(zeros, last)]
+    many = np.flatnonzero((zeros | ones) > last)
+    if len(many):
+        value[many] = np.log((ones[many] + 0.4) / (zeros[many] + 0.4))
+    return np.clip(value, -STRETCH, STRETCH, out=value), zeros, ones
+
+
 def squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -20, 20)))
 
@@ -147,8 +165,10 @@ class Mixer:
         np.arange(K + 1) < K))
     hits: np.ndarray = field(default_factory=lambda: np.zeros((MAP_BINS, 256, 2)))
 
-    def mixed(self, inputs: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.einsum("kn,nk->n", inputs, self.weights[gate])
+    def mixed(self, inputs: np.ndarray, place: int, gate: np.ndarray) -> np.ndarray:
+        """Weighted sums of the inputs at a place of the byte; ``gate`` is one of its weight sets."""
+        own = self.weights[place * SETS:(place + 1) * SETS].T.astype(np.float32)
+        return np.einsum("kn,kn->n", inputs, np.take(own, gate, axis=1))
 
     def refined(self, x: np.ndarray, node: np.ndarray) -> np.ndarray:
         """Half the mixed probability, half what bits did where it was about the same."""
@@ -162,20 +182,26 @@ class Mixer:
         p = 0.5 * p + 0.5 * ((1 - part) * seen[at] + part * seen[at + 256])
         return np.clip(p, 2.0 ** -16, 1 - 2.0 ** -16)
 
-    def learn(self, inputs, gate, node, bit, count) -> None:
+    def learn(self, inputs, place, gate, node, bit, count) -> None:
         """Online: small batches, each predicted before it moves the weights."""
-        cell = np.empty(len(bit), np.int64)
+        middle = np.empty(len(bit), np.float32)
+        own, wanted = self.weights[place * SETS:(place + 1) * SETS], bit.astype(np.float32)
         for a in range(0, len(bit), MINI):
             s = slice(a, a + MINI)
-            x = self.mixed(inputs[:, s], gate[s])
-            gap = (bit[s] - squash(x)) * count[s]
-            total = np.bincount(gate[s], count[s], GATES)
-            for k in range(K + 1):
-                push = np.bincount(gate[s], gap * inputs[k, s], GATES)
-                self.weights[:, k] += RATE * push / (total + PRIOR)
-            place = np.rint((np.clip(x, -STRETCH, STRETCH) + STRETCH) * (
-                (MAP_BINS - 1) / (2 * STRETCH))).astype(np.int64)
-            cell[s] = (place * 256 + node[s]) * 2 + bit[s]
+            x = self.mixed(inputs[:, s], place, gate[s])
+            middle[s] = x
+            gap = (wanted[s] - squash(x)) * count[s]
+            # sums by weight set: a set's place in a one-hot row, and one more line for the counts
+            push = np.empty((K + 2, len(x)), np.float32)
+            np.multiply(gap, inputs[:, s], out=push[:K + 1])
+            push[K + 1] = count[s]
+            chosen = np.zeros((len(x), SETS), np.float32)
+            chosen[np.arange(len(x)), gate[s]] = 1
+            sums = push @ chosen
+            own += (RATE * sums[:K + 1] / (sums[K + 1] + PRIOR)).T
+        near = np.rint((np.clip(middle, -STRETCH, STRETCH) + STRETCH) * (
+            (MAP_BINS - 1) / (2 * STRETCH))).astype(np.int64)
+        cell = (near * 256 + node) * 2 + bit
         self.hits += np.bincount(cell, count, self.hits.size).reshape(self.hits.shape)
 
 
@@ -188,9 +214,9 @@ def steps(found: Events) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.
         node = node * 2 + bit
 
 
-def gate_of(place: int, last_four: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Weight set of a bit: its place, and the levels of the two longest contexts."""
-    return place * 24 + COARSE[last_four] * 8 + word
+def gate_of(last_four: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Weight set of a bit among those of its place: the levels of the two longest contexts."""
+    return COARSE[last_four] * 8 + word
 
 
 PART = pa.schema([("kind", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
@@ -205,7 +231,7 @@ def _part(kind: int, key, n, data) -> pa.RecordBatch:
 
 def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What one task learns from its training texts: word counts, slot counts, mixer."""
-    counts, mixer, mixed_bytes = np.zeros(2 * SLOTS, np.uint32), Mixer(), 0
+    counts, mixer, mixed_bytes = np.zeros(SLOTS, np.uint64), Mixer(), 0  # zeros low, ones high
     seen: list[tuple[np.ndarray, np.ndarray]] = []
     docs = held = 0
 
@@ -230,18 +256,19 @@ def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = events(texts)
         for span in spans(found, mixed_bytes):
             mixed_bytes += int(span.count.sum())
-            amount = span.count.astype(np.uint32)
+            amount, weight = span.count.astype(np.uint64), span.count.astype(np.float32)
             # A bit is counted as soon as it is predicted; later bits lie in other nodes.
             for place, node, bit, slots in steps(span):
                 inputs = np.ones((K + 1, len(bit)), np.float32)
                 level = []
                 for k in range(K):
-                    inputs[k], sure = stretch_of(
-                        counts[2 * slots[k]].astype(np.float64), counts[2 * slots[k] + 1].astype(np.float64))
-                    level.append(sure)
-                mixer.learn(inputs, gate_of(place, level[3], level[4]), node, bit, span.count)
+                    inputs[k], zeros, ones = stretch_of_pairs(counts[slots[k]])
+                    if k >= K - 2:
+                        level.append(SURE[np.minimum(zeros + ones, np.uint64(LEVELS[-1]))])
+                mixer.learn(inputs, place, gate_of(*level), node, bit, weight)
+                step = amount << (bit.astype(np.uint64) * HALF)
                 for k in range(K):
-                    np.add.at(counts, 2 * slots[k] + bit, amount)
+                    np.add.at(counts, slots[k], step)
     if not docs:
         return
     if seen:
@@ -251,25 +278,24 @@ def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if mixed_bytes:
         yield _part(WEIGHTS, [0], [mixed_bytes], [mixer.weights.tobytes()])
         yield _part(HITS, [0], [mixed_bytes], [mixer.hits.tobytes()])
-    pairs = counts.reshape(-1, 2)
     salt = TaskContext.get().partitionId() // 8 % SPREAD
     for block in range(-(-SLOTS // BLOCK)):
-        part = pairs[block * BLOCK:(block + 1) * BLOCK]
-        at = np.flatnonzero(part.any(axis=1))
+        part = counts[block * BLOCK:(block + 1) * BLOCK]
+        at = np.flatnonzero(part)
         if len(at):
-            yield _part(COUNTS, [block * SPREAD + salt], [len(at)], [packed(at, part[at])])
+            pairs = np.stack([part[at] & LOW, part[at] >> HALF], 1)
+            yield _part(COUNTS, [block * SPREAD + salt], [len(at)], [packed(at, pairs)])
 
 
 def packed(at: np.ndarray, pairs: np.ndarray) -> bytes:
     """Places in a block and their two counts, column by column, compressed."""
-    return zlib.compress(at.astype("<u2").tobytes() + pairs.T.astype("<u8").tobytes(), 1)
+    return SMALL.compress(at.astype("<u2").tobytes() + pairs.T.astype("<u8").tobytes(), asbytes=True)
 
 
 def add_counts(table: pa.Table) -> np.ndarray:
     total = np.zeros((BLOCK, 2), np.uint64)
-    for data in table["data"].to_pylist():
-        raw = zlib.decompress(data)
-        n = len(raw) // 18
+    for n, data in zip(table["n"].to_pylist(), table["data"].to_pylist()):
+        raw = SMALL.decompress(data, 18 * n, asbytes=True)
         total[np.frombuffer(raw, "<u2", n)] += np.frombuffer(raw, "<u8", 2 * n, 2 * n).reshape(2, n).T
     return total
 
@@ -304,8 +330,8 @@ class Model:
         for place, node, bit, slots in steps(found):
             for k in range(K):
                 inputs[k] = self.value[slots[k]]
-            gate = gate_of(place, self.level[slots[3]], self.level[slots[4]].astype(np.int64))
-            p = self.mixer.refined(self.mixer.mixed(inputs, gate), node)
+            gate = gate_of(self.level[slots[3]], self.level[slots[4]])
+            p = self.mixer.refined(self.mixer.mixed(inputs, place, gate), node)
             out *= np.where(bit == 1, p, 1 - p)
         return np.log10(out)
 
