@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from palimpsest.plans import changes as C
 from palimpsest.plans import staging as G
-from palimpsest.sources import testdata as D
+from catalog import testdata as D
 from palimpsest.streaming import changes as X
 
 

@@ -15,7 +15,7 @@ from palimpsest.plans import marts as M
 from palimpsest.plans import staging as G
 from palimpsest.plans.build import Warehouse
 from palimpsest.session import configure, work_dir
-from palimpsest.sources import testdata as D
+from catalog import testdata as D
 
 # The test orders run from 1995 to 2001, stays end within 134 days.
 CALENDAR = ("1994-01-01", "2003-12-31")

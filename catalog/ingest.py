@@ -55,7 +55,7 @@ def _(t):
     WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1997-04-01'""")
 def _(t):
     """S1 straight on a stored table: the bounds reach the Parquet scan."""
-    from palimpsest.sources.testdata import table
+    from catalog.testdata import table
 
     orders = table(t.spark, t.sf_dir, "orders")
     lower, upper = (F.lit(d).cast("timestamp_ntz") for d in ("1997-01-01", "1997-04-01"))

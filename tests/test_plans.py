@@ -5,19 +5,24 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__  # noqa: F401  registers the catalogue
 from catalog.registry import QUERIES
 from palimpsest.operators.history import interval_join
 from palimpsest.plans import layout as Y
+from palimpsest.plans.changes import booking_state
 from palimpsest.plans.dashboard import lead_time_distribution
 from palimpsest.plans.marts import booking_facts
+from palimpsest.plans.reconcile import redundancy
 from palimpsest.session import work_dir
 from palimpsest.sources import raw as I
+from palimpsest.sources.inventory import partition_inventory
 
 # These write and read back when built; their parts are covered by the others.
 WRITERS = {
     "check_report", "extract_complete", "ingest_window", "partition_overwrite", "replay_twice",
     "empty_window_clear", "schema_union", "schema_evolution", "bootstrap", "events_scan",
-    "metrics_load", "cdc_stream_state", "cdc_stream_counts", "cdc_stream_upserts",
+    "metrics_load", "cdc_stream_state", "cdc_stream_counts", "cdc_stream_upserts", "cdc_stream_dedup",
+    "cdc_lag", "cdc_table_counts",
 } | {n for n in QUERIES if n.startswith("layout_")}
 
 
@@ -52,6 +57,24 @@ def test_only_needed_columns_are_read(spark, frames):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
 
 
+def test_inventory_of_a_stored_table_reads_footers_only(spark, frames):
+    root = work_dir(spark, "inventory")
+    frames.raw_bookings.where("_interval_start < '1996-01-01'").write.partitionBy("_interval_start").parquet(root)
+    plan = plan_of(partition_inventory(spark.read.parquet(root), "bookings"))
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_distinct_keys_are_counted_without_expanding(frames):
+    plan = plan_of(redundancy(frames.raw_bookings, "bookings", "booking_id"))
+    assert "Expand" not in plan and "bitmap_construct_agg" in plan.lower()
+
+
+def test_only_the_newest_image_of_a_key_is_parsed(frames):
+    tree = booking_state(frames.event_log)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    parsed = [i for i, line in enumerate(tree) if "from_json" in line]
+    assert parsed and max(parsed) < min(i for i, line in enumerate(tree) if "Window" in line)
+
+
 def test_date_window_opens_only_its_folders(spark, frames):
     facts = frames.base_facts
     root = work_dir(spark, "layout")

@@ -10,7 +10,7 @@ from palimpsest import schemas as S
 from palimpsest.operators.compare import fingerprint
 from palimpsest.plans import changes as C
 from palimpsest.session import work_dir
-from palimpsest.sources import testdata as D
+from catalog import testdata as D
 from palimpsest.sources.publish import Folder
 from palimpsest.streaming import changes as X
 from palimpsest.streaming.upserts import UpsertLog
