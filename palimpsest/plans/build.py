@@ -17,6 +17,9 @@ from palimpsest.plans import marts as M
 from palimpsest.plans import staging as G
 
 
+CODEC = "zstd"  # version keys are hex digits, of which an entropy code keeps half
+
+
 class Warehouse:
     """Tables as Parquet folders under one shared root."""
 
@@ -25,7 +28,7 @@ class Warehouse:
 
     def store(self, name: str, df: DataFrame) -> DataFrame:
         """Replace the table and return it as read back: its plan is a scan."""
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}", compression=CODEC)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
 
@@ -65,7 +68,7 @@ class BucketedWarehouse(Warehouse):
     def store(self, name: str, df: DataFrame) -> DataFrame:
         table, key = f"{self.name}_{name}", BUCKETED.get(name)
         rows = df.repartition(self.buckets, key) if key else df  # one file a bucket
-        writer = rows.write.mode("overwrite").option("path", f"{self.root}/{name}")
+        writer = rows.write.mode("overwrite").option("path", f"{self.root}/{name}").option("compression", CODEC)
         if key:
             writer = writer.bucketBy(self.buckets, key).sortBy(key)
         writer.saveAsTable(table)

@@ -226,17 +226,41 @@ def key_columns() -> dict[str, list[str]]:
     return out
 
 
+SIDES = ["int_bookings_actives.booking_id", "fct_bookings.booking_id"]
+
+
+def whole_keys() -> list[str]:
+    """Key columns of which the report reads every value; of the others only what occurs more than once."""
+    related = [f"{c}.{fk}" for c, fk, _, _ in RELATIONS] + [f"{p}.{pk}" for _, _, p, pk in RELATIONS]
+    return list(dict.fromkeys([*related, *SIDES, "stg_customers.email"]))
+
+
 def key_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(name, value, n): how often each value of each key column occurs, one pass a table. A hot
-    value is a row per mapper before the exchange."""
+    """(name, value, n): how often each value of each key column occurs, one pass a table; of
+    columns outside ``whole_keys`` the values that occur more than once. A hot value is a row
+    per mapper before the exchange, and a row there is a number for the name and whole numbers as they are.
+    """
+    columns = key_columns()
+    names = [f"{t}.{c}" for t, found in columns.items() for c in found] + ["versions"]
+    whole = ("tinyint", "smallint", "int", "bigint")
+
+    def pair(code: int, value: Column, kind: str) -> Column:
+        return F.struct(
+            F.lit(code).alias("code"),
+            (value if kind in whole else F.lit(None)).cast("bigint").alias("number"),
+            (F.lit(None) if kind in whole else value).cast("string").alias("text"))
+
     values = [
         tables[table].select(F.inline(F.array(*[
-            F.struct(F.lit(f"{table}.{c}").alias("name"), F.col(c).cast("string").alias("value"))
-            for c in columns]))) for table, columns in key_columns().items()]
-    values.append(tables["stg_customers_versions"].select(
-        F.lit("versions").alias("name"),
-        F.concat_ws("|", "customer_id", F.unix_micros("updated_at")).alias("value")))
-    return reduce(DataFrame.unionByName, values).groupBy("name", "value").agg(F.count("*").alias("n"))
+            pair(names.index(f"{table}.{c}"), F.col(c), dict(tables[table].dtypes)[c]) for c in found])))
+        for table, found in columns.items()]
+    values.append(tables["stg_customers_versions"].select(F.inline(F.array(pair(
+        names.index("versions"), F.concat_ws("|", "customer_id", F.unix_micros("updated_at")), "string")))))
+    counted = reduce(DataFrame.unionByName, values).groupBy("code", "number", "text").agg(F.count("*").alias("n"))
+    read = [i for i, name in enumerate(names) if name in whole_keys()]
+    return counted.where((F.col("n") > 1) | F.col("code").isin(read)).select(
+        F.element_at(F.array(*[F.lit(n) for n in names]), F.col("code") + 1).alias("name"),
+        F.coalesce("text", F.col("number").cast("string")).alias("value"), "n")
 
 
 def measured_report(
@@ -282,12 +306,13 @@ def measured_report(
     named = {f"{c}.{fk}": f"{c}.{fk}_in_{p}" for c, fk, p, _ in RELATIONS}
     children = keys.where(F.col("name").isin(list(parents)) & F.col("value").isNotNull()).select(
         "name", "n", label(parents).alias("parent"), "value")
-    known = keys.where(F.col("value").isNotNull()).select(F.col("name").alias("parent"), "value")
+    known = keys.where(F.col("name").isin(sorted(set(parents.values()))) & F.col("value").isNotNull()).select(
+        F.col("name").alias("parent"), "value")
     lost = children.join(known, ["parent", "value"], "left_anti").groupBy("name").agg(F.sum("n").alias("failures"))
     relations = spark.createDataFrame([(k, v) for k, v in named.items()], "name string, check string").join(
         lost, "name", "left").select(
         "check", F.lit("error").alias("severity"), F.coalesce("failures", F.lit(0)).alias("failures"))
-    sides = keys.where(F.col("name").isin("int_bookings_actives.booking_id", "fct_bookings.booking_id"))
+    sides = keys.where(F.col("name").isin(SIDES))
     one_sided = sides.groupBy("value").agg(F.count("*").alias("sides")).where("sides = 1")
     empty = spark.createDataFrame(  # a table without rows has no key to count
         [(c, "warn" if c == "shared_emails" else "error", 0) for c in repeated.values()],
