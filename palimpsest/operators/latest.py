@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ def latest_by(df: DataFrame, keys: Sequence[str | Column], *order: Column) -> Da
 
 def flag_repeats(
     df: DataFrame, row_id: str, business_key: Sequence[str], instant: str,
-    order: Sequence[str], flag: str,
+    order: Sequence[str], flag: str, stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Flag all but the first row of each business key; NULL instants never repeat.
 
@@ -31,6 +31,9 @@ def flag_repeats(
     (bounded per mapper) and joined back on the unique row id, whose hash
     spreads any group over all tasks and is the partitioning that the caller's
     own dedup already has.
+
+    ``stage`` may store the ids of the repeats, found from ids alone. As a table their size is
+    known before the rows move: where they are few, the rows stay where they are.
     """
     firsts = (
         latest_by(
@@ -39,6 +42,13 @@ def flag_repeats(
             list(business_key), *[F.asc(c) for c in order])
         .select(row_id, F.lit(True).alias("_first"))
     )
+    if stage:
+        repeats = df.where(F.col(instant).isNotNull() & F.col(row_id).isNotNull()).select(row_id).join(
+            firsts, row_id, "left_anti").distinct()
+        found = stage(repeats).withColumn("_repeats", F.lit(True))
+        return df.join(found, row_id, "left").withColumn(
+            flag, F.col(instant).isNotNull() & (F.col("_repeats").isNotNull() | F.col(row_id).isNull()),
+        ).drop("_repeats")
     return (
         df.join(firsts, row_id, "left")
         .withColumn(flag, F.col(instant).isNotNull() & F.col("_first").isNull())

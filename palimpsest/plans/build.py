@@ -98,7 +98,8 @@ def build_models(
     keep("stg_customers", G.stg_customers(t["stg_customers_versions"]))
     keep("stg_bookings", G.stg_bookings(raw["bookings"]))
     keep("stg_payments", G.stg_payments(
-        raw["payments"], stage=lambda df: store("latest_payments", df)))
+        raw["payments"], stage=lambda df: store("latest_payments", df),
+        stage_repeats=lambda df: store("repeated_payments", df)))
     keep("stg_bookings_cdc", C.booking_state(booking_log))
     # A filter over a stored table: a view costs nothing.
     t["int_bookings_actives"] = G.active_bookings(t["stg_bookings_cdc"])

@@ -50,6 +50,7 @@ def latest_payments(raw: DataFrame, tie_break: Sequence[str] = ("amount",)) -> D
 def stg_payments(
     raw: DataFrame, tie_break: Sequence[str] = ("amount",),
     stage: Callable[[DataFrame], DataFrame] | None = None,
+    stage_repeats: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Latest version per payment; repeated submissions are flagged, not removed.
 
@@ -59,12 +60,12 @@ def stg_payments(
 
     The latest versions are read twice, for the rows and for the firsts of the
     groups; ``stage`` may store them in between, so that the raw rows are
-    deduplicated once.
+    deduplicated once, and ``stage_repeats`` the ids of the repeats.
     """
     latest = latest_payments(raw, tie_break)
     return flag_repeats(
         stage(latest) if stage else latest, "payment_id", ["booking_id", "payment_method", "paid_at"], "paid_at",
-        ["created_at", "payment_id"], "is_duplicate_submission")
+        ["created_at", "payment_id"], "is_duplicate_submission", stage_repeats)
 
 
 def latest_by_ingestion(raw: DataFrame, key: str) -> DataFrame:
