@@ -40,12 +40,15 @@ SETS = 3 * 8  # weight sets of a place of the byte
 GATES, MAP_BINS, STRETCH = 8 * SETS, 33, 8.0
 END = 255
 RATE, PRIOR, MINI = 0.2, 50, 2048
+BATCH = 1 << 13  # events scored at a time
 HEAVY = 1 << 17  # words over one HEAVYth of all tokens, at most HEAVY, go to all tasks
 MERGE = 1 << 19
 PIECE = 1_000_000  # bytes of text that are worked on at a time
 FIRST = 4096  # bytes of a task's first span; each later one is as long as all before it
 INVERSE = np.uint64(pow(int(RADIX), -1, 1 << 64))
 SMALL = pa.Codec("zstd", 1)
+NODE, SPIN = numbers(2, 73)
+TURNS = np.arange(256, dtype=np.uint64) * NODE * SPIN  # what a node adds to a slot's hash
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -65,44 +68,48 @@ class Events:
 
     contexts: list[np.ndarray]  # one hash an order and event
     symbol: np.ndarray
-    count: np.ndarray
+    count: np.ndarray | None  # only of shuffled ones, to learn from
     codes: np.ndarray  # event of every byte
     starts: np.ndarray  # first byte of every text
 
 
-def events(column: pa.Array) -> Events:
+def events(column: pa.Array, shuffle: bool = False) -> Events:
     raw, bounds = utf8(column)
     data = np.insert(LOWER[raw], bounds[1:], END)
     starts = bounds[:-1] + np.arange(len(bounds) - 1)
     n, ends = len(data), np.append(starts[1:], len(data))
-    history, before = [], np.zeros(n, np.uint32)
-    for k in range(1, 5):
-        last = np.full(n, END, np.uint32)
-        last[k:] = data[:-k]
-        for j in range(k):  # what stands before the text's first byte
-            at = starts + j
-            last[at[at < ends]] = END
-        before = before | (last << np.uint32(8 * (k - 1)))
-        history.append(before)
+    before = np.empty(n, np.uint32)  # the last four bytes, the latest lowest
+    before[1:] = data[:-1]
+    before[2:] |= data[:-2].astype(np.uint32) << np.uint32(8)
+    before[3:] |= before[1:-2] << np.uint32(16)
+    for j in range(4):  # what stands before the text's first byte: END, all ones
+        at = starts + j
+        at = at[at < ends]
+        seen = before[at] & np.uint32((1 << 8 * j) - 1) if j else np.uint32(0)
+        before[at] = seen | np.uint32((1 << 32) - (1 << 8 * j))
     power, inverse = powers(n)
-    total = np.concatenate([[np.uint64(0)], np.cumsum(BYTE_VALUES[data] * power)])[:n]
+    word = np.concatenate([[np.uint64(0)], np.cumsum(BYTE_VALUES[data] * power)])[:n]
     begin = np.zeros(n, np.int64)
     after = np.flatnonzero(BLANKS[data[:-1]]) + 1
     begin[after] = after
     begin[starts] = starts
     begin = np.maximum.accumulate(begin)
-    word = mix((total - total[begin]) * inverse[begin])
-    del total, begin
-    codes, _ = pd.factorize(mix(word + mix(
-        history[3].astype(np.uint64) << np.uint64(8) | data.astype(np.uint64))))
-    size = int(codes.max()) + 1
-    # Rare events come late in a piece: a fixed shuffle keeps the mixer's batches alike.
-    codes = np.random.default_rng(5).permutation(size)[codes]
+    word = (word - word[begin]) * inverse[begin]
+    del begin
+    key = before.astype(np.uint64) << np.uint64(8) | data
+    key *= NODE
+    key += word
+    codes, distinct = pd.factorize(key, size_hint=n // 4)  # a small table stays in the cache
+    size = len(distinct)
+    del power, inverse, key, distinct
+    if shuffle:  # rare events come late in a piece: this, always the same, keeps the mixer's batches alike
+        codes = np.random.default_rng(5).permutation(size)[codes]
     at = np.empty(size, np.int64)
     at[codes] = np.arange(n)
+    last = before[at].astype(np.uint64)
     return Events(
-        [h[at].astype(np.uint64) for h in history] + [word[at]], data[at], np.bincount(codes, minlength=size),
-        codes, starts)
+        [last & np.uint64((1 << 8 * k) - 1) for k in range(1, 5)] + [mix(word[at])], data[at],
+        np.bincount(codes, minlength=size) if shuffle else None, codes, starts)
 
 
 def spans(found: Events, done: int) -> Iterator[Events]:
@@ -110,23 +117,72 @@ def spans(found: Events, done: int) -> Iterator[Events]:
     a, n = 0, len(found.codes)
     while a < n:
         b = min(n, a + max(FIRST, done + a))
+        if b - a == n:
+            yield found
+            return
         count = np.bincount(found.codes[a:b], minlength=len(found.symbol))
         at = np.flatnonzero(count)
         yield Events([c[at] for c in found.contexts], found.symbol[at], count[at], None, None)
         a = b
 
 
-SALT = numbers(K, 71)
-NODE, SPIN = numbers(2, 73)
-
-
-def slots_of(contexts: list[np.ndarray], node: np.ndarray) -> list[np.ndarray]:
-    """One slot an order of the events at a node of the byte's tree."""
-    out = [(contexts[0].astype(np.int64) << 8) + node]
-    for k in range(1, K):
-        hashed = (contexts[k] + node.astype(np.uint64) * NODE) * SPIN
-        out.append((hashed >> np.uint64(64 - BITS[k])).astype(np.int64) + int(BASES[k]))
-    return out
+@dataclass
+class Pairs:
+    """The distinct (context, byte) pairs of one order among some events."""
+
+    order: int
+    context: np.ndarray  # its part of a slot that no node changes
+    path: np.ndarray  # the byte below a leading 1: shifted right, the nodes on its way
+    codes: np.ndarray  # pair of every event
+
+    def slots(self, place: int) -> np.ndarray:
+        """The slot of every pair's node at a place of the byte."""
+        node = self.path >> (place + 1)
+        if not self.order:
+            return self.context + node
+        hashed = self.context + TURNS[node]
+        hashed >>= np.uint64(64 - BITS[self.order])
+        slot = hashed.view(np.int64)
+        slot += BASES[self.order]
+        return slot
+
+
+def ordered(key: np.ndarray, bits: int) -> np.ndarray:
+    """Places of keys of so many bits, ascending by key."""
+    free = 64 - bits
+    if len(key) >> free:
+        return np.argsort(key)
+    both = key << np.uint64(free) | np.arange(len(key), dtype=np.uint64)
+    both.sort()
+    both &= np.uint64((1 << free) - 1)
+    return both.view(np.int64)
+
+
+def pairs_of(found: Events) -> list[Pairs]:
+    """The pairs of every order: far fewer than events, so slots and counts are looked at once a pair."""
+    symbol, last = found.symbol.astype(np.uint64), found.contexts[K - 2]
+    # Byte and last four, the latest first: its first k + 1 bytes tell the pairs of k last bytes.
+    key = symbol << np.uint64(32) | last.astype(np.uint32).byteswap()
+    order = ordered(key, 40)
+    key = key[order]
+    changed = key[1:] ^ key[:-1]
+    cut = np.append(0, np.flatnonzero(changed) + 1)
+    codes = np.empty(len(key), np.int64)
+    codes[order] = np.repeat(np.arange(len(cut)), np.diff(cut, append=len(key)))
+    out = [_pairs(found, K - 2, order[cut], codes)]
+    for k in range(K - 3, -1, -1):
+        fewer = np.append(True, changed[cut[1:] - 1] >> np.uint64(24 - 8 * k) > 0)
+        out.insert(0, _pairs(found, k, order[cut[fewer]], (np.cumsum(fewer) - 1)[codes]))
+    codes, distinct = pd.factorize(found.contexts[K - 1] + symbol * NODE)
+    first = np.empty(len(distinct), np.int64)
+    first[codes] = np.arange(len(codes))
+    return [*out, _pairs(found, K - 1, first, codes)]
+
+
+def _pairs(found: Events, order: int, at: np.ndarray, codes: np.ndarray) -> Pairs:
+    context = found.contexts[order][at]
+    return Pairs(order, context * SPIN if order else context.astype(np.int64) << 8,
+                 found.symbol[at].astype(np.int64) | 256, codes)
 
 
 def stretch_of(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -136,6 +192,7 @@ def stretch_of(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndar
     return value.astype(np.float32), np.digitize(n, LEVELS).astype(np.int64)
 
 
+ONE_HOT = np.eye(SETS, dtype=np.float32)
 LOGS = np.log(np.arange(1 << 14) + 0.4).astype(np.float32)
 SURE = np.digitize(np.arange(LEVELS[-1] + 1), LEVELS)
 HALF = np.uint64(32)
@@ -144,17 +201,34 @@ LOW = np.uint64((1 << 32) - 1)
 
 def stretch_of_pairs(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Stretched probabilities of a 1, and both counts, of counts (zeros low, ones high in 64 bits)."""
-    zeros, ones = pairs & LOW, pairs >> HALF
-    last = np.uint64(len(LOGS) - 1)
-    value = LOGS[np.minimum(ones, last)] - LOGS[np.minimum(zeros, last)]
+    zeros, ones = (pairs & LOW).view(np.int64), (pairs >> HALF).view(np.int64)
+    last = len(LOGS) - 1
+    value = LOGS.take(ones, mode="clip")
+    value -= LOGS.take(zeros, mode="clip")
     many = np.flatnonzero((zeros | ones) > last)
     if len(many):
         value[many] = np.log((ones[many] + 0.4) / (zeros[many] + 0.4))
-    return np.clip(value, -STRETCH, STRETCH, out=value), zeros, ones
+    np.maximum(value, -STRETCH, out=value)
+    return np.minimum(value, STRETCH, out=value), zeros, ones
 
 
 def squash(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -20, 20)))
+    out = np.maximum(x, -20)
+    np.minimum(out, 20, out=out)
+    np.negative(out, out=out)
+    np.exp(out, out=out)
+    out += 1
+    return np.divide(1, out, out=out)
+
+
+def bounded(x: np.ndarray, low: float, high: float) -> np.ndarray:
+    return np.minimum(np.maximum(x, low), high)
+
+
+def spread(values: list[np.ndarray], codes: list[np.ndarray], out: np.ndarray) -> None:
+    """What the predictors say of one bit, from pairs to events: a line of ``out`` an order."""
+    for value, code, line in zip(values, codes, out):
+        value.take(code, out=line, mode="clip")
 
 
 @dataclass
@@ -165,58 +239,91 @@ class Mixer:
         np.arange(K + 1) < K))
     hits: np.ndarray = field(default_factory=lambda: np.zeros((MAP_BINS, 256, 2)))
 
-    def mixed(self, inputs: np.ndarray, place: int, gate: np.ndarray) -> np.ndarray:
-        """Weighted sums of the inputs at a place of the byte; ``gate`` is one of its weight sets."""
-        own = self.weights[place * SETS:(place + 1) * SETS].T.astype(np.float32)
-        return np.einsum("kn,kn->n", inputs, np.take(own, gate, axis=1))
+    def mixed(self, inputs: np.ndarray, own: np.ndarray, gate: np.ndarray, room: np.ndarray) -> np.ndarray:
+        """Weighted sums of the inputs; ``gate`` is one of the weight sets of a place, the columns of ``own``."""
+        chosen = own.astype(np.float32).take(gate, axis=1, out=room[:, :len(gate)], mode="clip")
+        return np.einsum("kn,kn->n", inputs, chosen)
+
+    def place(self, place: int) -> np.ndarray:
+        """The weight sets of a place of the byte."""
+        return self.weights[place * SETS:(place + 1) * SETS]
+
+    def seen(self) -> np.ndarray:
+        """The map as probabilities of a 1, bins one after another."""
+        centre = squash(np.arange(MAP_BINS) * (2 * STRETCH / (MAP_BINS - 1)) - STRETCH)
+        return ((self.hits[..., 1] + 4 * centre[:, None]) / (self.hits.sum(axis=2) + 4)).ravel()
 
-    def refined(self, x: np.ndarray, node: np.ndarray) -> np.ndarray:
+    def refined(self, x: np.ndarray, node: np.ndarray, seen: np.ndarray) -> np.ndarray:
         """Half the mixed probability, half what bits did where it was about the same."""
-        p = squash(x)
-        place = (np.clip(x, -STRETCH, STRETCH) + STRETCH) * ((MAP_BINS - 1) / (2 * STRETCH))
+        place = bounded(x, -STRETCH, STRETCH)
+        place += STRETCH
+        place *= (MAP_BINS - 1) / (2 * STRETCH)
         low = np.minimum(place.astype(np.int64), MAP_BINS - 2)
         part = place - low
-        centre = squash(np.arange(MAP_BINS) * (2 * STRETCH / (MAP_BINS - 1)) - STRETCH)
-        seen = ((self.hits[..., 1] + 4 * centre[:, None]) / (self.hits.sum(axis=2) + 4)).ravel()
-        at = low * 256 + node
-        p = 0.5 * p + 0.5 * ((1 - part) * seen[at] + part * seen[at + 256])
-        return np.clip(p, 2.0 ** -16, 1 - 2.0 ** -16)
-
-    def learn(self, inputs, place, gate, node, bit, count) -> None:
-        """Online: small batches, each predicted before it moves the weights."""
-        middle = np.empty(len(bit), np.float32)
-        own, wanted = self.weights[place * SETS:(place + 1) * SETS], bit.astype(np.float32)
-        for a in range(0, len(bit), MINI):
+        low *= 256
+        low += node
+        near = seen.take(low, mode="clip")
+        near *= 1 - part
+        low += 256
+        part *= seen.take(low, mode="clip")
+        near += part
+        near *= 0.5
+        near += 0.5 * squash(x)
+        return bounded(near, 2.0 ** -16, 1 - 2.0 ** -16)
+
+    def learn(self, inputs: np.ndarray, place: int, gate: np.ndarray, path: np.ndarray, count: np.ndarray) -> None:
+        """Online: small batches, each predicted before it moves the weights.
+
+        ``path`` is the byte's bits down to this one, below a leading 1.
+        """
+        n = len(path)
+        middle, wanted = np.empty(n, np.float32), (path & 1).astype(np.float32)
+        own, room = self.place(place).T.copy("C"), np.empty((K + 1, MINI), np.float32)
+        # sums by weight set: a set's place in a one-hot row, and one more line for the counts
+        push, chosen = np.empty((K + 2, MINI), np.float32), np.empty((MINI, SETS), np.float32)
+        for a in range(0, n, MINI):
             s = slice(a, a + MINI)
-            x = self.mixed(inputs[:, s], place, gate[s])
+            x = self.mixed(inputs[:, s], own, gate[s], room)
             middle[s] = x
             gap = (wanted[s] - squash(x)) * count[s]
-            # sums by weight set: a set's place in a one-hot row, and one more line for the counts
-            push = np.empty((K + 2, len(x)), np.float32)
-            np.multiply(gap, inputs[:, s], out=push[:K + 1])
-            push[K + 1] = count[s]
-            chosen = np.zeros((len(x), SETS), np.float32)
-            chosen[np.arange(len(x)), gate[s]] = 1
-            sums = push @ chosen
-            own += (RATE * sums[:K + 1] / (sums[K + 1] + PRIOR)).T
-        near = np.rint((np.clip(middle, -STRETCH, STRETCH) + STRETCH) * (
+            pushed = push[:, :len(x)]
+            np.multiply(gap, inputs[:, s], out=pushed[:K + 1])
+            pushed[K + 1] = count[s]
+            sums = pushed @ ONE_HOT.take(gate[s], axis=0, out=chosen[:len(x)], mode="clip")
+            own += RATE * sums[:K + 1] / (sums[K + 1] + PRIOR)
+        self.place(place)[:] = own.T
+        near = np.rint((bounded(middle, -STRETCH, STRETCH) + STRETCH) * (
             (MAP_BINS - 1) / (2 * STRETCH))).astype(np.int64)
-        cell = (near * 256 + node) * 2 + bit
+        cell = near * 512 + path
         self.hits += np.bincount(cell, count, self.hits.size).reshape(self.hits.shape)
 
 
-def steps(found: Events) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """(place, node, bit, slots) of the eight binary decisions of every event."""
-    node = np.ones(len(found.symbol), np.int64)
-    for k in range(7, -1, -1):
-        bit = (found.symbol >> k & 1).astype(np.int64)
-        yield k, node, bit, slots_of(found.contexts, node)
-        node = node * 2 + bit
-
-
-def gate_of(last_four: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Weight set of a bit among those of its place: the levels of the two longest contexts."""
-    return COARSE[last_four] * 8 + word
+def gate_of(level: list[np.ndarray], codes: list[np.ndarray]) -> np.ndarray:
+    """Weight set of every event's bit among those of its place: the levels of the two longest contexts."""
+    last_four, word = level
+    return (COARSE * 8)[last_four].take(codes[K - 2], mode="clip") + word.take(codes[K - 1], mode="clip")
+
+
+def study(counts: np.ndarray, mixer: Mixer, span: Events) -> None:
+    """Predict, learn and count the eight binary decisions of every event."""
+    orders, weight = pairs_of(span), span.count.astype(np.float32)
+    codes, path = [o.codes for o in orders], span.symbol.astype(np.int64) | 256
+    amounts = [np.bincount(c, span.count, len(o.path)).astype(np.uint64) for o, c in zip(orders, codes)]
+    inputs = np.ones((K + 1, len(path)), np.float32)
+    # A bit is counted as soon as it is predicted; later bits lie in other nodes.
+    for place in range(7, -1, -1):
+        slots = [o.slots(place) for o in orders]
+        values, level = [], []
+        for k in range(K):
+            value, zeros, ones = stretch_of_pairs(counts.take(slots[k], mode="clip"))
+            values.append(value)
+            if k >= K - 2:
+                level.append(SURE.take(zeros + ones, mode="clip"))
+        spread(values, codes, inputs)
+        mixer.learn(inputs, place, gate_of(level, codes), path >> place, weight)
+        for o, slot, amount in zip(orders, slots, amounts):
+            bit = (o.path >> place & 1).astype(np.uint64)
+            np.add.at(counts, slot, amount << bit * HALF)
 
 
 PART = pa.schema([("kind", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
@@ -253,22 +360,10 @@ def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if held > MERGE // 2:
                     yield _part(WORD_KIND, seen[0][0].view(np.int64), seen[0][1], [None] * held)
                     seen, held = [], 0
-        found = events(texts)
+        found = events(texts, shuffle=True)
         for span in spans(found, mixed_bytes):
             mixed_bytes += int(span.count.sum())
-            amount, weight = span.count.astype(np.uint64), span.count.astype(np.float32)
-            # A bit is counted as soon as it is predicted; later bits lie in other nodes.
-            for place, node, bit, slots in steps(span):
-                inputs = np.ones((K + 1, len(bit)), np.float32)
-                level = []
-                for k in range(K):
-                    inputs[k], zeros, ones = stretch_of_pairs(counts[slots[k]])
-                    if k >= K - 2:
-                        level.append(SURE[np.minimum(zeros + ones, np.uint64(LEVELS[-1]))])
-                mixer.learn(inputs, place, gate_of(*level), node, bit, weight)
-                step = amount << (bit.astype(np.uint64) * HALF)
-                for k in range(K):
-                    np.add.at(counts, slots[k], step)
+            study(counts, mixer, span)
     if not docs:
         return
     if seen:
@@ -326,13 +421,19 @@ class Model:
     def log10(self, found: Events) -> np.ndarray:
         """log10 probability of every distinct event."""
         out = np.ones(len(found.symbol))  # eight factors of at least 2**-16 each
-        inputs = np.ones((K + 1, len(out)), np.float32)
-        for place, node, bit, slots in steps(found):
-            for k in range(K):
-                inputs[k] = self.value[slots[k]]
-            gate = gate_of(self.level[slots[3]], self.level[slots[4]])
-            p = self.mixer.refined(self.mixer.mixed(inputs, place, gate), node)
-            out *= np.where(bit == 1, p, 1 - p)
+        orders, seen = pairs_of(found), self.mixer.seen()
+        codes, path = [o.codes for o in orders], found.symbol.astype(np.int64) | 256
+        inputs, room = np.ones((K + 1, len(path)), np.float32), np.empty((K + 1, BATCH), np.float32)
+        for place in range(7, -1, -1):
+            slots, own = [o.slots(place) for o in orders], self.mixer.place(place).T.copy("C")
+            level = [self.level.take(s, mode="clip") for s in slots[K - 2:]]
+            spread([self.value.take(s, mode="clip") for s in slots], codes, inputs)
+            gate = gate_of(level, codes)
+            for a in range(0, len(out), BATCH):
+                s = slice(a, a + BATCH)
+                x = self.mixer.mixed(inputs[:, s], own, gate[s], room)
+                p = self.mixer.refined(x, path[s] >> (place + 1), seen)
+                out[s] *= np.abs((path[s] >> place & 1 ^ 1) - p)  # p of a 1, 1 - p of a 0
         return np.log10(out)
 
     def scores(self, column: pa.Array) -> np.ndarray:

@@ -480,6 +480,42 @@ def test_text_of_one_piece_teaches_the_mixer(spark, n):
     assert learned.model.mixer.hits.sum() == 8 * sum(len(t) + 1 for _, t in rows)  # every bit was learned
 
 
+def test_contexts_are_looked_at_once_a_pair():
+    """Events are those of plain counting; slots are taken once for the pairs an order can tell apart."""
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdé"), rng.integers(1, 9))) for _ in range(60)]
+    texts = [" ".join(rng.choice(words, 200)) for _ in range(20)] + ["", None, "a", "Ab", "abc", " \n ", "\u00e9"]
+    found = lm.events(pa.array(texts, pa.string()), shuffle=True)
+    seen, plain, at = [], [], 0
+    for text in texts:
+        data = (text or "").encode().translate(lm.LOWER.tobytes()) + b"\xff"
+        for i in range(len(data)):
+            begin = max((j + 1 for j in range(i) if lm.BLANKS[data[j]]), default=0)
+            last = (b"\xff" * 4 + data[:i])[-4:][::-1]
+            plain.append((data[begin:i], last, data[i]))
+            seen.append(found.codes[at])
+            at += 1
+    assert len(dict(zip(seen, plain))) == len(set(plain)) == len(set(zip(seen, plain))) == len(found.symbol)
+    assert found.count.tolist() == [seen.count(e) for e in range(len(found.symbol))]
+    event = dict(zip(seen, plain))
+    orders = lm.pairs_of(found)
+    assert [o.order for o in orders] == list(range(lm.K))
+    for k, order in enumerate(orders):
+        own = [(event[e][0] if k == lm.K - 1 else event[e][1][:k + 1], event[e][2]) for e in range(len(event))]
+        assert len(set(zip(own, order.codes))) == len(set(own)) == len(order.path)
+        if k < lm.K - 1:
+            assert found.contexts[k].tolist() == [int.from_bytes(c, "little") for c, _ in own]
+        for place in range(7, -1, -1):
+            node = (256 | found.symbol.astype(np.int64)) >> place + 1
+            context = found.contexts[k]
+            want = (context.astype(np.int64) << 8) + node if not k else lm.BASES[k] + (
+                (context + node.astype(np.uint64) * lm.NODE) * lm.SPIN >> np.uint64(64 - lm.BITS[k])).astype(np.int64)
+            assert np.array_equal(order.slots(place)[order.codes], want)
+    assert sum(len(o.path) for o in orders) < 3 * len(event)  # five times before
+    key = rng.integers(0, 1 << 60, 50, dtype=np.uint64)
+    assert np.array_equal(key[lm.ordered(key, 60)], np.sort(key))  # more keys than the free bits can number
+
+
 def test_sums_of_a_block_pass_32_bits():
     """Partial sums of 3e9 and their sum are exact, not cut at 2**32 - 1."""
     data = lm.packed(np.array([5]), np.array([[3_000_000_000, 1_000]]))
